@@ -5,13 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    environment = spark.sparkContext.environment  # Python workers of this session import the package from where it is here
+    if ROOT not in environment.get("PYTHONPATH", "").split(":"):
+        environment["PYTHONPATH"] = ":".join(x for x in (ROOT, environment.get("PYTHONPATH")) if x)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

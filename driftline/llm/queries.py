@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_output
+from . import jaccard_join, packing, token_output
 from .common import table
 
 
@@ -24,8 +24,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, capacity=1024)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_output, op5_best_fit_packing)}
+    return {f.__name__: f for f in (op3_token_output, op5_best_fit_packing, op6_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

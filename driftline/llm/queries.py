@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, packing, token_output
+from . import decontamination, jaccard_join, packing, token_output
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(decontamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2, capacity=1024)
 
@@ -29,7 +33,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_output, op5_best_fit_packing, op6_jaccard_join)}
+    return {f.__name__: f for f in (op3_token_output, op4_decontamination, op5_best_fit_packing, op6_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

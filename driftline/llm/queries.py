@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, packing, token_output
-from .common import table
+from . import chat_format, decontamination, jaccard_join, packing, permutation_index, sharding, token_output, token_rollup
+from .common import plain, shared_dir, stage, table
 
 
 def tokenizer_path() -> str:
@@ -32,9 +34,42 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+#: Bytes of a shard.
+SHARD = 1 << 20
+
+
+def op8_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), SHARD)
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    template = chat_format.Template()
+    talks = chat_format.probe(table(spark, sf_dir, "conversations"))
+    return chat_format.digest(chat_format.read(chat_format.render(chat_format.segments(talks, template)), template))
+
+
+def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads every document, delivers that batch again, then revises every count by its end id and deletes documents labelled toxic."""
+    version = "byte_bpe_50k"
+    counted = stage(token_rollup.counts(table(spark, sf_dir, "documents"), tokenizer_path()), "counts")
+    labels = plain(table(spark, sf_dir, "labels"), "doc_id", "toxic")
+    rollup = token_rollup.Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    for _ in range(2):
+        rollup.commit("load", token_rollup.inserts(counted, version))
+    ended = counted.withColumn("n_tokens", F.col("n_tokens") + 1)
+    gone = ended.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    rollup.commit("ends", token_rollup.revisions(counted, version, F.col("tokens_after") + 1))
+    rollup.commit("takedown", token_rollup.deletes(gone, version))
+    return rollup.totals()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_output, op4_decontamination, op5_best_fit_packing, op6_jaccard_join)}
+    return {f.__name__: f for f in (op3_token_output, op4_decontamination, op5_best_fit_packing, op6_jaccard_join, op7_permutation_index, op8_extendible_hashing, op9_chat_format, op10_token_rollup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_extendible_hashing": sharding.sql(SHARD), "op9_chat_format": chat_format.sql(chat_format.Template())}

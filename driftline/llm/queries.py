@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, jaccard_join, packing, permutation_index, sharding, token_output, token_rollup
-from .common import plain, shared_dir, stage, table
+from . import chat_format, decontamination, jaccard_join, packing, permutation_index, quality, sharding, token_output, token_rollup, toxicity
+from .common import fold, plain, shared_dir, stage, table
 
 
 def tokenizer_path() -> str:
@@ -18,6 +18,24 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _scored(scores: DataFrame, held_out) -> DataFrame:
+    return scores.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return _scored(toxicity.score(docs, lexicon), held_out)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    space = quality.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return _scored(quality.score(docs, space), held_out)
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -67,8 +85,14 @@ def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_output, op4_decontamination, op5_best_fit_packing, op6_jaccard_join, op7_permutation_index, op8_extendible_hashing, op9_chat_format, op10_token_rollup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_quality, op3_token_output, op4_decontamination, op5_best_fit_packing, op6_jaccard_join, op7_permutation_index, op8_extendible_hashing, op9_chat_format, op10_token_rollup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

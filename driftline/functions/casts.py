@@ -72,7 +72,7 @@ def csv_cast(text: Column, declared: Type) -> Column:
     if name in ("json", "jsonb", "object"):
         return F.try_parse_json(cell)
     if name == "set":
-        return F.transform(F.split(cell, ","), F.trim)
+        return F.transform(F.split(cell, ","), lambda x: F.trim(x))
     if name == "duration":
         return duration_seconds(cell)
     if name == "thing":

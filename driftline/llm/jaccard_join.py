@@ -4,12 +4,13 @@ Documents with equal shingle sets form a class, represented by its smallest doc_
 that link share a shingle in their prefixes (size - ceil(t * size) + 1 shingles). Classes with the same prefix and size form a
 group; the join posts groups, not members, under their prefix shingles, and then expands groups and verifies members on whole sets.
 
-The order is (heavy, hash): a shingle that more than ``HEAVY`` classes hold among their smallest hashes comes last, so a passage
-that many documents share is in few prefixes. Any fixed order gives all links; this one keeps posting lists short.
+The order is (heavy, hash): a shingle that more than ``HEAVY`` classes hold, among their smallest hashes or in sets of which too few
+of the smallest are not heavy, comes last. So a passage that many documents share is in few prefixes, and under a shingle that
+isn't heavy there are at most twice ``HEAVY`` classes, whose pairs are made at once. Any fixed order gives all links.
 
-No list of all pairs is made. Under each shingle members are first verified against one centre, and the components of these
-links labelled; after that only members of different labels under one shingle are compared, in blocks, on the smallest hashes
-of both sets (a necessary condition), and those that pass are verified. A link inside a component cannot change the components.
+Under a heavy shingle no pairs are made. Members are first verified against one centre, and the components of all links so far
+labelled; then only shingles whose members differ in label are taken up again, their members compared in blocks on whole sets, and
+of the links found as many kept as connect the labels. A link inside a component cannot change the components.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and link with nothing; so does a null doc_id, whose
 component is null; rows with one doc_id are one node; an empty table gives no rows; columns other than doc_id and text are not read.
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +32,14 @@ from .common import plain, slices, stage
 from .components import components
 from .shingling import shingle_sets
 
-#: Classes under a shingle from which it counts as heavy.
-HEAVY = 200
-#: Members compared with one another in one task.
-BLOCK = 1000
+#: A shingle that more classes hold is heavy.
+HEAVY = 5
+#: Members of a heavy shingle that are compared with one another in one task.
+BLOCK = 500
+#: Documents that one task verifies against another.
+STAR = 200
+#: Ids that are broadcast to pick documents out; beyond that they are joined.
+PICKED = 1_000_000
 
 SIGNATURES = "doc_id bigint, n bigint, set_key binary, low array<bigint>"
 
@@ -48,7 +54,7 @@ def _size_fits(a: Column, b: Column, num: int, den: int) -> Column:
 
 
 def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """For each document its set's size, digest and smallest hashes: half as many again as its prefix, and eight."""
+    """For each document its set's size, digest and smallest hashes: a prefix, a quarter more, and eight."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -57,99 +63,198 @@ def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 n = len(s)
                 p = n - (n * num + den - 1) // den + 1
                 sizes.append(n)
-                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                low.append(s[: p + p // 2 + 8])
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
-            flat = np.concatenate(low) if low else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n", "set_key", "low"]
-            )
+                keys.append(_digest(s))
+                low.append(s[: p + p // 4 + 8] if n else s)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(low)], ["doc_id", "n", "set_key", "low"])
 
     return docs.mapInArrow(sign, SIGNATURES)
 
 
-def sets(docs: DataFrame, k: int) -> DataFrame:
-    """cid and its whole sorted set, as bytes."""
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(batch.column("text"), k)], pa.binary())], ["cid", "members"])
 
-    return docs.mapInArrow(whole, "cid bigint, members binary")
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64)))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link. Sets are made again, for the documents in the pairs only."""
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    of = stage(sets(docs.join(nodes, "doc_id", "left_semi"), k), "sets", "none")
+def pick(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` joined with ``wanted`` on doc_id. Few wanted rows are broadcast, so that documents are not shuffled for them."""
+    return docs.join(F.broadcast(wanted) if wanted.count() <= PICKED else wanted, "doc_id")
 
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            keep = []
-            for x, y in zip(left, right):
-                p, q = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
-                both = len(p) + len(q) - len(np.union1d(p, q)) if len(p) and len(q) else 0
-                keep.append(both > 0 and den * both >= num * (len(p) + len(q) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(of.select(F.col("cid").alias("a"), F.col("members").alias("x")), "a").join(of.select(F.col("cid").alias("b"), F.col("members").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(links, "a bigint, b bigint")
+def small(rows: DataFrame) -> DataFrame:
+    """``rows`` marked for a broadcast if they are counted as few enough."""
+    return F.broadcast(rows) if rows.count() <= PICKED else rows
 
 
-def prefixes(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """cid, n, low and ``posted``, its prefix under (heavy, hash)."""
-    p = _prefix(F.col("n"), num, den)
-    heavy = stage(classes.select(F.explode("low").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > HEAVY).select("token"), "heavy")
-    found = classes.select("cid", "set_key", F.explode("low").alias("token")).join(heavy, "token").groupBy("cid", "set_key").agg(F.collect_list("token").alias("hot"))  # at most ``low`` of one class
-    known = classes.join(found, ["cid", "set_key"], "left").withColumn("hot", F.coalesce("hot", F.array().cast("array<bigint>")))
-    known = known.withColumn("cool", F.when(F.size("hot") == 0, F.col("low")).otherwise(F.filter("low", lambda x: ~F.array_contains("hot", x))))
-    enough = (F.size("cool") >= p) | (F.size("low") == F.col("n"))
-    ranked = stage(known.select("cid", "set_key", "n", "low", enough.alias("enough"), F.slice(F.concat("cool", F.array_sort("hot")), 1, p.cast("int")).alias("posted")), "prefixes")
-    # Where too few shingles of the lowest are cool, the whole set is ranked.
-    short = ranked.where(~F.col("enough")).select("cid", "set_key", "n", "low")
-    full = sets(docs.join(short.select(F.col("cid").alias("doc_id")).distinct(), "doc_id", "left_semi"), k)
+def whole_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """cid, set_key, n and the whole set of each of ``classes(cid, set_key)``, as ``low``."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            own = list(shingle_sets(batch.column("text"), k))
+            keys = pa.array([_digest(x) for x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), keys, pa.array([len(x) for x in own], pa.int64()), _lists(own)], ["cid", "set_key", "n", "low"])
+
+    rows = pick(docs, classes.select(F.col("cid").alias("doc_id")).distinct()).select("doc_id", "text").mapInArrow(unpack, "cid bigint, set_key binary, n bigint, low array<bigint>")
+    return rows.join(small(classes.select("cid", "set_key")), ["cid", "set_key"], "left_semi")
+
+
+def divide(classes: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``classes`` with ``low`` in two parts, ``cool`` and ``hot``. So few heavy shingles that ``PICKED`` bounds them are sent to the tasks; more are joined."""
+    if heavy.count() > PICKED:
+        hot = classes.select("cid", "set_key", F.explode("low").alias("token")).join(heavy, "token").groupBy("cid", "set_key").agg(F.array_sort(F.collect_set("token")).alias("hot"))
+        known = classes.join(hot, ["cid", "set_key"], "left").withColumn("hot", F.coalesce("hot", F.array().cast("array<bigint>")))
+        return known.withColumn("cool", F.array_except("low", "hot"))
+    sent = classes.sparkSession.sparkContext.broadcast(np.sort(np.array([r["token"] for r in heavy.collect()], np.int64)))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
         for batch in batches:
-            own = [np.frombuffer(x, np.int64) for x in batch.column("members").to_pylist()]
-            key = pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in own], pa.binary())
-            size = np.array([len(x) for x in own], np.int64)
-            rows = pa.array(np.repeat(np.arange(len(own)), size))
-            yield pa.RecordBatch.from_arrays([batch.column("cid").take(rows), key.take(rows), pa.array(np.concatenate(own) if own else np.empty(0, np.int64))], ["cid", "set_key", "token"])
+            low = batch.column("low")
+            flat = low.flatten().to_numpy(zero_copy_only=False)
+            is_hot = np.isin(flat, table, kind="sort") if len(table) else np.zeros(len(flat), bool)
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(low).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            hots = np.concatenate([[0], np.cumsum(is_hot)])[ends]
+            parts = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat[keep])) for at, keep in ((ends - hots, ~is_hot), (hots, is_hot))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *parts], [*batch.schema.names, "cool", "hot"])
+
+    classes = classes.select("cid", "set_key", "n", "low")
+    return classes.mapInArrow(split, "cid bigint, set_key binary, n bigint, low array<bigint>, cool array<bigint>, hot array<bigint>")
+
+
+def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link.
+
+    The texts of a pair meet under its ``a``; an ``a`` with many pairs is dealt to several tasks. A task holds one such document at
+    a time, and the texts that come after it are compared with it one by one.
+    """
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("parts"))
+    # so small a table that its join is broadcast below Spark's threshold and else splits by ``a``
+    dealt = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("doc_id"), F.lit(1).alias("turn"))
+    homes = dealt.select("a", "part", F.col("a").alias("doc_id"), F.lit(0).alias("turn")).distinct()
+    wanted = stage(dealt.union(homes), "pairs")
+    met = pick(docs, wanted).repartition("a", "part").sortWithinPartitions("a", "part", "turn").select("a", "part", "turn", "doc_id", "text")
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, home = None, []
+        for batch in slices(batches, "text"):
+            a, part, turn, b = (batch.column(c).to_pylist() for c in ("a", "part", "turn", "doc_id"))
+            left, right = [], []
+            for i, s in enumerate(shingle_sets(batch.column("text"), k)):
+                if (a[i], part[i]) != at:
+                    at, home = (a[i], part[i]), []
+                if not turn[i]:
+                    home.append(s)
+                elif any(_links(s, x, num, den) for x in home):
+                    left.append(a[i])
+                    right.append(b[i])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    return met.mapInArrow(links, "a bigint, b bigint").distinct()
 
-    rows = full.mapInArrow(unpack, "cid bigint, set_key binary, token bigint").join(heavy.withColumn("hot", F.lit(1)), "token", "left")
-    again = rows.groupBy("cid", "set_key").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("hot", F.lit(0)).alias("hot"), "token"))).alias("all"))  # one document's set
-    again = short.join(again, ["cid", "set_key"]).select("cid", "n", "low", F.slice(F.transform("all", lambda x: x["token"]), 1, p.cast("int")).alias("posted"))
-    return ranked.where("enough").select("cid", "n", "low", "posted").unionByName(again)
 
+def _links(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    if not len(x) or not len(y) or len(x) * num > len(y) * den or len(y) * num > len(x) * den:
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return den * both >= num * (len(x) + len(y) - both)
 
-def _compare(num: int, den: int):
-    """Pairs of different labels in two blocks of one shingle's members, that their smallest hashes don't rule out."""
+
+def prefixes(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """cid, n, ``cool`` and ``hot``: the prefix of each class under (heavy, hash), in its two parts.
+
+    A class is short if the smallest hashes hold too few shingles that aren't heavy; then its whole set counts. That can make more
+    shingles heavy and more classes short, so it is done again until no class is new; each round reads the short classes alone.
+    """
+    p = _prefix(F.col("n"), num, den)
+    tokens = lambda rows: rows.select(F.explode("low").alias("token"))
+    frequent = lambda rows: tokens(rows).groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > HEAVY).select("token")
+    heavy = stage(frequent(classes), "heavy")
+    short, size = None, 0
+    while True:
+        known = divide(classes, heavy)
+        lacking = known.where((F.size("cool") < p) & (F.size("low") < F.col("n"))).select("cid", "set_key")
+        lacking = stage(lacking if short is None else lacking.union(short).distinct(), "short")
+        before, size = size, lacking.count()
+        if size == before:
+            break
+        short = lacking
+        heavy = stage(heavy.union(frequent(whole_sets(docs, short, k))).distinct(), "heavy")
+    usual = known if short is None else known.join(small(short), ["cid", "set_key"], "left_anti")
+    both = usual if short is None else usual.unionByName(divide(whole_sets(docs, short, k), heavy))
+    return both.select("cid", "n", F.slice("cool", 1, p.cast("int")).alias("cool"), F.slice("hot", 1, F.greatest(F.lit(0), p - F.size("cool")).cast("int")).alias("hot"))
+
+
+def _fits(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -> Column:
+    """Sizes that can link, if the shingle at places i and j (from 0) is the first that both have."""
+    need = F.ceil((n + m) * num / F.lit(num + den))
+    return _size_fits(n, m, num, den) & (1 + F.least(n - i - 1, m - j - 1) >= need - 1e-6)
+
+
+def near_pairs(posts: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of groups under shingles that aren't heavy; such a shingle's list is bounded by twice ``HEAVY``."""
+    rows = posts.select("gid", "n", F.posexplode("cool").alias("at", "token"))
+    lists = rows.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("gid", "n", "at"))).alias("m")).where(F.size("m") > 1)
+    first = lists.select("m", F.explode("m").alias("x"))
+    pair = first.select("x", F.explode(F.filter("m", lambda y: (y["gid"] > F.col("x")["gid"]) & _size_fits(y["n"], F.col("x")["n"], num, den))).alias("y"))
+    rows = pair.select(F.col("x.gid").alias("a"), F.col("x.n").alias("n"), F.col("x.at").alias("i"), F.col("y.gid").alias("b"), F.col("y.n").alias("m"), F.col("y.at").alias("j"))
+    # the first common shingle decides
+    seen = rows.groupBy("a", "b", "n", "m").agg(F.min("i").alias("i"), F.min("j").alias("j"))
+    return seen.where(_fits(F.col("n"), F.col("i"), F.col("m"), F.col("j"), num, den)).select("a", "b")
+
+
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections. Shingles of few sets are counted pair by pair, the others by products of slices of the incidence matrix."""
+    m = len(sets)
+    out = np.zeros((m, m), np.float32)
+    flat = np.concatenate(sets)
+    of = np.repeat(np.arange(m), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    of = of[order]
+    begin = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) != 0]))
+    held = np.diff(np.append(begin, len(flat)))
+    for size in range(2, 9):
+        at = begin[held == size]
+        for x in range(size):
+            for y in range(x):
+                np.add.at(out, (of[at + y], of[at + x]), 1)
+    out += out.T
+    large, sizes = begin[held > 8], held[held > 8]
+    for c in range(0, len(large), 2048):
+        b, n = large[c : c + 2048], sizes[c : c + 2048]
+        column = np.repeat(np.arange(len(b)), n)
+        x = np.zeros((m, len(b)), np.float32)
+        x[of[np.repeat(b - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], column] = 1
+        out += x @ x.T
+    return out
+
+
+def _compare(k: int, num: int, den: int):
+    """Links between different labels in two blocks of one shingle's members, as few as connect what they connect."""
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
-        token = block["token"].iloc[0]
-        i, j = block["i"].iloc[0], block["j"].iloc[0]
-        own = block["block"].to_numpy()
-        cid, label, n = block["cid"].to_numpy(), block["label"].to_numpy(), block["n"].to_numpy()
-        low, posted = [np.asarray(x) for x in block["low"]], [np.asarray(x) for x in block["posted"]]
-        rest = np.array([x[-1] if len(x) < m else np.iinfo(np.int64).max for x, m in zip(low, n)])
-        order = np.argsort(n, kind="stable")
+        sets = list(shingle_sets(pa.array(block["text"]), k))
+        cid, label = block["cid"].to_numpy(), block["label"].to_numpy()
+        n = np.array([len(s) for s in sets], np.float64)
+        both = common(sets).astype(np.float64)
+        linked = (den * both >= num * (n[:, None] + n[None, :] - both)) & (label[:, None] < label[None, :])
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
         out = []
-        for at, x in enumerate(order):
-            most = np.searchsorted(n[order], n[x] * den // num, side="right")
-            for y in order[at + 1 : most]:
-                if label[x] == label[y] or cid[x] == cid[y] or (i != j and own[x] == own[y]):
-                    continue
-                # a pair is compared under the smallest of the shingles that both post
-                if np.intersect1d(posted[x], posted[y], assume_unique=True)[0] != token:
-                    continue
-                top = min(rest[x], rest[y])
-                a, b = low[x][: np.searchsorted(low[x], top, "right")], low[y][: np.searchsorted(low[y], top, "right")]
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                need = -(-num * int(n[x] + n[y]) // (num + den))
-                if len(a) - both <= n[x] - need and len(b) - both <= n[y] - need:
-                    out.append((min(cid[x], cid[y]), max(cid[x], cid[y])))
+        for x, y in zip(*np.nonzero(linked)):
+            a, b = find(label[x]), find(label[y])
+            if a != b:
+                root[b] = a
+                out.append((cid[x], cid[y]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return compare
@@ -157,41 +262,55 @@ def _compare(num: int, den: int):
 
 def linked(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Links (a, b) between classes, enough of them to connect every component."""
-    posts = stage(prefixes(classes, docs, k, num, den), "posts")
-    grouped = posts.groupBy("n", F.md5(F.concat_ws(",", F.col("posted").cast("array<string>"))).alias("prefix")).agg(F.min("cid").alias("gid"))
-    member = stage(posts.withColumn("prefix", F.md5(F.concat_ws(",", F.col("posted").cast("array<string>")))).join(grouped, ["n", "prefix"]).select("gid", "cid", "n", "low", "posted"), "members")
-    listed = member.where("gid = cid").select("gid", "n", F.explode("posted").alias("token"))
-    more = member.where("gid <> cid").select(F.col("gid").alias("more_gid")).distinct()
-    # a shingle of one group matters only if that group has more members
-    listed = listed.join(more, listed["gid"] == more["more_gid"], "left").select("gid", "n", "token", F.col("more_gid").isNotNull().alias("many"))
-    centre = listed.groupBy("token").agg(F.min(F.struct("gid", "n")).alias("c"), F.count(F.lit(1)).alias("groups"), F.max("many").alias("many")).where("groups > 1 or many")
-    shared = stage(listed.join(centre, "token").select("token", "gid", "n", F.col("c.gid").alias("centre"), F.col("c.n").alias("centre_n")), "shared")
-    near = shared.where((F.col("gid") != F.col("centre")) & _size_fits(F.col("n"), F.col("centre_n"), num, den)).select("gid", "centre").distinct()
-    star = member.select("gid", "cid").join(near, "gid").select(F.col("cid").alias("a"), F.col("centre").alias("b")).union(member.where("gid <> cid").select("cid", "gid"))
-    first = stage(verify(star.distinct(), docs, k, num, den), "links")
-
+    posts = prefixes(classes, docs, k, num, den)
+    posts = stage(posts.withColumn("prefix", F.md5(F.concat_ws(",", F.concat("cool", "hot").cast("array<string>")))), "posts")
+    grouped = posts.groupBy("n", "prefix").agg(F.min("cid").alias("gid"))
+    member = stage(posts.select("cid", "n", "prefix").join(grouped, ["n", "prefix"]).select("gid", "cid", "n"), "members")
+    others = member.where("gid <> cid")
+    lists = posts.join(member.where("gid = cid").select("gid"), posts["cid"] == F.col("gid"), "left_semi").select(F.col("cid").alias("gid"), "n", "cool", "hot")
+
+    # groups that are near, each member of one with each of the other; and members with their own group's first
+    near = near_pairs(lists, num, den)
+    expand = near.join(member.select(F.col("gid").alias("a"), F.col("cid").alias("x")), "a").join(member.select(F.col("gid").alias("b"), F.col("cid").alias("y")), "b")
+    near = expand.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    own = others.select(F.col("gid").alias("a"), F.col("cid").alias("b"))
+    # a group that posts a shingle which isn't heavy is as small as that shingle's list
+    small = posts.where(F.size("cool") > 0).select("cid", "n", "prefix").join(grouped, ["n", "prefix"]).where("gid <> cid").select("gid", "cid")
+    own = own.union(small.join(small.withColumnRenamed("cid", "y"), "gid").where("cid < y").select("cid", "y"))
+    heavy = stage(lists.select("gid", "n", F.explode("hot").alias("token")), "heavy-posts")
+    centre = heavy.groupBy("token").agg(F.min(F.struct("gid", "n")).alias("c"))
+    star = heavy.join(centre, "token").where((F.col("gid") != F.col("c.gid")) & _size_fits(F.col("n"), F.col("c.n"), num, den)).select("gid", F.col("c.gid").alias("centre")).distinct()
+    star = member.select("gid", "cid").join(star, "gid").select(F.col("centre").alias("a"), F.col("cid").alias("b"))
+    first = stage(verify(near.union(own).union(star).distinct(), docs, k, num, den), "links")
+
+    # what is left: members of one heavy shingle whose labels differ
     label = components(first, "a", "b")
-    expanded = shared.select("token", "gid").join(member.select("gid", "cid"), "gid").join(label.withColumnRenamed("node", "cid"), "cid", "left")
-    expanded = stage(expanded.select("token", "cid", F.coalesce("label", "cid").alias("label")), "labelled")
-    mixed = expanded.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x < y")
-    open_ = expanded.join(mixed.select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    placed = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", "cid", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    placed = placed.join(member.select("cid", "n", "low", "posted"), "cid")
-    rest = placed.groupBy("token", "i", "j").applyInPandas(_compare(num, den), "a bigint, b bigint").distinct()
-    return first.union(verify(stage(rest, "pairs"), docs, k, num, den))
+    posted = posts.select("cid", F.explode("hot").alias("token")).join(label.withColumnRenamed("node", "cid"), "cid", "left")
+    posted = stage(posted.select("token", "cid", F.coalesce("label", "cid").alias("label")), "labelled")
+    mixed = posted.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x < y")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = posted.join(mixed.select("token", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    placed = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", "cid", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    placed = stage(placed, "placed")
+    met = pick(docs, placed.withColumnRenamed("cid", "doc_id")).withColumnRenamed("doc_id", "cid")
+    rest = met.groupBy("token", "i", "j").applyInPandas(_compare(k, num, den), "a bigint, b bigint").distinct()
+    return first.union(rest)
 
 
 def join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n_shingles, component_id for every document; two link when den * intersection >= num * union."""
     docs = plain(docs, "doc_id", "text")
-    known = docs.where("doc_id is not null")
     signed = stage(signatures(docs, k, num, den), "signatures")
-    reps = signed.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("cid"))
-    rep = stage(reps, "classes")
-    classes = signed.join(rep, (signed["set_key"] == rep["set_key"]) & (signed["doc_id"] == rep["cid"]), "left_semi").select(F.col("doc_id").alias("cid"), "set_key", "n", "low").dropDuplicates(["cid", "set_key"])
-    links = linked(stage(classes, "class-rows"), known, k, num, den)
-    # rows of one doc_id with different sets are one node, so a doc_id links the classes of its sets
-    same = signed.where("n > 0 and doc_id is not null").select("doc_id", "set_key").join(rep, "set_key").where("doc_id <> cid").select(F.col("doc_id").alias("a"), F.col("cid").alias("b"))
+    sound = signed.where("n > 0 and doc_id is not null")
+    copied = stage(sound.groupBy("set_key").agg(F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("c")).where("c > 1").select("set_key", "cid"), "copied")
+    few = copied.count() <= PICKED
+    keys = F.broadcast(copied) if few else copied
+    # copies are combined in each task before they are shuffled
+    of_copies = sound.join(keys, "set_key", "left_semi").groupBy("set_key").agg(F.min(F.struct("doc_id", "n", "low")).alias("r"))
+    classes = sound.join(keys, "set_key", "left_anti").select(F.col("doc_id").alias("cid"), "set_key", "n", "low").unionByName(of_copies.select(F.col("r.doc_id").alias("cid"), "set_key", "r.n", "r.low"))
+    links = linked(classes if few else stage(classes, "class-rows"), docs, k, num, den)
+    # equal sets, and sets of rows with one doc_id, meet in a node
+    same = sound.select("doc_id", "set_key").join(keys, "set_key").where("doc_id <> cid").select(F.col("cid").alias("a"), F.col("doc_id").alias("b"))
     label = components(links.union(same), "a", "b")
     out = signed.select("doc_id", F.col("n").alias("n_shingles")).join(label, signed["doc_id"] == label["node"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))

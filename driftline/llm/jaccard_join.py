@@ -6,7 +6,7 @@ group; the join posts groups, not members, under their prefix shingles, and then
 
 The order is (heavy, hash): a shingle that more than ``HEAVY`` classes hold, among their smallest hashes or in sets of which too few
 of the smallest are not heavy, comes last. So a passage that many documents share is in few prefixes, and under a shingle that
-isn't heavy there are at most twice ``HEAVY`` classes, whose pairs are made at once. Any fixed order gives all links.
+isn't heavy there are at most a few times ``HEAVY`` classes, whose pairs are made at once. Any fixed order gives all links.
 
 Under a heavy shingle no pairs are made. Members are first verified against one centre, and the components of all links so far
 labelled; then only shingles whose members differ in label are taken up again, their members compared in blocks on whole sets, and
@@ -167,22 +167,22 @@ def prefixes(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) ->
     """cid, n, ``cool`` and ``hot``: the prefix of each class under (heavy, hash), in its two parts.
 
     A class is short if the smallest hashes hold too few shingles that aren't heavy; then its whole set counts. That can make more
-    shingles heavy and more classes short, so it is done again until no class is new; each round reads the short classes alone.
+    shingles heavy and more classes short, so it is done again until no class is new; each round reads the new short classes alone.
+    So a shingle that isn't heavy is held by ``HEAVY`` classes at most among the smallest hashes, and as many more for each round.
     """
     p = _prefix(F.col("n"), num, den)
     tokens = lambda rows: rows.select(F.explode("low").alias("token"))
     frequent = lambda rows: tokens(rows).groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > HEAVY).select("token")
     heavy = stage(frequent(classes), "heavy")
-    short, size = None, 0
+    short = None
     while True:
         known = divide(classes, heavy)
         lacking = known.where((F.size("cool") < p) & (F.size("low") < F.col("n"))).select("cid", "set_key")
-        lacking = stage(lacking if short is None else lacking.union(short).distinct(), "short")
-        before, size = size, lacking.count()
-        if size == before:
+        new = stage(lacking if short is None else lacking.join(small(short), ["cid", "set_key"], "left_anti"), "short")
+        if new.isEmpty():
             break
-        short = lacking
-        heavy = stage(heavy.union(frequent(whole_sets(docs, short, k))).distinct(), "heavy")
+        short = new if short is None else short.union(new)
+        heavy = stage(heavy.union(frequent(whole_sets(docs, new, k))).distinct(), "heavy")
     usual = known if short is None else known.join(small(short), ["cid", "set_key"], "left_anti")
     both = usual if short is None else usual.unionByName(divide(whole_sets(docs, short, k), heavy))
     return both.select("cid", "n", F.slice("cool", 1, p.cast("int")).alias("cool"), F.slice("hot", 1, F.greatest(F.lit(0), p - F.size("cool")).cast("int")).alias("hot"))
@@ -195,7 +195,7 @@ def _fits(n: Column, i: Column, m: Column, j: Column, num: int, den: int) -> Col
 
 
 def near_pairs(posts: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of groups under shingles that aren't heavy; such a shingle's list is bounded by twice ``HEAVY``."""
+    """Pairs of groups under shingles that aren't heavy; such a shingle's list is bounded by a few times ``HEAVY``."""
     rows = posts.select("gid", "n", F.posexplode("cool").alias("at", "token"))
     lists = rows.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("gid", "n", "at"))).alias("m")).where(F.size("m") > 1)
     first = lists.select("m", F.explode("m").alias("x"))
@@ -232,6 +232,21 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _needed(num: int, den: int):
+    """Of two blocks of one shingle's members those that must be compared under it: some other of a different label has a size
+    that fits, and no smaller heavy shingle in its prefix too, under which the two meet anyway."""
+
+    def needed(block: pd.DataFrame) -> pd.DataFrame:
+        label, n = block["label"].to_numpy(), block["n"].to_numpy()
+        token = int(block["token"].iloc[0])
+        less = [h[h < token] for h in (np.asarray(x) for x in block["hot"])]
+        shared = common(less) > 0 if sum(map(len, less)) else np.zeros((len(n), len(n)), bool)
+        fits = (n[:, None] * num <= n[None, :] * den) & (n[None, :] * num <= n[:, None] * den)
+        return block[(fits & ~shared & (label[:, None] != label[None, :])).any(axis=1)][["token", "cid", "label", "i", "j"]]
+
+    return needed
+
+
 def _compare(k: int, num: int, den: int):
     """Links between different labels in two blocks of one shingle's members, as few as connect what they connect."""
 
@@ -267,7 +282,7 @@ def linked(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
     grouped = posts.groupBy("n", "prefix").agg(F.min("cid").alias("gid"))
     member = stage(posts.select("cid", "n", "prefix").join(grouped, ["n", "prefix"]).select("gid", "cid", "n"), "members")
     others = member.where("gid <> cid")
-    lists = posts.join(member.where("gid = cid").select("gid"), posts["cid"] == F.col("gid"), "left_semi").select(F.col("cid").alias("gid"), "n", "cool", "hot")
+    lists = posts.join(small(others.select("cid")), "cid", "left_anti").select(F.col("cid").alias("gid"), "n", "cool", "hot")
 
     # groups that are near, each member of one with each of the other; and members with their own group's first
     near = near_pairs(lists, num, den)
@@ -275,8 +290,8 @@ def linked(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
     near = expand.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     own = others.select(F.col("gid").alias("a"), F.col("cid").alias("b"))
     # a group that posts a shingle which isn't heavy is as small as that shingle's list
-    small = posts.where(F.size("cool") > 0).select("cid", "n", "prefix").join(grouped, ["n", "prefix"]).where("gid <> cid").select("gid", "cid")
-    own = own.union(small.join(small.withColumnRenamed("cid", "y"), "gid").where("cid < y").select("cid", "y"))
+    bounded = posts.where(F.size("cool") > 0).select("cid", "n", "prefix").join(grouped, ["n", "prefix"]).where("gid <> cid").select("gid", "cid")
+    own = own.union(bounded.join(bounded.withColumnRenamed("cid", "y"), "gid").where("cid < y").select("cid", "y"))
     heavy = stage(lists.select("gid", "n", F.explode("hot").alias("token")), "heavy-posts")
     centre = heavy.groupBy("token").agg(F.min(F.struct("gid", "n")).alias("c"))
     star = heavy.join(centre, "token").where((F.col("gid") != F.col("c.gid")) & _size_fits(F.col("n"), F.col("c.n"), num, den)).select("gid", F.col("c.gid").alias("centre")).distinct()
@@ -291,7 +306,8 @@ def linked(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = posted.join(mixed.select("token", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     placed = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", "cid", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    placed = stage(placed, "placed")
+    with_hot = placed.join(posts.where(F.size("hot") > 0).select("cid", "n", "hot"), "cid")
+    placed = stage(with_hot.groupBy("token", "i", "j").applyInPandas(_needed(num, den), "token bigint, cid bigint, label bigint, i int, j int"), "placed")
     met = pick(docs, placed.withColumnRenamed("cid", "doc_id")).withColumnRenamed("doc_id", "cid")
     rest = met.groupBy("token", "i", "j").applyInPandas(_compare(k, num, den), "a bigint, b bigint").distinct()
     return first.union(rest)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -135,14 +135,12 @@ def search(found: Words, block: Block) -> tuple[np.ndarray, np.ndarray]:
     return word[index.locate(rows)], np.repeat(live, count)
 
 
-def scan_shard(texts: pa.Array, block: Block) -> list[tuple[int, list[tuple[int, int, int, int]], list[int]]]:
-    """For each text: number of words, merged hits (first word, word after the last, first byte, byte after the last) and items."""
-    found = words(texts)
-    begin, window = search(found, block)
+def spans(found: Words, begin: np.ndarray, size: np.ndarray) -> dict[int, list[tuple[int, int, int, int]]]:
+    """By text, the merged hits (first word, word after the last, first byte, byte after the last) of occurrences of so many words."""
     n = len(found.begin)
     change = np.zeros(n + 1, np.int64)
     np.add.at(change, begin, 1)
-    np.add.at(change, begin + block.lengths[window], -1)
+    np.add.at(change, begin + size, -1)
     hit = np.cumsum(change[:-1]) > 0
     first = hit & ~np.concatenate([[False], hit[:-1]]) if n else hit
     stop = hit & ~np.concatenate([hit[1:], [False]]) if n else hit
@@ -152,15 +150,23 @@ def scan_shard(texts: pa.Array, block: Block) -> list[tuple[int, list[tuple[int,
     stop[ends] = hit[ends]
     firsts, stops = np.flatnonzero(first), np.flatnonzero(stop)
     doc_of_hit = np.searchsorted(found.of, firsts, side="right") - 1
-    spans: dict[int, list] = {}
+    out: dict[int, list] = {}
     for d, a, b in zip(doc_of_hit.tolist(), firsts.tolist(), stops.tolist()):
         base = int(found.of[d])
-        spans.setdefault(d, []).append((a - base, b + 1 - base, int(found.begin[a]), int(found.end[b])))
+        out.setdefault(d, []).append((a - base, b + 1 - base, int(found.begin[a]), int(found.end[b])))
+    return out
+
+
+def scan_shard(texts: pa.Array, block: Block) -> list[tuple[int, list[tuple[int, int, int, int]], list[int]]]:
+    """For each text: number of words, merged hits (first word, word after the last, first byte, byte after the last) and items."""
+    found = words(texts)
+    begin, window = search(found, block)
+    hits = spans(found, begin, block.lengths[window])
     items: dict[int, set] = {}
     both = np.unique(np.stack([np.searchsorted(found.of, begin, side="right") - 1, window]), axis=1) if len(begin) else np.empty((2, 0), np.int64)
     for d, w in both.T.tolist():
         items.setdefault(d, set()).update(block.items[w].tolist())
-    return [(int(b - a), spans.get(d, []), sorted(items.get(d, ()))) for d, (a, b) in enumerate(zip(found.of[:-1], found.of[1:]))]
+    return [(int(b - a), hits.get(d, []), sorted(items.get(d, ()))) for d, (a, b) in enumerate(zip(found.of[:-1], found.of[1:]))]
 
 
 def blocks(benchmark: DataFrame, window: int) -> Iterator[Block]:
@@ -218,28 +224,31 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with hit words, and what stands between them in a span, cut from ``text``; all columns are kept, and a document of which
-    nothing but white space remains goes. A benchmark of several blocks is removed block by block."""
-    spark = docs.sparkSession
-    for block in blocks(benchmark, window):
-        sent = spark.sparkContext.broadcast(block)
-
-        def cut(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "text", SHARD_BYTES):
-                at = batch.schema.get_field_index("text")
-                texts = batch.column(at).to_pylist()
-                keep = np.ones(len(texts), bool)
-                for i, (_, hits, _) in enumerate(scan_shard(batch.column(at), sent.value)):
-                    if hits:
-                        raw, parts, done = texts[i].encode(), [], 0
-                        for _, _, a, b in hits:
-                            parts.append(raw[done:a])
-                            done = b
-                        texts[i] = b"".join([*parts, raw[done:]]).decode()
-                        keep[i] = bool(texts[i].strip())
-                yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).filter(pa.array(keep))
-
-        docs = docs.mapInArrow(cut, docs.schema)
-    return docs
+    nothing but white space remains goes. The windows of all blocks are searched in the text as it was, and their spans merged, before it
+    is cut, so the result doesn't depend on ``BLOCK_BYTES``. A worker holds the windows of every block, without their items."""
+    sent = [docs.sparkSession.sparkContext.broadcast(replace(block, items=[])) for block in blocks(benchmark, window)]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SHARD_BYTES):
+            at = batch.schema.get_field_index("text")
+            texts = batch.column(at).to_pylist()
+            keep = np.ones(len(texts), bool)
+            found = words(batch.column(at))
+            begin, size = [], []
+            for block in sent:
+                where, which = search(found, block.value)
+                begin.append(where)
+                size.append(block.value.lengths[which])
+            for i, hits in spans(found, np.concatenate(begin), np.concatenate(size)).items():
+                raw, parts, done = texts[i].encode(), [], 0
+                for _, _, a, b in hits:
+                    parts.append(raw[done:a])
+                    done = b
+                texts[i] = b"".join([*parts, raw[done:]]).decode()
+                keep[i] = bool(texts[i].strip())
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).filter(pa.array(keep))
+
+    return docs.mapInArrow(cut, docs.schema)
 
 
 def items_digest(items: list[int]) -> str:

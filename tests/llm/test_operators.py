@@ -206,6 +206,20 @@ def test_removal(spark):
     assert {r.doc_id: r.text for r in got.collect()} == {0: "clean text", 1: "before ; after", 3: None, 4: ""}
 
 
+@pytest.mark.parametrize("block", [8 << 20, 60])
+def test_removal_of_overlapping_items(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    w, apart = [f"u{i}" for i in range(40)], [f"z{i}" for i in range(10)]
+    items = [(k, " ".join(x)) for k in range(6) for x in [(w[5:20], w[12:25], apart)[k % 3]]]
+    seam = [*apart[:5], *w[5:20], *apart[5:]]  # what is left beside the cut reads like an item
+    texts = [" ".join(w), " ".join(seam), " ".join(w[5:25]), "clean text"]
+    want = {0: " ".join(w[:5]) + "  " + " ".join(w[25:]), 1: " ".join(apart[:5]) + "  " + " ".join(apart[5:]), 3: "clean text"}
+    for chosen in itertools.combinations(items, 3):
+        if len({t for _, t in chosen}) == 3:
+            bench = spark.createDataFrame(chosen, "item_id long, text string").coalesce(1)
+            assert {r.doc_id: r.text for r in decontamination.remove(docs(spark, texts), bench).collect()} == want
+
+
 # Jaccard join
 
 

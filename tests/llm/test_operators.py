@@ -473,3 +473,16 @@ def test_pipeline(spark):
     assert d.where(F.length("text") != F.col("n_chars")).count() == 0
     packed = corpus_pipeline.STAGES[-1][1](spark, d, sf).collect()
     assert {r.doc_id for r in packed} == {r.doc_id for r in d.select("doc_id").collect()}
+
+
+def test_near_copies_go_by_row(spark):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    a, b, c, d, e = (" ".join(rng.choices(WORDS, k=60)) for _ in range(5))
+    rows = [(7, a), (7, a), (3, b), (9, b + " more"), (9, c), (None, d), (None, d), (None, e), (1, e), (5, None), (5, None), (None, ""), (2, "x")]
+    own = docs(spark, [t for _, t in rows], [i for i, _ in rows]).coalesce(1)
+    kept = corpus_pipeline.drop_near_copies(spark, own, "")
+    assert kept.columns == own.columns
+    want = [(7, a), (3, b), (9, c), (None, d), (1, e), (5, None), (5, None), (None, ""), (2, "x")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)

@@ -280,9 +280,9 @@ def linked(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
     posts = prefixes(classes, docs, k, num, den)
     posts = stage(posts.withColumn("prefix", F.md5(F.concat_ws(",", F.concat("cool", "hot").cast("array<string>")))), "posts")
     grouped = posts.groupBy("n", "prefix").agg(F.min("cid").alias("gid"))
-    member = stage(posts.select("cid", "n", "prefix").join(grouped, ["n", "prefix"]).select("gid", "cid", "n"), "members")
-    others = member.where("gid <> cid")
-    lists = posts.join(small(others.select("cid")), "cid", "left_anti").select(F.col("cid").alias("gid"), "n", "cool", "hot")
+    member = stage(posts.select("cid", "n", "prefix").join(grouped, ["n", "prefix"]).select("gid", "cid", "n", "prefix"), "members")
+    others = member.where("gid <> cid")  # a cid is in several groups if its doc_id has several texts
+    lists = posts.join(small(others), ["cid", "n", "prefix"], "left_anti").select(F.col("cid").alias("gid"), "n", "cool", "hot")
 
     # groups that are near, each member of one with each of the other; and members with their own group's first
     near = near_pairs(lists, num, den)

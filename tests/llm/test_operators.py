@@ -266,6 +266,17 @@ def test_jaccard_join_odd_rows(spark):
     assert jaccard_join.join(docs(spark, []), 3, 90, 100).count() == 0
 
 
+def test_jaccard_join_of_a_doc_id_with_two_texts(spark):
+    words = [f"r{i}" for i in range(200)]
+    rng = random.Random(8)
+    b, c = rng.sample(words, 60), rng.sample(words, 60)
+    # some differ from b in no shingle of the prefix, so doc_id 3 is in b's group and not its first
+    near = [[*b[:i], "other", *b[i + 1 :]] for i in (16, 28, 41, 51)]
+    rows = [(1, b), *((3, x) for x in near), (3, c), (5, [*c, "tail"])]
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(docs(spark, [" ".join(t) for _, t in rows], [i for i, _ in rows]), 3, 90, 100).collect()}
+    assert got == {1: 1, 3: 1, 5: 1}
+
+
 def test_many_heavy_shingles_are_joined(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PICKED", 0)
     monkeypatch.setattr(jaccard_join, "HEAVY", 1)

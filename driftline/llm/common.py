@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
+#: Bytes of a table that is broadcast; beyond that it is joined by a shuffle.
+BROADCAST = 24 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it; a temporary one only where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="driftline-")
         spark.sparkContext.setCheckpointDir(named)
         spark.conf.set("spark.checkpoint.dir", named)
@@ -40,6 +45,33 @@ def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; at their end the worker, which Spark keeps for other tasks, gives back the memory that it no longer uses."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+        if trim:
+            trim(0)
+
+
+def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow``, with the memory given back after each task."""
+    return df.mapInArrow(lambda batches: released(function(batches)), schema)
+
+
+def few(rows: DataFrame) -> bool:
+    """Whether ``rows`` (staged, of plain columns and short keys) take at most ``BROADCAST`` bytes: they are counted, and their width is known."""
+    width = 16 + sum(32 if kind in ("string", "binary") else 8 for _, kind in rows.dtypes)
+    return rows.count() * width <= BROADCAST
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """``rows`` marked for a broadcast if they are few."""
+    return F.broadcast(rows) if few(rows) else rows
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -49,7 +81,7 @@ def fold(doc_id: Column, mod: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % mod
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that one slice holds about ``most_bytes`` of text, or a single row."""
     for batch in batches:
         sizes = batch.column(column).nbytes

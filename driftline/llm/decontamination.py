@@ -13,7 +13,6 @@ empty table of either kind gives no hits; a document longer than a slice is a sh
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -23,12 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, slices, stage
+from .common import mapped, plain, slices, stage
 from .fm_index import FMIndex
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 SCAN = "doc_id bigint, row bigint, n_words bigint, hits array<struct<first:bigint,stop:bigint,begin:bigint,end:bigint>>, items array<bigint>"
 
@@ -198,7 +197,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
                 )
                 row += len(out)
 
-        parts.append(docs.mapInArrow(find, SCAN))
+        parts.append(mapped(docs, find, SCAN))
     if len(parts) == 1:
         out = parts[0]
     else:
@@ -248,8 +247,5 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
                 keep[i] = bool(texts[i].strip())
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).filter(pa.array(keep))
 
-    return docs.mapInArrow(cut, docs.schema)
+    return mapped(docs, cut, docs.schema)
 
-
-def items_digest(items: list[int]) -> str:
-    return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import plain, slices, stage
+from .common import mapped, plain, slices, stage
 from .tokenizing import encoder, with_end
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, rank bigint"
@@ -138,7 +138,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
                 ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"],
             )
 
-    return plain(docs, "doc_id", "text").mapInArrow(cut, PIECES)
+    return mapped(plain(docs, "doc_id", "text"), cut, PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024) -> DataFrame:
@@ -164,9 +164,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024) ->
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], [*batch.schema.names[:5], "sequence_id", "offset"])
 
     ranked = cut.join(before.select("part", "length", "before"), ["part", "length"])
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("global_rank")).mapInArrow(
-        assign, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    )
+    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("global_rank"))
+    return mapped(ranked, assign, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
 
 
 def sequences(packed: DataFrame, docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -178,7 +177,7 @@ def sequences(packed: DataFrame, docs: DataFrame, tokenizer: str, end_id: int) -
             ids, bounds = with_end(*enc.encode(batch.column("text")), end_id)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))], ["doc_id", "ids"])
 
-    ids = plain(docs, "doc_id", "text").mapInArrow(encode, "doc_id bigint, ids array<int>")
+    ids = mapped(plain(docs, "doc_id", "text"), encode, "doc_id bigint, ids array<int>")
     own = packed.join(ids, "doc_id").select("sequence_id", "offset", F.slice("ids", F.col("start").cast("int") + 1, F.col("length").cast("int")).alias("ids"))
     # a sequence holds at most its capacity of ids, so its group is bounded
     return own.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))

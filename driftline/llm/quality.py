@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import mapped, plain, slices
 from .toxicity import sample
 
 #: Labelled documents that are learned from, at most, for each label: those of the smallest id hashes.
@@ -138,7 +138,7 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE
             held = [np.flatnonzero(r) for r in rows]
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(held, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(rows, held)], pa.list_(pa.float32()))], ["y", "at", "n"])
 
-    got = sample(docs, labels, label, chosen, most).mapInArrow(terms, "y int, at array<int>, n array<float>").toArrow()
+    got = mapped(sample(docs, labels, label, chosen, most), terms, "y int, at array<int>, n array<float>").toArrow()
     y = got.column("y").to_numpy()
     if len(y) < 2 or not 0 < y.sum() < len(y):
         return None
@@ -160,7 +160,7 @@ def score(docs: DataFrame, space: Space | None) -> DataFrame:
         for batch in slices(batches, "text", 2 << 20):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(sent.value, batch.column("text")).astype(np.float64))], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double")
+    return mapped(plain(docs, "doc_id", "text"), run, "doc_id bigint, score double")
 
 
 def keep(docs: DataFrame, space: Space | None) -> DataFrame:
@@ -171,4 +171,4 @@ def keep(docs: DataFrame, space: Space | None) -> DataFrame:
         for batch in slices(batches, "text", 2 << 20):
             yield batch.filter(pa.array(_scores(sent.value, batch.column("text")) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

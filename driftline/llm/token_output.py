@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rans
-from .common import plain, shared_dir, slices, stage
+from .common import mapped, plain, shared_dir, slices, stage
 from .tokenizing import encoder, with_end
 
 #: Bytes of text in a shard, about; one task sorts and encodes a shard.
@@ -94,7 +94,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes:
         if ids_of:
             yield flush()
 
-    ordered.mapInArrow(encode, FORMAT_DDL).write.option("compression", "none").parquet(path)
+    mapped(ordered, encode, FORMAT_DDL).write.option("compression", "none").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import mapped, plain, slices
 from .tokenizing import encoder
 
 KEY = ["source", "lang", "tokenizer"]
@@ -36,7 +36,7 @@ def counts(docs: DataFrame, tokenizer: str) -> DataFrame:
             _, bounds = enc.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.array(np.diff(bounds))], ["doc_id", "source", "lang", "n_tokens"])
 
-    return docs.select("doc_id", "source", "lang", "text").mapInArrow(count, "doc_id bigint, source string, lang string, n_tokens bigint")
+    return mapped(plain(docs, "doc_id", "source", "lang", "text"), count, "doc_id bigint, source string, lang string, n_tokens bigint")
 
 
 def inserts(counted: DataFrame, version: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A byte-level BPE vocabulary splits a text before every space that follows a non-space, so a text is the
 concatenation of its space-separated pieces, each encoded with its leading space. Pieces repeat a great deal,
-so Arrow dictionary-encodes them and the library encodes each new piece once; a bounded cache keeps them.
-A text where a space follows other white space, or which ends with a space, goes through the library whole.
+so Arrow dictionary-encodes them and the library encodes each new piece once; a bounded cache keeps those that come again.
+A text where a space follows other white space, which ends with a space, or which may hold an added token of the vocabulary (such as
+an end-of-text mark, which the library finds in texts too) goes through the library whole.
 """
 
 from __future__ import annotations
@@ -14,8 +15,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces kept by one worker; beyond that it starts anew. Only speed depends on it.
-CACHE_PIECES = 700_000
+from .common import slices
+
+#: Bytes of pieces kept by one worker, about, with ``ENTRY`` for each besides its characters; beyond that those go that were met but
+#: once. Only speed depends on it.
+CACHE_BYTES, ENTRY = 40 << 20, 200
+#: Bytes of text that are encoded at once, or a single text.
+AT_ONCE = 4 << 20
 #: Pieces in one call of the library.
 JOINED = 2000
 #: White space of any kind before a space.
@@ -27,8 +33,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
+        self.added = [str(t.content).strip() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = max(vocabulary.values()) + 1
         self.opens = np.zeros(self.size, bool)
         for token, i in vocabulary.items():
@@ -41,6 +47,20 @@ class Encoder:
         self.used = 0
         self.start = np.empty(1 << 15, np.int64)
         self.length = np.empty(1 << 15, np.int64)
+        self.again = np.zeros(1 << 15, bool)
+        self.held = 0
+
+    def forget(self) -> None:
+        """Drops pieces that weren't met again since the last time, or all if they are still many."""
+        kept = [(p, i) for p, i in self.index.items() if self.again[i]]
+        if sum(len(p) + ENTRY for p, _ in kept) > CACHE_BYTES // 2:
+            kept = []
+        old = np.array([i for _, i in kept], np.int64)
+        start, length, flat = self.start[old], self.length[old], self.flat
+        self.clear()
+        if len(old):
+            ends = np.cumsum(length)
+            self._keep([p for p, _ in kept], flat[np.arange(int(ends[-1])) + np.repeat(start - (ends - length), length)], length)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -52,11 +72,13 @@ class Encoder:
         while have + n > len(self.start):
             self.start = np.concatenate([self.start, np.empty_like(self.start)])
             self.length = np.concatenate([self.length, np.empty_like(self.length)])
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
         self.flat[self.used : self.used + len(ids)] = ids
         self.length[have : have + n] = lengths
         self.start[have : have + n] = self.used + np.cumsum(lengths) - lengths
         self.used += len(ids)
         self.index.update(zip(pieces, range(have, have + n)))
+        self.held += ENTRY * n + sum(map(len, pieces))
 
     def _learn(self, pieces: list[str]) -> None:
         """Encodes new pieces, many in a call; a token that opens with a space marks where the next piece begins."""
@@ -71,10 +93,23 @@ class Encoder:
                 self._keep(some, np.fromiter((x for e in each for x in e), np.int32), np.array([len(e) for e in each], np.int64))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after another (null: empty), and where each text's begin, with the end last."""
+        parts, ends, base = [], [np.zeros(1, np.int64)], 0
+        for part in slices([pa.record_batch([texts], ["text"])], "text", AT_ONCE):
+            ids, bounds = self._encode(part.column("text"))
+            parts.append(ids)
+            ends.append(bounds[1:] + base)
+            base += len(ids)
+        return np.concatenate(parts) if parts else np.empty(0, np.int32), np.concatenate(ends)
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another (null: empty), and where each text's begin, with the end last."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
         n = len(texts)
-        hard = pc.or_(pc.match_substring_regex(texts, RUN), pc.ends_with(texts, " ")).to_numpy(zero_copy_only=False)
+        hard = pc.or_(pc.match_substring_regex(texts, RUN), pc.ends_with(texts, " "))
+        for token in self.added:
+            hard = pc.or_(hard, pc.match_substring(texts, token))
+        hard = hard.to_numpy(zero_copy_only=False)
         easy = pc.if_else(pa.array(hard), "", texts) if hard.any() else texts
         lists = pc.split_pattern(easy, " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -87,10 +122,11 @@ class Encoder:
         distinct = coded.dictionary.to_pylist()
         needed = np.zeros(len(distinct), bool)
         needed[codes[inner]] = True
-        if len(self.index) + int(needed.sum()) > CACHE_PIECES:
-            self.clear()
+        if self.held > CACHE_BYTES:
+            self.forget()
         get = self.index.get
         slots = np.fromiter((get(p, -1) for p in distinct), np.int64, len(distinct))
+        self.again[slots[slots >= 0]] = True
         new = np.flatnonzero(needed & (slots < 0))
         if len(new):
             have = len(self.index)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, slices, stage
+from .common import mapped, plain, slices, stage
 
 #: Labelled documents that are learned from, at most, for each label: those of the smallest id hashes.
 SAMPLE = 4_000
@@ -272,7 +272,7 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE
             out = [(y, entry, e) for y, t in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()) for entry, e in {(m[5], m[4]) for m in scorer.matches(t or "")} if e]
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.int32(), pa.string(), pa.int32()))], ["y", "entry", "e"])
 
-    near = rows.mapInArrow(forms, "y int, entry string, e int").groupBy("entry", "e").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect()  # at most two for each entry
+    near = mapped(rows, forms, "y int, entry string, e int").groupBy("entry", "e").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect()  # at most two for each entry
     for r in near:
         own = list(made.words[r["entry"]])
         own[r["e"]] = min(own[r["e"]], odds(r["pos"], r["neg"]))
@@ -284,7 +284,7 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([scorer.evidence(t) for t in batch.column("text").to_pylist()], pa.float64())], ["y", "e"])
 
-    seen = rows.mapInArrow(weigh, "y int, e double").toPandas()  # two numbers for each document of the bounded sample
+    seen = mapped(rows, weigh, "y int, e double").toPandas()  # two numbers for each document of the bounded sample
     made.threshold = cut(seen["e"].to_numpy(), seen["y"].to_numpy())
     return made
 
@@ -310,7 +310,7 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([scorer.score(t) for t in batch.column("text").to_pylist()], pa.float64())], ["doc_id", "score"])
 
-    return plain(docs, "doc_id", "text").mapInArrow(run, "doc_id bigint, score double")
+    return mapped(plain(docs, "doc_id", "text"), run, "doc_id bigint, score double")
 
 
 def keep(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -322,4 +322,4 @@ def keep(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         for batch in slices(batches, "text"):
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in batch.column("text").to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

@@ -19,26 +19,27 @@ component is null; rows with one doc_id are one node; an empty table gives no ro
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain, slices, stage
+from .common import few, mapped, plain, slices, small, stage
 from .components import components
 from .shingling import shingle_sets
 
 #: A shingle that more classes hold is heavy.
 HEAVY = 5
-#: Members of a heavy shingle that are compared with one another in one task.
-BLOCK = 500
+#: Members of a heavy shingle, and shingles that their sets hold together, in one of the two blocks that a task compares with each other.
+#: A larger set is a block of its own, about.
+BLOCK, WEIGHT = 500, 200_000
 #: Documents that one task verifies against another.
 STAR = 200
-#: Ids that are broadcast to pick documents out; beyond that they are joined.
+#: Heavy shingles, of eight bytes each, that are sent to every task; beyond that they are joined.
 PICKED = 1_000_000
 
 SIGNATURES = "doc_id bigint, n bigint, set_key binary, low array<bigint>"
@@ -67,7 +68,7 @@ def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 low.append(s[: p + p // 4 + 8] if n else s)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), _lists(low)], ["doc_id", "n", "set_key", "low"])
 
-    return docs.mapInArrow(sign, SIGNATURES)
+    return mapped(docs, sign, SIGNATURES)
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -81,12 +82,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 def pick(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``docs`` joined with ``wanted`` on doc_id. Few wanted rows are broadcast, so that documents are not shuffled for them."""
-    return docs.join(F.broadcast(wanted) if wanted.count() <= PICKED else wanted, "doc_id")
-
-
-def small(rows: DataFrame) -> DataFrame:
-    """``rows`` marked for a broadcast if they are counted as few enough."""
-    return F.broadcast(rows) if rows.count() <= PICKED else rows
+    return docs.join(small(wanted), "doc_id")
 
 
 def whole_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -98,7 +94,8 @@ def whole_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
             keys = pa.array([_digest(x) for x in own], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), keys, pa.array([len(x) for x in own], pa.int64()), _lists(own)], ["cid", "set_key", "n", "low"])
 
-    rows = pick(docs, classes.select(F.col("cid").alias("doc_id")).distinct()).select("doc_id", "text").mapInArrow(unpack, "cid bigint, set_key binary, n bigint, low array<bigint>")
+    rows = pick(docs, classes.select(F.col("cid").alias("doc_id")).distinct()).select("doc_id", "text")
+    rows = mapped(rows, unpack, "cid bigint, set_key binary, n bigint, low array<bigint>")
     return rows.join(small(classes.select("cid", "set_key")), ["cid", "set_key"], "left_semi")
 
 
@@ -108,7 +105,7 @@ def divide(classes: DataFrame, heavy: DataFrame) -> DataFrame:
         hot = classes.select("cid", "set_key", F.explode("low").alias("token")).join(heavy, "token").groupBy("cid", "set_key").agg(F.array_sort(F.collect_set("token")).alias("hot"))
         known = classes.join(hot, ["cid", "set_key"], "left").withColumn("hot", F.coalesce("hot", F.array().cast("array<bigint>")))
         return known.withColumn("cool", F.array_except("low", "hot"))
-    sent = classes.sparkSession.sparkContext.broadcast(np.sort(np.array([r["token"] for r in heavy.collect()], np.int64)))
+    sent = classes.sparkSession.sparkContext.broadcast(np.sort(heavy.toArrow().column("token").to_numpy()))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
@@ -122,7 +119,7 @@ def divide(classes: DataFrame, heavy: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *parts], [*batch.schema.names, "cool", "hot"])
 
     classes = classes.select("cid", "set_key", "n", "low")
-    return classes.mapInArrow(split, "cid bigint, set_key binary, n bigint, low array<bigint>, cool array<bigint>, hot array<bigint>")
+    return mapped(classes, split, "cid bigint, set_key binary, n bigint, low array<bigint>, cool array<bigint>, hot array<bigint>")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -153,7 +150,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> Dat
                     right.append(b[i])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    return met.mapInArrow(links, "a bigint, b bigint").distinct()
+    return mapped(met, links, "a bigint, b bigint").distinct()
 
 
 def _links(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
@@ -232,17 +229,53 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def bands(n: Column, num: int, den: int) -> Column:
+    """Sizes that can link are in one band or in two that are next to each other."""
+    width = max(math.log(den / num) * 1.001, 1e-6)
+    return F.floor(F.log(n) / width)
+
+
+def meetings(members: DataFrame, num: int, den: int) -> DataFrame:
+    """``members(token, cid, label, n)`` dealt to pairs of blocks (``i``, ``j``) of their token, ``own`` being the one a member is from.
+
+    A token's members are dealt by band of sizes and, within a band, by hash into blocks that are bounded in members and in
+    weight; blocks of one band meet each other and those of the next.
+    """
+    banded = members.withColumn("band", bands(F.col("n"), num, den))
+    sizes = banded.groupBy("token", "band").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / WEIGHT)).alias("blocks"))
+    name = lambda band, block: F.shiftleft(band, 32) + block
+    dealt = banded.join(sizes, ["token", "band"]).withColumn("own", name(F.col("band"), F.pmod(F.xxhash64("cid"), F.col("blocks")))).drop("blocks")
+    ways = dealt.withColumn("other", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1))))).drop("band")
+    met = ways.join(sizes.withColumnRenamed("band", "other"), ["token", "other"])
+    met = met.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("to", name(F.col("other"), F.col("block")))
+    return met.select("token", "cid", "label", "own", F.least("own", "to").alias("i"), F.greatest("own", "to").alias("j"))
+
+
+def _apart(block: pa.Table) -> np.ndarray:
+    """Members that these two blocks bring together: of different labels, and not of one block unless it meets itself."""
+    label, own = block["label"].to_numpy(), block["own"].to_numpy()
+    apart = label[:, None] != label[None, :]
+    return apart if block["i"][0] == block["j"][0] else apart & (own[:, None] != own[None, :])
+
+
 def _needed(num: int, den: int):
     """Of two blocks of one shingle's members those that must be compared under it: some other of a different label has a size
     that fits, and no smaller heavy shingle in its prefix too, under which the two meet anyway."""
 
-    def needed(block: pd.DataFrame) -> pd.DataFrame:
-        label, n = block["label"].to_numpy(), block["n"].to_numpy()
-        token = int(block["token"].iloc[0])
-        less = [h[h < token] for h in (np.asarray(x) for x in block["hot"])]
-        shared = common(less) > 0 if sum(map(len, less)) else np.zeros((len(n), len(n)), bool)
-        fits = (n[:, None] * num <= n[None, :] * den) & (n[None, :] * num <= n[:, None] * den)
-        return block[(fits & ~shared & (label[:, None] != label[None, :])).any(axis=1)][["token", "cid", "label", "i", "j"]]
+    def needed(block: pa.Table) -> pa.Table:
+        wanted = ["token", "cid", "label", "own", "i", "j"]
+        apart = _apart(block)
+        if not apart.any():
+            return block.select(wanted).slice(0, 0)
+        n = block["n"].to_numpy()
+        token = block["token"][0].as_py()
+        hot = block["hot"].combine_chunks()
+        flat, ends = hot.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(pc.list_value_length(hot).to_numpy(zero_copy_only=False))])
+        less = [h[h < token] for h in (flat[a:b] for a, b in zip(ends[:-1], ends[1:]))]
+        fits = apart & (n[:, None] * num <= n[None, :] * den) & (n[None, :] * num <= n[:, None] * den)
+        if sum(map(len, less)):
+            fits &= common(less) == 0
+        return block.select(wanted).filter(pa.array(fits.any(axis=1)))
 
     return needed
 
@@ -250,27 +283,30 @@ def _needed(num: int, den: int):
 def _compare(k: int, num: int, den: int):
     """Links between different labels in two blocks of one shingle's members, as few as connect what they connect."""
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        sets = list(shingle_sets(pa.array(block["text"]), k))
+    def compare(block: pa.Table) -> pa.Table:
+        apart = _apart(block)
         cid, label = block["cid"].to_numpy(), block["label"].to_numpy()
-        n = np.array([len(s) for s in sets], np.float64)
-        both = common(sets).astype(np.float64)
-        linked = (den * both >= num * (n[:, None] + n[None, :] - both)) & (label[:, None] < label[None, :])
-        root: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while root.setdefault(x, x) != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        out = []
-        for x, y in zip(*np.nonzero(linked)):
-            a, b = find(label[x]), find(label[y])
-            if a != b:
-                root[b] = a
-                out.append((cid[x], cid[y]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        out: tuple[list[int], list[int]] = ([], [])
+        if apart.any():
+            sets = [s for part in block["text"].chunks for s in shingle_sets(part, k)]
+            n = np.array([len(s) for s in sets], np.float64)
+            both = common(sets).astype(np.float64)
+            linked = (den * both >= num * (n[:, None] + n[None, :] - both)) & apart & (label[:, None] < label[None, :])
+            root: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while root.setdefault(x, x) != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            for x, y in zip(*np.nonzero(linked)):
+                a, b = find(label[x]), find(label[y])
+                if a != b:
+                    root[b] = a
+                    out[0].append(cid[x])
+                    out[1].append(cid[y])
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 
     return compare
 
@@ -300,16 +336,15 @@ def linked(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
 
     # what is left: members of one heavy shingle whose labels differ
     label = components(first, "a", "b")
-    posted = posts.select("cid", F.explode("hot").alias("token")).join(label.withColumnRenamed("node", "cid"), "cid", "left")
-    posted = stage(posted.select("token", "cid", F.coalesce("label", "cid").alias("label")), "labelled")
-    mixed = posted.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x < y")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = posted.join(mixed.select("token", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    placed = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", "cid", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    posted = posts.select("cid", "n", F.explode("hot").alias("token")).join(label.withColumnRenamed("node", "cid"), "cid", "left")
+    posted = stage(posted.select("token", "cid", "n", F.coalesce("label", "cid").alias("label")), "labelled")
+    mixed = posted.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
+    placed = meetings(stage(posted.join(mixed, "token"), "mixed"), num, den)
     with_hot = placed.join(posts.where(F.size("hot") > 0).select("cid", "n", "hot"), "cid")
-    placed = stage(with_hot.groupBy("token", "i", "j").applyInPandas(_needed(num, den), "token bigint, cid bigint, label bigint, i int, j int"), "placed")
-    met = pick(docs, placed.withColumnRenamed("cid", "doc_id")).withColumnRenamed("doc_id", "cid")
-    rest = met.groupBy("token", "i", "j").applyInPandas(_compare(k, num, den), "a bigint, b bigint").distinct()
+    wanted = "token bigint, cid bigint, label bigint, own bigint, i bigint, j bigint"
+    placed = stage(with_hot.groupBy("token", "i", "j").applyInArrow(_needed(num, den), wanted), "placed")
+    met = pick(docs, placed.withColumnRenamed("cid", "doc_id")).withColumnRenamed("doc_id", "cid").select("token", "cid", "label", "own", "i", "j", "text")
+    rest = met.groupBy("token", "i", "j").applyInArrow(_compare(k, num, den), "a bigint, b bigint").distinct()
     return first.union(rest)
 
 
@@ -319,12 +354,12 @@ def join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     signed = stage(signatures(docs, k, num, den), "signatures")
     sound = signed.where("n > 0 and doc_id is not null")
     copied = stage(sound.groupBy("set_key").agg(F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("c")).where("c > 1").select("set_key", "cid"), "copied")
-    few = copied.count() <= PICKED
-    keys = F.broadcast(copied) if few else copied
+    held = few(copied)
+    keys = F.broadcast(copied) if held else copied
     # copies are combined in each task before they are shuffled
     of_copies = sound.join(keys, "set_key", "left_semi").groupBy("set_key").agg(F.min(F.struct("doc_id", "n", "low")).alias("r"))
     classes = sound.join(keys, "set_key", "left_anti").select(F.col("doc_id").alias("cid"), "set_key", "n", "low").unionByName(of_copies.select(F.col("r.doc_id").alias("cid"), "set_key", "r.n", "r.low"))
-    links = linked(classes if few else stage(classes, "class-rows"), docs, k, num, den)
+    links = linked(classes if held else stage(classes, "class-rows"), docs, k, num, den)
     # equal sets, and sets of rows with one doc_id, meet in a node
     same = sound.select("doc_id", "set_key").join(keys, "set_key").where("doc_id <> cid").select(F.col("cid").alias("a"), F.col("doc_id").alias("b"))
     label = components(links.union(same), "a", "b")

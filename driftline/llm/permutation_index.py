@@ -8,12 +8,14 @@ pivot in common (the footrule distance, a missing pivot counting as rank ``LISTE
 Queries are sent to the blocks ``QUERIES`` at a time. Pivots are a bounded sample (the ``PIVOTS`` smallest hashes of ids).
 
 Defined cases: vectors that are null, zero, hold a null or non-finite component, or whose length isn't the most common one (the larger, in
-a tie) take no part, nor do rows with a null id; rows with the query's id are the query's own; equal scores go to the smaller id; an empty table gives
-no rows; other columns are not read.
+a tie) take no part, nor do rows with a null id; rows with the query's id are the query's own, and are left out before candidates are cut;
+rows that share an id are one candidate, which counts by the best of them, and one query, which asks with each and goes by the best; equal
+scores go to the smaller id; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import plain
+from .common import mapped, plain, shared_dir, stage
 
 PIVOTS = 512
 LISTED = 64
@@ -47,8 +49,12 @@ class PermutationBlock:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, listed: int):
         order = np.argsort(ids, kind="stable")
+        again = np.append(False, (ids[order][1:] == ids[order][:-1]) & (vectors[order][1:] == vectors[order][:-1]).all(axis=1))
+        order = order[~again]  # a row said twice
         self.ids, self.vectors, self.pivots = ids[order], vectors[order], pivots
         self.listed = min(listed, len(pivots))
+        self.first = np.flatnonzero(np.append(True, self.ids[1:] != self.ids[:-1])[: len(self.ids)])  # of each id's rows
+        self.repeats = len(self.first) < len(self.ids)
         near = self.nearest(self.vectors)
         flat = near.ravel()
         by = np.argsort(flat, kind="stable")
@@ -58,25 +64,37 @@ class PermutationBlock:
     def nearest(self, vectors: np.ndarray) -> np.ndarray:
         return np.argsort(-(vectors @ self.pivots.T), axis=1, kind="stable")[:, : self.listed]
 
-    def candidates(self, order: np.ndarray, most: int) -> np.ndarray:
-        """Rows of smallest footrule distance to the pivots in ``order``, ties to smaller ids."""
+    def candidates(self, order: np.ndarray, share: float, least: int, own: int) -> np.ndarray:
+        """Rows of the ids of smallest footrule distance to the pivots in ``order``, ties to smaller ids, without the id ``own``."""
         at = np.concatenate([np.arange(self.begin[p], self.begin[p + 1]) for p in order])
-        own = np.repeat(np.arange(self.listed), self.begin[order + 1] - self.begin[order])
-        gain = np.bincount(self.row[at], self.listed - np.maximum(own, self.rank[at]), len(self.ids))
-        if most >= len(gain):
-            return np.arange(len(gain))
-        worst = -np.partition(-gain, most - 1)[most - 1]
-        sure = np.flatnonzero(gain > worst)
-        return np.concatenate([sure, np.flatnonzero(gain == worst)[: most - len(sure)]])
+        asked = np.repeat(np.arange(self.listed), self.begin[order + 1] - self.begin[order])
+        gain = np.bincount(self.row[at], self.listed - np.maximum(asked, self.rank[at]), len(self.ids))
+        ids = self.ids[self.first]
+        if self.repeats:
+            gain = np.maximum.reduceat(gain, self.first)
+        mine = ids == own
+        most = max(least, int(np.ceil(share * len(ids))))
+        if most >= len(ids) - mine.sum():
+            chosen = np.flatnonzero(~mine)
+        else:
+            gain[mine] = -1
+            worst = -np.partition(-gain, most - 1)[most - 1]
+            sure = np.flatnonzero(gain > worst)
+            chosen = np.concatenate([sure, np.flatnonzero(gain == worst)[: most - len(sure)]])
+        if not self.repeats:
+            return chosen
+        size = np.diff(np.append(self.first, len(self.ids)))[chosen]
+        return np.repeat(self.first[chosen] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
     def search(self, ids: np.ndarray, vectors: np.ndarray, k: int, share: float, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        most = max(least, int(np.ceil(share * len(self.ids))))
         out: tuple[list, list, list] = ([], [], [])
         for query, vector, order in zip(ids, vectors, self.nearest(vectors)):
-            rows = self.candidates(order, most)
-            rows = rows[self.ids[rows] != query]
+            rows = self.candidates(order, share, least, query)
             score = self.vectors[rows] @ vector
-            best = np.lexsort((self.ids[rows], -score))[:k]
+            best = np.lexsort((self.ids[rows], -score))
+            if self.repeats:  # an id counts by its best row
+                best = best[np.sort(np.unique(self.ids[rows[best]], return_index=True)[1])]
+            best = best[:k]
             for x, y in zip(out, (np.full(len(best), query), self.ids[rows[best]], score[best])):
                 x.append(y)
         return tuple(np.concatenate(x) if x else np.empty(0) for x in out)
@@ -88,12 +106,12 @@ def search(vectors: DataFrame, queries: Column, k: int, pivots: int = PIVOTS, li
     kept, size = usable(vectors)
     made = [r["embedding"] for r in kept.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("embedding").collect()]
     sent_pivots = spark.sparkContext.broadcast(np.array(made, np.float64).reshape(len(made), size))
-    asked = kept.where(queries)
+    asked = stage(kept.where(queries).distinct(), "queries")
     n = max(1, -(-asked.count() // QUERIES))
-    found = None
+    path = f"{shared_dir(spark)}/found-{uuid.uuid4().hex}"
     for i in range(n):
-        own = asked if n == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == i)
-        rows = own.collect()
+        own = asked if n == 1 else asked.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n)) == i)
+        rows = own.collect()  # about ``QUERIES``
         sent = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in rows], np.int64), np.array([r["embedding"] for r in rows], np.float64).reshape(len(rows), size)))
 
         def look(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -116,8 +134,8 @@ def search(vectors: DataFrame, queries: Column, k: int, pivots: int = PIVOTS, li
             if ids and sum(map(len, ids)):
                 yield ask()
 
-        part = kept.mapInArrow(look, FOUND)
-        found = part if found is None else found.union(part)
-    # from each block at most k rows a query
+        # from each block at most k rows a query
+        mapped(kept, look, FOUND).write.mode("append").parquet(path)
+    found = spark.read.schema(FOUND).parquet(path).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,7 +2,8 @@
 
 Segment: a run of whole documents with one frequency table, shared by its blocks. Block: ``BLOCK`` ids of the segment;
 id ``i`` of a block belongs to lane ``i % LANES``. A block is decoded from its own states alone, and a checkpoint in it
-(the states and the word position before a step) lets a decoder begin there. A crc32 of the ids guards each block.
+(the states and the word position before a step) lets a decoder begin there. A crc32 of its ids guards each stretch from
+one checkpoint to the next, so whoever begins at one is as sure as who reads the whole block.
 """
 
 from __future__ import annotations
@@ -104,28 +105,34 @@ def encode_block(ids: np.ndarray, freq: np.ndarray, cum: np.ndarray) -> dict:
             points.append((t, words, state.copy()))
     return {
         "n": n,
-        "crc": crc(ids),
+        "crcs": [crc(ids[i : i + EVERY * LANES]) for i in range(0, n, EVERY * LANES)],
         "states": state.astype("<u8").tobytes(),
         "words": (np.concatenate(out[::-1]) if out else np.empty(0, np.uint32)).astype("<u4").tobytes(),
         "points": [{"step": t, "word": words - w, "states": s.astype("<u8").tobytes()} for t, w, s in points[::-1]],
     }
 
 
-def decode_block(block: dict, table: Table, slots: np.ndarray, since: int | None = None) -> np.ndarray:
-    """The ids of a block, or those from the checkpoint ``since`` on; raises Corrupt if the whole block's checksum differs."""
-    n, step, at = block["n"], 0, 0
-    state = np.frombuffer(block["states"], "<u8").copy()
-    if since is not None:
-        point = block["points"][since]
-        step, at, state = point["step"], point["word"], np.frombuffer(point["states"], "<u8").copy()
+def decode_block(block: dict, table: Table, slots: np.ndarray, first: int = 0, stop: int | None = None) -> np.ndarray:
+    """The ids of a block from ``first`` to ``stop``, decoded from the checkpoint before; raises Corrupt if a stretch's checksum differs."""
+    n = block["n"]
+    stop = n if stop is None else min(stop, n)
+    stretch = EVERY * LANES
+    if first >= stop:
+        return np.empty(0, np.uint32)
+    since, until = first // stretch, -(-stop // stretch)
+    if since:
+        point = block["points"][since - 1]
+        at, state = point["word"], np.frombuffer(point["states"], "<u8").copy()
+    else:
+        at, state = 0, np.frombuffer(block["states"], "<u8").copy()
     words = np.frombuffer(block["words"], "<u4").astype(np.uint64)
     freqs = table.freqs.astype(np.uint64)
     cum = np.cumsum(freqs) - freqs
     mask, bits, shift = np.uint64((1 << BITS) - 1), np.uint64(BITS), np.uint64(32)
-    begin = step * LANES
-    ids = np.empty(n - begin, np.uint32)
-    for t in range(step, -(-n // LANES)):
-        a, b = t * LANES, min(n, (t + 1) * LANES)
+    begin, end = since * stretch, min(n, until * stretch)
+    ids = np.empty(end - begin, np.uint32)
+    for a in range(begin, end, LANES):
+        b = min(n, a + LANES)
         x = state[: b - a]
         slot = x & mask
         k = slots[slot]
@@ -139,9 +146,10 @@ def decode_block(block: dict, table: Table, slots: np.ndarray, since: int | None
             at += len(low)
         state[: b - a] = x
     ids = table.symbols[ids]
-    if since is None and crc(ids) != block["crc"]:
-        raise Corrupt("checksum")
-    return ids
+    for i in range(since, until):
+        if crc(ids[i * stretch - begin : (i + 1) * stretch - begin]) != block["crcs"][i]:
+            raise Corrupt("checksum")
+    return ids[first - begin : stop - begin]
 
 
 def encode(ids: np.ndarray) -> tuple[bytes, list[dict]]:
@@ -151,9 +159,22 @@ def encode(ids: np.ndarray) -> tuple[bytes, list[dict]]:
     return table.pack(), [encode_block(ids[i : i + BLOCK], freq, cum) for i in range(0, len(ids), BLOCK)]
 
 
+class Reader:
+    """The ids of one segment, whole or in part."""
+
+    def __init__(self, table: bytes, blocks: list[dict]):
+        self.blocks = blocks
+        self.table = Table.unpack(table) if blocks else None
+        self.slots = self.table.slots() if blocks else None
+
+    def ids(self, first: int = 0, stop: int | None = None) -> np.ndarray:
+        parts, base = [np.empty(0, np.uint32)], 0
+        for block in self.blocks:
+            if base + block["n"] > first and (stop is None or base < stop):
+                parts.append(decode_block(block, self.table, self.slots, max(0, first - base), None if stop is None else stop - base))
+            base += block["n"]
+        return np.concatenate(parts)
+
+
 def decode(table: bytes, blocks: list[dict]) -> np.ndarray:
-    if not blocks:
-        return np.empty(0, np.uint32)
-    made = Table.unpack(table)
-    slots = made.slots()
-    return np.concatenate([decode_block(b, made, slots) for b in blocks])
+    return Reader(table, blocks).ids()

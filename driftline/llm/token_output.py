@@ -1,19 +1,22 @@
 """Token-ID output: documents in ascending doc_id order, as segments of interleaved rANS blocks (see ``rans``).
 
 Format, a Parquet table with a row for each segment: ``shard`` and ``segment`` (together in doc_id order), ``doc_ids`` and
-``lengths`` of its whole documents, the packed frequency ``table`` and the ``blocks``. A shard is a doc_id range.
+``lengths`` of its whole documents, the packed frequency ``table`` and the ``blocks``. A shard is a range of (doc_id, hash of the text).
 
 Defined cases: a null text is empty, and an empty text is its end id alone; rows with equal doc_id follow one another,
-ordered by text; a null doc_id comes first; an empty table gives an empty output; other columns are not read.
+ordered by hash of the text and text, so many of them are several shards; a null doc_id comes first; a very long text is a segment of its own; an
+empty table gives an empty output; other columns are not read.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,49 +24,27 @@ from . import rans
 from .common import mapped, plain, shared_dir, slices, stage
 from .tokenizing import encoder, with_end
 
-#: Bytes of text in a shard, about; one task sorts and encodes a shard.
+#: Bytes of text in a shard, on average; one task sorts and encodes a shard.
 SHARD_BYTES = 16 << 20
 #: Ids after which a segment ends with the document at hand.
 SEGMENT_IDS = 3 << 20
 
 POINT = pa.struct([("step", pa.int32()), ("word", pa.int64()), ("states", pa.binary())])
-BLOCK = pa.struct([("n", pa.int32()), ("crc", pa.int64()), ("states", pa.binary()), ("words", pa.binary()), ("points", pa.list_(POINT))])
+BLOCK = pa.struct([("n", pa.int32()), ("crcs", pa.list_(pa.int64())), ("states", pa.binary()), ("words", pa.binary()), ("points", pa.list_(POINT))])
 FORMAT = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("table", pa.binary()), ("blocks", pa.list_(BLOCK))])
 POINT_DDL = "struct<step:int,word:bigint,states:binary>"
-FORMAT_DDL = f"shard int, segment int, doc_ids array<bigint>, lengths array<bigint>, table binary, blocks array<struct<n:int,crc:bigint,states:binary,words:binary,points:array<{POINT_DDL}>>>"
-
-
-def _shards(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """``docs`` with the number of its doc_id range. The bounds are quantiles, a driver-side list as long as the shards are many."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // shard_bytes))
-    if n == 1:
-        return docs.withColumn("shard", F.lit(0)), 1
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("b")).first()["b"]
-    bounds = sorted(set(bounds or []))
-    return docs.withColumn("shard", _bucket(bounds).cast("int")), len(bounds) + 1
-
-
-def _bucket(bounds: list[int]):
-    """Which range a doc_id is in, as a balanced tree of comparisons."""
-
-    def tree(a: int, b: int):
-        if a == b:
-            return F.lit(a)
-        m = (a + b) // 2
-        return F.when(F.col("doc_id") < int(bounds[m]), tree(a, m)).otherwise(tree(m + 1, b))
-
-    return F.when(F.col("doc_id").isNull(), 0).otherwise(tree(0, len(bounds)))
+FORMAT_DDL = f"shard int, segment int, doc_ids array<bigint>, lengths array<bigint>, table binary, blocks array<struct<n:int,crcs:array<bigint>,states:binary,words:binary,points:array<{POINT_DDL}>>>"
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes: int = SHARD_BYTES) -> None:
     """Tokenizes, orders and encodes ``docs(doc_id, text)`` into ``path``."""
-    dealt, n = _shards(plain(docs, "doc_id", "text"), shard_bytes)
-    ordered = dealt.repartitionById(n, "shard").sortWithinPartitions("shard", "doc_id", "text")
+    docs = plain(docs, "doc_id", "text").withColumn("tie", F.xxhash64("text"))
+    n = max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes))
+    ordered = docs.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        shard, segment = None, 0
+        shard, segment = TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         ids_of: list = []
         lengths: list[int] = []
@@ -78,12 +59,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes:
 
         for batch in slices(batches, "text"):
             ids, bounds = with_end(*enc.encode(batch.column("text")), end_id)
-            doc_ids, shards = batch.column("doc_id").to_pylist(), batch.column("shard").to_pylist()
-            for i, (doc, s) in enumerate(zip(doc_ids, shards)):
-                if s != shard:
-                    if ids_of:
-                        yield flush()
-                    shard, segment = s, 0
+            for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 own = ids[bounds[i] : bounds[i + 1]]
                 held.append(own)
                 ids_of.append(doc)
@@ -97,14 +73,30 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes:
     mapped(ordered, encode, FORMAT_DDL).write.option("compression", "none").parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Decodes ``path``: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and ids as little-endian unsigned 32-bit bytes."""
+def _segments(spark: SparkSession, path: str) -> DataFrame:
+    """The files' rows with ``base``, the ids of all segments before."""
     segments = spark.read.schema(FORMAT_DDL).parquet(path)
     totals = segments.select("shard", "segment", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("total"))
-    # a row for each segment: small beside the data, and all of them are needed in one order
-    base = totals.withColumn("base", F.sum("total").over(Window.orderBy("shard", "segment").rowsBetween(Window.unboundedPreceding, -1)))
+    before = lambda w: F.coalesce(F.sum("total").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a row for each shard in one order, then the segments of each shard
+    shards = totals.groupBy("shard").agg(F.sum("total").alias("total")).select("shard", before(Window.orderBy("shard")).alias("of_shards"))
+    own = totals.withColumn("in_shard", before(Window.partitionBy("shard").orderBy("segment")))
     # written, so that the join knows its size and broadcasts it only below Spark's threshold
-    base = stage(base.select("shard", "segment", F.coalesce("base", F.lit(0)).alias("base")), "token-ids-base")
+    base = stage(own.join(shards, "shard").select("shard", "segment", (F.col("of_shards") + F.col("in_shard")).alias("base")), "token-ids-base")
+    return segments.join(base, ["shard", "segment"])
+
+
+DECODED = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
+
+
+def _decoded(doc_ids: list, begins: np.ndarray, ends: np.ndarray, base: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+    raw = [np.ascontiguousarray(p, "<u4").tobytes() for p in parts]
+    columns = [pa.array(doc_ids, pa.int64()), pa.array(begins + base, pa.int64()), pa.array(ends - begins, pa.int64()), pa.array(list(map(zlib.crc32, raw)), pa.int64()), pa.array(raw, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Decodes ``path``: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and ids as little-endian unsigned 32-bit bytes."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,13 +105,27 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ids = rans.decode(row["table"], row["blocks"])
                 ends = np.cumsum(np.asarray(row["lengths"], np.int64))
                 begins = ends - np.asarray(row["lengths"], np.int64)
-                parts = [np.ascontiguousarray(ids[a:b], "<u4") for a, b in zip(begins, ends)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(begins + row["base"]), pa.array(ends - begins), pa.array([rans.crc(p) for p in parts], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-                )
+                yield _decoded(row["doc_ids"], begins, ends, row["base"], [ids[a:b] for a, b in zip(begins, ends)])
+
+    return mapped(_segments(spark, path), decode, DECODED)
+
+
+def find(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """What ``read`` gives for the documents of ``wanted(doc_id)`` alone, decoded from the checkpoints before them."""
+    segments = _segments(spark, path)
+    held = segments.select("shard", "segment", F.posexplode("doc_ids").alias("at", "doc_id"))
+    chosen = held.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("shard", "segment").agg(F.sort_array(F.collect_list("at")).alias("chosen"))  # places in one segment
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                reader = rans.Reader(row["table"], row["blocks"])
+                ends = np.cumsum(np.asarray(row["lengths"], np.int64))[row["chosen"]]
+                begins = ends - np.asarray(row["lengths"], np.int64)[row["chosen"]]
+                yield _decoded([row["doc_ids"][k] for k in row["chosen"]], begins, ends, row["base"], [reader.ids(a, b) for a, b in zip(begins.tolist(), ends.tolist())])
 
-    return segments.join(base, ["shard", "segment"]).mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+    return mapped(segments.join(chosen, ["shard", "segment"]), decode, DECODED)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:

@@ -6,7 +6,7 @@ that fits. Only documents of cells that are still too large are summed by longer
 
 Defined cases: a bucket of one document over the limit stays as it is and is marked ``oversized``; documents that share all bits (one doc_id
 many times) and are together too large go to overflow pages, each within the limit; null texts count no bytes; null doc_ids hash as an empty string; an empty
-table has no shards; other columns are kept by ``shards`` only as the caller joins them.
+table has no shards; repeated rows are rows of their own; other columns are not read by ``shards``, and ``write`` keeps every row and column, whatever its name.
 """
 
 from __future__ import annotations
@@ -60,18 +60,36 @@ def directory(sized: DataFrame, limit: int) -> DataFrame:
 
 def shards(docs: DataFrame, limit: int) -> DataFrame:
     """doc_id, shard_id, depth, page, n_bytes (of the document) and oversized, for every document."""
-    rows = stage(plain(docs, "doc_id", "text").select("doc_id", key_hash(F.col("doc_id")).alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")), "sized")
-    shard = stage(directory(rows, limit), "directory")
+    return _placed(plain(docs, "doc_id", "text").select("doc_id", *_sized()), limit)
+
+
+def _sized() -> list[Column]:
+    return [key_hash(F.col("doc_id")).alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")]
+
+
+def _placed(rows: DataFrame, limit: int) -> DataFrame:
+    """The columns of ``rows`` but h and bytes, and where each row goes.
+
+    Each cell of ``STEP`` bits that lies in one shard is joined with it first, and rows with their cell; only rows of cells that
+    several shards divide are tried with every longer prefix in use.
+    """
+    own = [c for c in rows.columns if c not in ("h", "bytes")]
+    rows = stage(rows.withColumn("cell", _prefix(F.col("h"), STEP)), "sized")
+    shard = stage(directory(rows, limit), "directory").withColumnRenamed("n_bytes", "shard_bytes")
     depths = [r["depth"] for r in shard.select("depth").distinct().collect()]  # at most one for each bit
-    keyed = rows.withColumn("depth", F.explode(F.array(*map(F.lit, depths)))) if depths else rows.withColumn("depth", F.lit(0)).limit(0)
-    keyed = keyed.withColumn("prefix", F.expr(f"shiftright(h, {BITS} - depth)"))
-    placed = keyed.join(shard.withColumnRenamed("n_bytes", "shard_bytes"), ["depth", "prefix"])
+    tried = lambda df, ds: df.withColumn("depth", F.explode(F.array(*map(F.lit, ds)).cast("array<int>")))
+    cells = tried(rows.select("cell").distinct(), [d for d in depths if d <= STEP]).withColumn("prefix", F.expr(f"shiftright(cell, {STEP} - depth)"))
+    cells = stage(cells.join(shard, ["depth", "prefix"]).drop("prefix"), "cells-of-shards")
+    placed = rows.join(cells, "cell")
+    if deep := [d for d in depths if d > STEP]:
+        rest = tried(rows.join(cells, "cell", "left_anti"), deep).withColumn("prefix", F.expr(f"shiftright(h, {BITS} - depth)"))
+        placed = placed.unionByName(rest.join(shard, ["depth", "prefix"]).drop("prefix"))
     spilled = (F.col("shard_bytes") > limit) & (F.col("n_docs") > 1)
-    whole = placed.where(~spilled).select("doc_id", "shard_id", "depth", F.lit(0).cast("long").alias("page"), F.col("bytes").alias("n_bytes"), (F.col("shard_bytes") > limit).alias("oversized"))
-    return whole.unionByName(_pages(placed.where(spilled).select("doc_id", "shard_id", "depth", "bytes"), limit))
+    whole = placed.where(~spilled).select(*own, "shard_id", "depth", F.lit(0).cast("long").alias("page"), F.col("bytes").alias("n_bytes"), (F.col("shard_bytes") > limit).alias("oversized"))
+    return whole.unionByName(_pages(placed.where(spilled).select(*own, "shard_id", "depth", "bytes"), limit, own))
 
 
-def _pages(rows: DataFrame, limit: int) -> DataFrame:
+def _pages(rows: DataFrame, limit: int, own: list[str]) -> DataFrame:
     """Pages of buckets that no bit splits. Documents of one power of two of bytes share pages of so many as surely fit; ranks are
     counted in each task and moved up by the tasks before, so no bucket is gathered."""
     kind = F.ceil(F.log2(F.greatest(F.col("bytes"), F.lit(1)))).cast("int")
@@ -79,16 +97,26 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
     key = ["shard_id", "kind"]
     counts = rows.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("n"))
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*key, "part").orderBy("doc_id", "bytes")) - 1).join(before, [*key, "part"])
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*key, "part").orderBy(*own, "bytes")) - 1).join(before, [*key, "part"])
     fit = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.pow(F.lit(2), F.col("kind")))).cast("long")
     page = (F.floor((F.col("rank") + F.col("before")) / fit) * 64 + F.col("kind") + 1).cast("long")
-    return ranked.select("doc_id", "shard_id", "depth", page.alias("page"), F.col("bytes").alias("n_bytes"), (F.col("bytes") > limit).alias("oversized"))
+    return ranked.select(*own, "shard_id", "depth", page.alias("page"), F.col("bytes").alias("n_bytes"), (F.col("bytes") > limit).alias("oversized"))
 
 
 def write(docs: DataFrame, path: str, limit: int) -> None:
-    """Writes documents whose doc_id is unique as one folder for each shard and page."""
-    placed = docs.join(shards(docs, limit).select("doc_id", "shard_id", "page"), "doc_id")
-    placed.repartition("shard_id", "page").write.partitionBy("shard_id", "page").parquet(path)
+    """Writes every row as one folder for each shard and page; the folders' columns get an underscore before their name for each time that a column has it."""
+    names = {}
+    for name in ("row", "shard_id", "page"):
+        names[name] = name
+        while names[name] in (*docs.columns, *[v for k, v in names.items() if k != name]):
+            names[name] = f"_{names[name]}"
+    # rows are numbered once: a doc_id may be null or come again
+    numbered = stage(docs.withColumn(names["row"], F.monotonically_increasing_id()), "numbered")
+    placed = _placed(numbered.select(F.col(names["row"]).alias("row"), *_sized()), limit)
+    placed = placed.select(F.col("row").alias(names["row"]), F.col("shard_id").alias(names["shard_id"]), F.col("page").alias(names["page"]))
+    dealt = numbered.join(placed, names["row"]).drop(names["row"])
+    folders = [names["shard_id"], names["page"]]
+    dealt.repartition(*folders).write.partitionBy(*folders).parquet(path)
 
 
 def sql(limit: int) -> str:

@@ -1,13 +1,14 @@
 """Quality by nearest-neighbour voting among labelled latent-semantic vectors.
 
-Terms are what a text's shape shows in any language: n-grams of byte classes (capitals, small letters, other letters, digits, each white
-space and punctuation mark by itself), and how words repeat and how long they are. Weighted by log frequency and inverse document frequency
-and reduced by a truncated singular value decomposition, a bounded sample of labelled documents becomes latent vectors, which are
-broadcast. Every document's vector is compared with all of them by exact cosine products, a block at a time, and its nearest
-``NEIGHBOURS`` vote for their labels, weighted by similarity.
-
-Defined cases: null and empty texts have no terms and get the share of label 1 among the labelled; without labelled documents all scores are 0.5; rows are
-scored one by one, so repeated rows score alike; ties between neighbours go to the earlier of the sample; other columns are not read.
+Terms are a text's words, hashed, and what its shape shows in any language: n-grams of byte classes (capitals, small letters, other letters,
+digits, each white space and punctuation mark by itself), and how words repeat and how long they are. Weighted by log frequency and inverse
+document frequency and reduced by a truncated singular value decomposition, a bounded sample of labelled documents becomes latent vectors,
+which are broadcast. Every document's vector is compared with all of them by exact cosine products, a block at a time, and its nearest
+``NEIGHBOURS`` vote for their labels, weighted by similarity and by how many labelled documents one of the sample stands for.
+
+Defined cases: null and empty texts have no terms and get the share of label 1 among all labelled; a text counts whole, however long; without labelled
+documents of both kinds, as with an empty table, all scores are 0.5; a document that is labelled both 0 and 1 counts as 1; rows are scored one by one, so
+repeated rows score alike; ties between neighbours go to the smaller id hash; other columns are not read by ``score`` and kept by ``keep``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ from .toxicity import sample
 #: Labelled documents that are learned from, at most, for each label: those of the smallest id hashes.
 SAMPLE = 3000
 SHAPES = 4096
+#: Hashed words, and what all of a text's words weigh beside its shape.
+WORDS, WORD_SHARE = 1024, 0.3
 DIMENSIONS = 64
 NEIGHBOURS = 21
 #: Cosine products made at once.
@@ -40,11 +44,13 @@ CLASS[ord("a") : ord("z") + 1], CLASS[ord("A") : ord("Z") + 1], CLASS[ord("0") :
 for _i, _b in enumerate(b for b in range(128) if not chr(b).isalnum()):
     CLASS[_b] = 5 + _i
 REPEATS, SPREAD, LENGTHS = 16, 16, 32
+FORMS = SHAPES + REPEATS + SPREAD + LENGTHS
+TERMS = FORMS + WORDS
 
 
 def counts(text: bytes) -> np.ndarray:
-    """How often each term occurs in a whole text."""
-    out = np.zeros(SHAPES + REPEATS + SPREAD + LENGTHS, np.float32)
+    """How often each term occurs in a whole text; of words, how many distinct ones."""
+    out = np.zeros(TERMS, np.float32)
     if not text:
         return out
     c = CLASS[np.frombuffer(text, np.uint8)]
@@ -64,17 +70,19 @@ def counts(text: bytes) -> np.ndarray:
     if words:
         n = len(words)
         same = sum(map(eq, words, islice(words, 1, None)))
-        distinct = len(set(words))
+        known = set(words)
+        distinct = len(known)
         # the share of words like the one before, and of distinct words among all, each as one of a few terms that long texts count more often
         out[SHAPES + min(REPEATS - 1, same * REPEATS // n)] += n
         out[SHAPES + REPEATS + min(SPREAD - 1, distinct * SPREAD // n)] += n
-        out[SHAPES + REPEATS + SPREAD :] += np.bincount(np.minimum(LENGTHS - 1, np.fromiter(map(len, words), np.int64, n)), minlength=LENGTHS)
+        out[SHAPES + REPEATS + SPREAD : FORMS] += np.bincount(np.minimum(LENGTHS - 1, np.fromiter(map(len, words), np.int64, n)), minlength=LENGTHS)
+        out[FORMS:] += np.bincount(np.fromiter(map(crc32, known), np.int64, distinct) % WORDS, minlength=WORDS)
     return out
 
 
 def rows_of(texts: pa.Array) -> np.ndarray:
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
-    return np.stack([counts(t) for t in texts.to_pylist()]) if len(texts) else np.empty((0, SHAPES + REPEATS + SPREAD + LENGTHS), np.float32)
+    return np.stack([counts(t) for t in texts.to_pylist()]) if len(texts) else np.empty((0, TERMS), np.float32)
 
 
 @dataclass
@@ -85,13 +93,14 @@ class Space:
     basis: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
+    each: np.ndarray
     prior: float
 
     @classmethod
-    def fit(cls, rows: np.ndarray, labels: np.ndarray) -> Space:
+    def fit(cls, rows: np.ndarray, labels: np.ndarray, each: np.ndarray) -> Space:
         known = (rows > 0).sum(axis=0)
         weight = (np.log((1 + len(rows)) / (1 + known)) + 1).astype(np.float32)
-        x = cls.weighted(rows, weight)
+        x = np.concatenate([cls.weighted(rows[a : a + DOCS], weight) for a in range(0, len(rows), DOCS)])
         # randomized range finder: a few products with the sample, no square matrix of terms
         k = min(DIMENSIONS, *x.shape)
         y = x @ np.random.default_rng(0).standard_normal((x.shape[1], k + 16)).astype(np.float32)
@@ -101,12 +110,13 @@ class Space:
         q, _ = np.linalg.qr(y)
         _, _, v = np.linalg.svd(q.T @ x, full_matrices=False)
         basis = np.ascontiguousarray(v[:k].T)
-        return cls(weight, basis, _unit(x @ basis), labels.astype(np.float32), float(labels.mean()))
+        return cls(weight, basis, _unit(x @ basis), labels.astype(np.float32), each.astype(np.float32), float((labels * each).sum() / each.sum()))
 
     @staticmethod
     def weighted(rows: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        total = np.maximum(rows.sum(axis=1, keepdims=True), 1)
-        return _unit(np.log1p(rows * (1000 / total)) * weight)
+        forms, words = rows[:, :FORMS], rows[:, FORMS:]
+        forms = _unit(np.log1p(forms * (1000 / np.maximum(forms.sum(axis=1, keepdims=True), 1))) * weight[:FORMS])
+        return _unit(np.concatenate([forms, WORD_SHARE * _unit(np.log1p(words) * weight[FORMS:])], axis=1))
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
         out = np.full(len(rows), self.prior)
@@ -115,9 +125,9 @@ class Space:
             latent = _unit(self.weighted(part, self.weight) @ self.basis)
             cosine = latent @ self.vectors.T
             k = min(NEIGHBOURS, cosine.shape[1])
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k] if k < cosine.shape[1] else np.argsort(-cosine, axis=1)
+            near = nearest(cosine, k)
             own = np.take_along_axis(cosine, near, axis=1)
-            vote = np.maximum(own, 0) ** 8  # near neighbours count most
+            vote = np.maximum(own, 0) ** 8 * self.each[near]  # near neighbours count most
             sums = vote.sum(axis=1)
             got = np.where(sums > 0, (vote * self.labels[near]).sum(axis=1) / np.maximum(sums, 1e-12), self.prior)
             has = part.any(axis=1)
@@ -125,6 +135,17 @@ class Space:
         return np.clip(out, 0, 1)
 
 
+def nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """The columns of the ``k`` largest values of each row; of equal ones the first."""
+    if k == cosine.shape[1]:
+        return np.argsort(-cosine, axis=1, kind="stable")
+    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(cosine, near, axis=1).min(axis=1, keepdims=True)
+    for i in np.flatnonzero((cosine >= least).sum(axis=1) > k):
+        near[i] = np.argsort(-cosine[i], kind="stable")[:k]
+    return near
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
@@ -136,20 +157,24 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE
         for batch in slices(batches, "text"):
             rows = rows_of(batch.column("text"))
             held = [np.flatnonzero(r) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(held, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(rows, held)], pa.list_(pa.float32()))], ["y", "at", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("y"), pa.array(held, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(rows, held)], pa.list_(pa.float32()))], ["place", "y", "at", "n"])
 
-    got = mapped(sample(docs, labels, label, chosen, most), terms, "y int, at array<int>, n array<float>").toArrow()
+    known, stands = sample(docs, labels, label, chosen, most)
+    got = mapped(known, terms, "place bigint, y int, at array<int>, n array<float>").toArrow().sort_by("place")
     y = got.column("y").to_numpy()
     if len(y) < 2 or not 0 < y.sum() < len(y):
         return None
-    rows = np.zeros((len(y), SHAPES + REPEATS + SPREAD + LENGTHS), np.float32)
+    rows = np.zeros((len(y), TERMS), np.float32)
     for i, (at, n) in enumerate(zip(got.column("at"), got.column("n"))):
         rows[i, at.values.to_numpy()] = n.values.to_numpy()
-    return Space.fit(rows, y)
+    return Space.fit(rows, y, np.where(y == 1, stands[1], stands[0]))
 
 
 def _scores(space: Space | None, texts: pa.Array) -> np.ndarray:
-    return space.scores(rows_of(texts)) if space else np.full(len(texts), 0.5)
+    if not space:
+        return np.full(len(texts), 0.5)
+    # dense rows of few documents at a time
+    return np.concatenate([space.scores(rows_of(texts.slice(a, DOCS))) for a in range(0, len(texts), DOCS)] or [np.empty(0)])
 
 
 def score(docs: DataFrame, space: Space | None) -> DataFrame:

@@ -4,20 +4,25 @@ The lexicon is learned from labelled documents: words, and stems (beginnings of
 others, each with its log-odds as weight. Walking the trie with all its entries' automata at once is a deterministic automaton, whose states
 are sets of (trie node, edits); states are made when first reached, and a word costs one step a letter until no entry is near.
 
-A document's evidence is the sum over its matches of weight, times a discount for each edit, times a context factor: less where the match stands in
-quotation marks or behind a word of reporting, more where other matches are near. The score is evidence / (evidence + threshold), where the
-threshold is fitted on the labelled documents.
-
-Defined cases: null and empty texts, and texts without matches, score 0; without labelled documents of both kinds the lexicon is empty and all scores are 0; rows are
-scored one by one, so repeated rows score alike; other columns are not read.
+Words are runs of letters and digits with signs inside; signs and digits that stand for letters are folded to them, and letters spelled out one by
+one are a word. A document's evidence is the sum over its matches of weight, times a discount for each edit, times a context factor: less where
+the match stands in quotation marks of its line or behind a word of reporting, more where other matches are near. Factors and threshold are
+those of a small grid that part the labelled documents with fewest errors, each label counting for as many documents as have it; the score is
+evidence / (evidence + threshold).
+
+Defined cases: null and empty texts, and texts without matches, score 0; a text is scored whole, however long; without labelled documents of both kinds, as with an
+empty table, the lexicon is empty and all scores are 0; a document that is labelled both 0 and 1 counts as 1; rows are scored one by one, so repeated
+rows score alike; other columns are not read by ``score`` and kept by ``keep``.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +33,6 @@ from .common import mapped, plain, slices, stage
 
 #: Labelled documents that are learned from, at most, for each label: those of the smallest id hashes.
 SAMPLE = 4_000
-#: Entries of the lexicon, at most.
-ENTRIES = 4000
 #: A word or stem is an entry if so many toxic documents hold it and this share of the documents that hold it are toxic.
 HELD, SHARE = 3, 0.9
 #: By how much, as a logarithm, an entry must be unlikelier than one chance hit among all candidates.
@@ -40,10 +43,15 @@ ONE, TWO = 5, 10
 #: What a match with so many edits counts where the labelled documents hold none like it.
 DISCOUNT = (1.0, 0.6, 0.3)
 WINDOW = 8
-QUOTED, REPORTED, NEAR = 0.35, 0.6, 1.25
-WORD = re.compile(r"[^\W\d_]+")
-MARKS = {"“": "”", "„": "“", "«": "»", '"': '"'}
-# fixed values: words that introduce a quotation
+#: Context factors to choose from, for a match that is quoted, that is reported, and that has another near; the first where all do alike.
+QUOTED, REPORTED, NEAR = (0.35, 0.2, 0.6, 1.0), (0.6, 0.4, 0.8, 1.0), (1.25, 1.0, 1.5)
+PLAIN, IN_REPORT, IN_QUOTE = 0, 1, 2
+#: Letters one by one with signs between, or letters and digits with signs inside.
+WORD = re.compile(r"(?<![^\W_])[^\W\d_](?:[.\-_*][^\W\d_]){2,}(?![^\W_])|[^\W_]+(?:[@$_*]+[^\W_]+)*")
+LETTERS = str.maketrans("013457@$", "oieastas", ".-_*")
+MARK = re.compile('["“”„«»\n]')
+CLOSING = {"“": "”", "„": "“", "«": "»", '"': '"'}
+#: Words that introduce a quotation, in the languages of the documents.
 REPORTING = frozenset("said says wrote called quoted quote quotes term word phrase dit écrit mot terme sagte schrieb wort begriff dijo escribió palabra término".split())
 
 
@@ -52,6 +60,7 @@ class Lexicon:
     words: dict[str, tuple[float, float, float]] = field(default_factory=dict)  # weights by edits
     stems: dict[str, float] = field(default_factory=dict)
     threshold: float = 1.0
+    factors: tuple[float, float, float] = (QUOTED[0], REPORTED[0], NEAR[0])
 
 
 class Automaton:
@@ -172,7 +181,7 @@ class Automaton:
 
 class Scorer:
     #: Words whose matches one worker remembers, and states after which its automaton begins anew; only speed depends on them.
-    REMEMBERED, STATES = 500_000, 200_000
+    REMEMBERED, STATES, LONGEST = 150_000, 50_000, 64
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon, self.automaton = lexicon, Automaton(lexicon)
@@ -184,7 +193,10 @@ class Scorer:
                 self.seen.clear()
             if len(self.automaton.states) > self.STATES:
                 self.automaton.clear()
-            self.seen[word] = self.automaton.match(word)
+            found = self.automaton.match(word if word.isalpha() else word.translate(LETTERS))
+            if len(word) > self.LONGEST:
+                return found
+            self.seen[word] = found
         return self.seen[word]
 
     def matches(self, text: str) -> list[tuple[int, int, int, float, int, str]]:
@@ -197,46 +209,72 @@ class Scorer:
             return []
         return [(i, m.start(), m.end(), *self.look(m[0])) for i, m in enumerate(WORD.finditer(low)) if m[0] in near]
 
-    def evidence(self, text: str | None) -> float:
+    def sums(self, text: str | None) -> np.ndarray:
+        """Weights of the matches, summed by context (plain, reported, quoted) and by whether another match is near."""
+        out = np.zeros((3, 2))
         found = self.matches(text) if text else []
-        if not found:
-            return 0.0
-        low = text.lower()
-        places = np.array([f[0] for f in found])
-        close = np.searchsorted(places, places + WINDOW, "right") - np.searchsorted(places, places - WINDOW) - 1
-        total = 0.0
-        for (_, begin, end, weight, _, _), others in zip(found, close):
-            before, after = low[max(0, begin - 80) : begin], low[end : end + 80]
-            total += weight * context(before, after) * (NEAR if others else 1.0)
-        return total
+        if found:
+            low = text.lower()
+            quotes = quotations(low)
+            opens = [q[0] for q in quotes]
+            places = np.array([f[0] for f in found])
+            close = np.searchsorted(places, places + WINDOW, "right") - np.searchsorted(places, places - WINDOW) - 1
+            for (_, begin, end, weight, _, _), others in zip(found, close):
+                at = bisect_right(opens, begin) - 1
+                quoted = at >= 0 and quotes[at][1] >= end
+                out[IN_QUOTE if quoted else IN_REPORT if reported(low, begin) else PLAIN, int(others > 0)] += weight
+        return out
+
+    def evidence(self, text: str | None) -> float:
+        return float(weighed(self.sums(text), self.lexicon.factors))
 
     def score(self, text: str | None) -> float:
         e = self.evidence(text)
         return e / (e + self.lexicon.threshold)
 
 
-def context(before: str, after: str) -> float:
-    """What a match counts, by the text on either side: quoted, reported, or as it stands."""
-    line, rest = before.rsplit("\n", 1)[-1], after.split("\n", 1)[0]
-    for opens, closes in MARKS.items():
-        inside = line.count(opens) % 2 == 1 if opens == closes else line.rfind(opens) > line.rfind(closes)
-        if inside and closes in rest:
-            return QUOTED
-    behind = WORD.findall(line)[-WINDOW // 2 :]
-    return REPORTED if any(w in REPORTING for w in behind) else 1.0
+def weighed(sums: np.ndarray, factors: tuple[float, float, float]) -> np.ndarray:
+    """Evidence of sums by context and nearness (the last two axes)."""
+    quoted, told, near = factors
+    return (sums * np.array([1.0, told, quoted])[:, None] * np.array([1.0, near])).sum(axis=(-1, -2))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> DataFrame:
-    """Texts and labels (0 or 1) of at most ``most`` labelled documents of each label, those of the smallest id hashes."""
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Spans between quotation marks that open and close in one line, in order."""
+    out, begin, closing = [], 0, None
+    for m in MARK.finditer(text):
+        mark = m[0]
+        if mark == "\n":
+            closing = None
+        elif closing and mark == closing:
+            out.append((begin, m.start()))
+            closing = None
+        elif not closing and mark in CLOSING:
+            begin, closing = m.end(), CLOSING[mark]
+    return out
+
+
+def reported(text: str, begin: int) -> bool:
+    """Whether a word of reporting is among the few words before, in the same line."""
+    line = max(text.rfind("\n", 0, begin) + 1, begin - 40 * WINDOW)  # more than so many words take, and some letters for a very long one
+    return any(w in REPORTING for w in WORD.findall(text, line, begin)[-WINDOW // 2 :])
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> tuple[DataFrame, dict[int, float]]:
+    """Texts and labels (0 or 1) of at most ``most`` labelled documents of each label, those of the smallest id hashes; and for how many
+    labelled documents one of the sample stands, by label. ``place`` orders the sample."""
     own = plain(labels, "doc_id", label).where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y")).where(learn)
     parts = [own.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for y in (0, 1)]
     chosen = stage(parts[0].union(parts[1]), "labelled")
-    return plain(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")  # at most 2 * most rows of 12 bytes
+    stands = {r["y"]: max(1.0, r["count"] / most) for r in own.groupBy("y").count().collect()}
+    rows = plain(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * most rows of 12 bytes
+    return rows.select("text", "y", F.xxhash64("doc_id").alias("place")), stands
 
 
 def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE, label: str = "toxic") -> Lexicon:
     """Fits lexicon and threshold on the labelled documents that ``chosen`` (a condition on doc_id) allows."""
-    rows = stage(sample(docs, labels, label, chosen, most), "labelled-texts")
+    rows, stands = sample(docs, labels, label, chosen, most)
+    rows = stage(rows.select("text", "y"), "labelled-texts")
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
     # copies and near copies are one witness: documents whose words have the same three smallest hashes
     witness = F.hash(F.slice(F.sort_array(F.transform("ws", lambda w: F.xxhash64(w))), 1, 3))
@@ -254,7 +292,7 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE
     none = F.lit(0.0)
     surprise = F.when(F.col("pos") > 0, F.col("pos") * F.log(share / rate)).otherwise(none) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - share) / (1 - rate))).otherwise(none)
     least = math.log(max(1, held.count())) + CHANCE
-    found = held.where((F.col("pos") >= HELD) & (share >= SHARE) & (surprise >= least)).orderBy(F.desc("pos"), "w", "k").limit(ENTRIES).collect()
+    found = held.where((F.col("pos") >= HELD) & (share >= SHARE) & (surprise >= least)).collect()  # of the words of the bounded sample
     odds = lambda pos, neg: math.log((pos + 0.5) / (total[1] + 1)) - math.log((neg + 0.5) / (total[0] + 1))
     made = Lexicon()
     for r in found:
@@ -282,28 +320,34 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([scorer.evidence(t) for t in batch.column("text").to_pylist()], pa.float64())], ["y", "e"])
-
-    seen = mapped(rows, weigh, "y int, e double").toPandas()  # two numbers for each document of the bounded sample
-    made.threshold = cut(seen["e"].to_numpy(), seen["y"].to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([scorer.sums(t).ravel() for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))], ["y", "e"])
+
+    seen = mapped(rows, weigh, "y int, e array<double>").toArrow()  # seven numbers for each document of the bounded sample
+    sums, y = seen.column("e").combine_chunks().flatten().to_numpy().reshape(-1, 3, 2), seen.column("y").to_numpy()
+    each = np.where(y == 1, stands[1], stands[0])
+    grid = list(product(QUOTED, REPORTED, NEAR))
+    cuts = [cut(weighed(sums, f), y, each) for f in grid]
+    best = min(range(len(grid)), key=lambda i: (cuts[i][1], i))
+    made.factors, made.threshold = grid[best], cuts[best][0]
     return made
 
 
-def cut(evidence: np.ndarray, y: np.ndarray) -> float:
-    """The evidence that separates the labels with fewest errors; in the middle between the two values beside it."""
+def cut(evidence: np.ndarray, y: np.ndarray, each: np.ndarray) -> tuple[float, float]:
+    """The evidence that separates the labels with fewest errors, in the middle between the two values beside it, and those errors.
+    ``each`` is what a document counts."""
     order = np.argsort(evidence, kind="stable")
-    e, y = evidence[order], y[order]
-    errors = np.concatenate([[0], np.cumsum(y)]) + (len(y) - y.sum() - np.concatenate([[0], np.cumsum(1 - y)]))
+    e, good, bad = evidence[order], (each * (y == 0))[order], (each * (y == 1))[order]
+    errors = np.round(np.concatenate([[0], np.cumsum(bad)]) + (good.sum() - np.concatenate([[0], np.cumsum(good)])), 6)
     valid = np.concatenate([[True], e[1:] != e[:-1], [True]])
     best = np.flatnonzero(valid & (errors == errors[valid].min()))[-1]
     low = e[best - 1] if best else 0.0
     high = e[best] if best < len(e) else 2 * max(low, 1.0)
-    return max(float(low + high) / 2, 1e-6)
+    return max(float(low + high) / 2, 1e-6), float(errors[best])
 
 
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id and score of every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most ENTRIES entries
+    sent = docs.sparkSession.sparkContext.broadcast(lexicon)  # words of the bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)

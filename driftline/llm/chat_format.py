@@ -6,7 +6,7 @@ imitate a marker, and ``read`` gets the texts back as they were.
 
 Defined cases: turns are ordered by (turn, role, text), nulls first, so repeated turns stay; a null text or role is empty; roles the
 machine doesn't know, and turns it has no transition for, make a conversation invalid from there on (``valid``, ``first_bad``), but it is formatted
-all the same; conversations with a null id are one conversation; an empty table gives no rows; other columns are not read.
+all the same; a row with a null conv_id is a conversation of its own; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -65,7 +65,9 @@ def segments(conversations: DataFrame, template: Template, extra: Column | None
     A conversation is formatted as a whole, so its turns are brought together; nothing larger is.
     """
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    whole = plain(conversations, "conv_id", "turn", "role", "text").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    rows = plain(conversations, "conv_id", "turn", "role", "text")
+    rows = rows.withColumn("lone", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()))
+    whole = rows.groupBy("conv_id", "lone").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
     def of(t: Column) -> Column:
         loss = t["role"].isin(*template.loss_roles)

@@ -5,10 +5,12 @@ enough to hold a window are indexed (a window has no other words, so none is los
 searched backwards through wavelet-tree ranks, all of them at each step, their occurrences located by sampled suffix
 positions, and hit words merged into spans. Documents aren't shuffled, and a shard's memory follows its slice.
 
-The benchmark's windows are broadcast in blocks of at most ``BLOCK_BYTES`` of text; a larger benchmark is searched block by block.
+The benchmark's windows are made and broadcast in blocks of about ``BLOCK_BYTES`` of text; a shard is searched for every block, and the hits of all
+are merged. A worker holds all blocks, some 60 bytes for each word of the benchmark.
 
-Defined cases: a null text has no words; an item without words or with a null id has no windows; items that share an id are one item; an
-empty table of either kind gives no hits; a document longer than a slice is a shard of its own; other columns are not read by ``scan``.
+Defined cases: a null text has no words; an item without words or with a null id has no windows; items that share an id are one item; ids of
+items that aren't whole numbers are texts; an empty table of either kind gives no hits; repeated rows are scanned one by one; a document longer than a
+slice is a shard of its own; other columns are not read by ``scan`` and kept by ``remove``.
 """
 
 from __future__ import annotations
@@ -22,14 +24,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, plain, slices, stage
+from .common import mapped, plain, slices
 from .fm_index import FMIndex
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 4 << 20
 
-SCAN = "doc_id bigint, row bigint, n_words bigint, hits array<struct<first:bigint,stop:bigint,begin:bigint,end:bigint>>, items array<bigint>"
+HITS = pa.list_(pa.struct([(c, pa.int64()) for c in ("first", "stop", "begin", "end")]))
 
 # byte classes of words: [^\x00-\x2F\x3A-\x60\x7B-\x7F] after A-Z became a-z
 LOWER = np.arange(256, dtype=np.uint8)
@@ -76,14 +78,15 @@ class Block:
     vocabulary: pa.Array
     windows: np.ndarray
     lengths: np.ndarray
-    items: list[np.ndarray]
+    begin: np.ndarray  # where each window's items begin, with the end last
+    items: list
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str | None]], window: int) -> Block:
+    def of(cls, rows: list[tuple[int | str, str | None]], window: int) -> Block:
         found = words(pa.array([t for _, t in rows], pa.string()))
         coded = found.values.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
-        by: dict[bytes, set[int]] = {}
+        by: dict[bytes, set] = {}
         for (item, _), a, b in zip(rows, found.of[:-1], found.of[1:]):
             size = min(window, b - a)
             for i in range(a, b - size + 1) if size and item is not None else ():
@@ -94,7 +97,7 @@ class Block:
             own = np.frombuffer(key, np.int32)
             made[k, : len(own)] = own
             lengths[k] = len(own)
-        return cls(coded.dictionary, made, lengths, [np.array(sorted(v), np.int64) for v in by.values()])
+        return cls(coded.dictionary, made, lengths, np.cumsum([0, *map(len, by.values())]), [x for v in by.values() for x in sorted(v)])
 
 
 def search(found: Words, block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -156,64 +159,50 @@ def spans(found: Words, begin: np.ndarray, size: np.ndarray) -> dict[int, list[t
     return out
 
 
-def scan_shard(texts: pa.Array, block: Block) -> list[tuple[int, list[tuple[int, int, int, int]], list[int]]]:
+def scan_shard(texts: pa.Array, blocks: list[Block]) -> list[tuple[int, list[tuple[int, int, int, int]], list]]:
     """For each text: number of words, merged hits (first word, word after the last, first byte, byte after the last) and items."""
     found = words(texts)
-    begin, window = search(found, block)
-    hits = spans(found, begin, block.lengths[window])
+    begins, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     items: dict[int, set] = {}
-    both = np.unique(np.stack([np.searchsorted(found.of, begin, side="right") - 1, window]), axis=1) if len(begin) else np.empty((2, 0), np.int64)
-    for d, w in both.T.tolist():
-        items.setdefault(d, set()).update(block.items[w].tolist())
+    for block in blocks:
+        begin, window = search(found, block)
+        begins.append(begin)
+        sizes.append(block.lengths[window])
+        if len(begin):
+            both = np.unique(np.stack([np.searchsorted(found.of, begin, side="right") - 1, window]), axis=1)
+            for d, w in both.T.tolist():
+                items.setdefault(d, set()).update(block.items[block.begin[w] : block.begin[w + 1]])
+    hits = spans(found, np.concatenate(begins), np.concatenate(sizes))
     return [(int(b - a), hits.get(d, []), sorted(items.get(d, ()))) for d, (a, b) in enumerate(zip(found.of[:-1], found.of[1:]))]
 
 
+def item_type(benchmark: DataFrame) -> str:
+    return "bigint" if dict(benchmark.dtypes)["item_id"] in ("tinyint", "smallint", "int", "bigint") else "string"
+
+
 def blocks(benchmark: DataFrame, window: int) -> Iterator[Block]:
     """The benchmark's windows, block by block; never more than one block's text is with the driver."""
-    items = plain(benchmark, "item_id", "text")
+    items = plain(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast(item_type(benchmark)))
     n = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES))
     for k in range(n):
-        own = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
+        own = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         yield Block.of([(r["item_id"], r["text"]) for r in own.collect()], window)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_hit, items (array of item_id, ascending) and hits, for every document."""
-    spark = docs.sparkSession
-    docs = plain(docs, "doc_id", "text")
-    parts = []
-    for block in blocks(benchmark, window):
-        sent = spark.sparkContext.broadcast(block)
-
-        def find(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
-
-            row = TaskContext.get().partitionId() << 40
-            for batch in slices(batches, "text", SHARD_BYTES):
-                out = scan_shard(batch.column("text"), sent.value)
-                hits = pa.array([[dict(zip(("first", "stop", "begin", "end"), h)) for h in x[1]] for x in out], pa.list_(pa.struct([(c, pa.int64()) for c in ("first", "stop", "begin", "end")])))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(range(row, row + len(out)), pa.int64()), pa.array([x[0] for x in out], pa.int64()), hits, pa.array([x[2] for x in out], pa.list_(pa.int64()))], ["doc_id", "row", "n_words", "hits", "items"]
-                )
-                row += len(out)
-
-        parts.append(mapped(docs, find, SCAN))
-    if len(parts) == 1:
-        out = parts[0]
-    else:
-        whole = stage(parts[0], "scan")
-        for part in parts[1:]:
-            # rows are numbered as the scan deals them out, which is the same for each block
-            other = part.select("row", F.col("hits").alias("h"), F.col("items").alias("i"))
-            whole = stage(whole.join(other, "row").select("doc_id", "row", "n_words", F.concat("hits", "h").alias("hits"), F.array_sort(F.array_distinct(F.concat("items", "i"))).alias("items")), "scan")
-        out = whole
-    n_hit = F.aggregate(
-        F.array_sort("hits"),
-        F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
-        lambda s, h: F.struct((s["n"] + F.greatest(F.lit(0), h["stop"] - F.greatest(h["first"], s["to"]))).cast("long").alias("n"), F.greatest(s["to"], h["stop"]).alias("to")),
-        lambda s: s["n"],
-    )
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "hits")
+    sent = [docs.sparkSession.sparkContext.broadcast(block) for block in blocks(benchmark, window)]
+    kind = item_type(benchmark)
+    item = pa.int64() if kind == "bigint" else pa.string()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SHARD_BYTES):
+            out = scan_shard(batch.column("text"), [x.value for x in sent])
+            hits = pa.array([[dict(zip(("first", "stop", "begin", "end"), h)) for h in x[1]] for x in out], HITS)
+            n_hit = pa.array([sum(h[1] - h[0] for h in x[1]) for x in out], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x[0] for x in out], pa.int64()), n_hit, pa.array([x[2] for x in out], pa.list_(item)), hits], ["doc_id", "n_words", "n_hit", "items", "hits"])
+
+    return mapped(plain(docs, "doc_id", "text"), find, f"doc_id bigint, n_words bigint, n_hit bigint, items array<{kind}>, hits array<struct<first:bigint,stop:bigint,begin:bigint,end:bigint>>")
 
 
 def digest(scanned: DataFrame) -> DataFrame:
@@ -225,7 +214,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     """``docs`` with hit words, and what stands between them in a span, cut from ``text``; all columns are kept, and a document of which
     nothing but white space remains goes. The windows of all blocks are searched in the text as it was, and their spans merged, before it
     is cut, so the result doesn't depend on ``BLOCK_BYTES``. A worker holds the windows of every block, without their items."""
-    sent = [docs.sparkSession.sparkContext.broadcast(replace(block, items=[])) for block in blocks(benchmark, window)]
+    sent = [docs.sparkSession.sparkContext.broadcast(replace(block, begin=np.empty(0, np.int64), items=[])) for block in blocks(benchmark, window)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SHARD_BYTES):

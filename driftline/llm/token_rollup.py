@@ -7,7 +7,8 @@ commits are idempotent. Totals are the sums of committed deltas; ``compact`` rep
 A change carries counts, not texts: an insert has ``tokens_after``, a delete ``tokens_before``, a revision both (and ``*_before`` keys where they moved).
 
 Defined cases: null sources and languages are groups of their own; a null count is 0; a change of an unknown kind raises; repeated rows count each
-time; an empty batch commits and changes nothing; other columns are not read.
+time; an empty batch commits and changes nothing; null and empty texts have no tokens, and texts are counted whole, however long; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -80,23 +81,31 @@ class Rollup:
         found = self._listed("base")
         return f"{self.path}/base/{found[-1]}" if found else None
 
-    def committed(self) -> set[str]:
-        """Ids of committed batches; compacted ones are kept in the base's own list."""
-        own = {n.removeprefix("batch=") for n in self._listed("deltas")}
+    def committed(self, batch: str) -> bool:
+        """Whether a batch is committed: its own mark says so, or the list of those that were compacted."""
+        fs, mark = self._files(f"{self.path}/deltas/batch={batch}/_SUCCESS")
         base = self._base()
-        return own | ({r["batch"] for r in self.spark.read.parquet(f"{base}/batches").collect()} if base else set())
+        return fs.exists(mark) or (base is not None and not self.spark.read.parquet(f"{base}/batches").where(F.col("batch") == batch).isEmpty())
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Whether the batch was new."""
-        if batch in self.committed():
+        """Whether the batch was new. One batch id has one writer at a time."""
+        if self.committed(batch):
             return False
         deltas(changes).write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch}")
         return True
 
+    def _loose(self) -> list[str]:
+        """Committed batches since the last compaction, whose deltas count."""
+        names = [n.removeprefix("batch=") for n in self._listed("deltas")]
+        base = self._base()
+        if base is None or not names:
+            return names
+        done = {r["batch"] for r in self.spark.read.parquet(f"{base}/batches").where(F.col("batch").isin(names)).collect()}
+        return [n for n in names if n not in done]
+
     def totals(self) -> DataFrame:
         base = self._base()
-        done = set() if base is None else {r["batch"] for r in self.spark.read.parquet(f"{base}/batches").collect()}
-        paths = [f"{self.path}/deltas/{n}" for n in self._listed("deltas") if n.removeprefix("batch=") not in done]
+        paths = [f"{self.path}/deltas/batch={n}" for n in self._loose()]
         parts = [self.spark.read.schema(DELTA).parquet(*paths)] if paths else []
         if base:
             parts.append(self.spark.read.schema(DELTA).parquet(f"{base}/sums"))
@@ -108,11 +117,13 @@ class Rollup:
 
     def compact(self) -> None:
         """Sums up all committed deltas; the new base counts only once its own _SUCCESS is there, and then old deltas are ignored and removed."""
-        names = sorted(self.committed())
+        names, base = self._loose(), self._base()
         n = len(self._listed("base"))
         to = f"{self.path}/base/{n:08d}"
         self.totals().write.mode("overwrite").parquet(f"{to}/sums")
-        self.spark.createDataFrame([(b,) for b in names], "batch string").write.mode("overwrite").parquet(f"{to}/batches")
+        batches = self.spark.createDataFrame([(b,) for b in names], "batch string")
+        batches = batches if base is None else batches.unionByName(self.spark.read.parquet(f"{base}/batches"))
+        batches.write.mode("overwrite").parquet(f"{to}/batches")
         fs, mark = self._files(f"{to}/_SUCCESS")
         fs.create(mark, True).close()
         for b in names:

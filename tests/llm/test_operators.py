@@ -34,9 +34,7 @@ ODD = ["", None, " ", "a", "a  b", "a\n b", " \n x", "tail ", "<|endoftext|>", "
 def tokens(text):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(tokenizer_path()).encode(text or "", add_special_tokens=False).ids
 
 
 # tokens
@@ -58,9 +56,9 @@ def test_rans_round_trip(n):
     ids = (np.random.default_rng(n).zipf(1.3, n) % 50257).astype(np.int32)
     table, blocks = rans.encode(ids)
     assert (rans.decode(table, blocks) == ids).all()
-    for i, point in enumerate(blocks[0]["points"] if blocks else []):
-        made = rans.Table.unpack(table)
-        assert (rans.decode_block(blocks[0], made, made.slots(), i) == ids[: rans.BLOCK][point["step"] * rans.LANES :]).all()
+    reader = rans.Reader(table, blocks)
+    for first, stop in [(0, 5), (n // 2, n // 2 + 7), (n - 3, n), (131_000, 132_000), (n - 1, n + 9), (5, 5)]:
+        assert (reader.ids(max(0, first), stop) == ids[max(0, first) : stop]).all()
 
 
 def test_rans_notices_damage():
@@ -68,19 +66,29 @@ def test_rans_notices_damage():
     blocks[0]["words"] = blocks[0]["words"][:-4] + b"\1\2\3\4"
     with pytest.raises(rans.Corrupt):
         rans.decode(table, blocks)
+    table, blocks = rans.encode(np.arange(200_000) % 5000)
+    blocks[0]["points"][0]["states"] = blocks[0]["points"][0]["states"][::-1]
+    assert (rans.decode(table, blocks) == np.arange(200_000) % 5000).all()
+    with pytest.raises(rans.Corrupt):  # who begins at the checkpoint notices too
+        rans.Reader(table, blocks).ids(150_000, 150_001)
 
 
 @pytest.mark.parametrize("shard_bytes", [1 << 24, 6000])
 def test_token_output(spark, shard_bytes):
-    texts = ODD + ["again"]
-    ids = [*range(len(ODD) - 1, -1, -1), 3]
+    texts = ODD + ["same", "no id"]
+    ids = [*range(len(ODD) - 1, -1, -1), len(ODD) - 1 - ODD.index("same"), None]
     want, start = [], 0
-    for i, t in sorted(zip(ids, texts), key=lambda x: (x[0], x[1] or "")):
+    for i, t in sorted(zip(ids, texts), key=lambda x: -1 if x[0] is None else x[0]):
         own = np.array(tokens(t) + [0], "<u4")
         want.append((i, start, len(own), zlib.crc32(own.tobytes())))
         start += len(own)
-    got = token_output.round_trip(docs(spark, texts, ids), tokenizer_path(), 0, shard_bytes).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
-    assert sorted(map(tuple, got)) == sorted(want)
+    path = f"{common.shared_dir(spark)}/out-{shard_bytes}-{random.random()}"
+    token_output.write(docs(spark, texts, ids), path, tokenizer_path(), 0, shard_bytes)
+    columns = ["doc_id", "start", "n_tokens", "ids_crc32"]
+    key = lambda r: [-1 if x is None else x for x in r]
+    assert sorted(map(tuple, token_output.read(spark, path).select(columns).collect()), key=key) == sorted(want, key=key)
+    some = spark.createDataFrame([(2,), (2,), (len(ODD) - 2,), (999,)], "doc_id long")
+    assert sorted(map(tuple, token_output.find(spark, path, some).select(columns).collect())) == sorted(w for w in want if w[0] in (2, len(ODD) - 2))
     assert token_output.round_trip(docs(spark, []), tokenizer_path(), 0).count() == 0
 
 
@@ -197,6 +205,12 @@ def test_decontamination(spark, monkeypatch, block):
     assert decontamination.digest(decontamination.scan(docs(spark, texts), empty)).where("contaminated").count() == 0
 
 
+def test_items_with_text_ids(spark):
+    bench = spark.createDataFrame([("b", "w1 w2 w3"), ("a", "w2 w3 w4"), ("a", "zz")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r.items) for r in decontamination.scan(docs(spark, ["w1 w2 w3 w4 w5", "w3", None, "zz w2 zz", "zz w2 zz"]), bench).collect()}
+    assert got == {0: (4, ["a", "b"]), 1: (0, []), 2: (0, []), 3: (2, ["a"]), 4: (2, ["a"])}
+
+
 def test_removal(spark):
     item = " ".join(WORDS[:12])
     texts = ["clean text", f"before {item.upper()}; after", item, None, ""]
@@ -249,6 +263,7 @@ def mutated(rng, text, n):
 def test_jaccard_join(spark, monkeypatch, k, num, heavy, block):
     monkeypatch.setattr(jaccard_join, "HEAVY", heavy)
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "WEIGHT", 60 * block)
     monkeypatch.setattr(jaccard_join, "STAR", 3)
     rng = random.Random(num + heavy)
     vocabulary = [f"v{i}" for i in range(400)]
@@ -279,12 +294,32 @@ def test_jaccard_join_of_a_doc_id_with_two_texts(spark):
 
 def test_many_heavy_shingles_are_joined(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PICKED", 0)
+    monkeypatch.setattr(common, "BROADCAST", 0)
     monkeypatch.setattr(jaccard_join, "HEAVY", 1)
     texts = [f"a b c d e f g h i j k l m n o p q r s t u v w{i % 3}" for i in range(6)]
     got = [(r.n_shingles, r.component_id) for r in jaccard_join.join(docs(spark, texts), 3, 90, 100).orderBy("doc_id").collect()]
     assert got == brute_components(texts, 3, 90, 100)
 
 
+def test_sizes_that_can_link_are_in_bands_side_by_side(spark):
+    sizes = [(n, m) for n in (1, 7, 9, 10, 90, 81, 100, 900, 12345) for m in (n, -(-n * 9 // 10), n * 10 // 9)]
+    rows = spark.createDataFrame(sizes, "n long, m long").select(F.abs(jaccard_join.bands(F.col("n"), 90, 100) - jaccard_join.bands(F.col("m"), 90, 100)).alias("d"))
+    assert rows.where("d > 1").count() == 0
+
+
+def test_every_fitting_pair_meets_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    rng = random.Random(2)
+    rows = [(0, i, i, rng.choice([50, 52, 55, 60, 70, 200])) for i in range(60)]
+    size = {r[1]: r[3] for r in rows}
+    met = {}
+    for r in jaccard_join.meetings(spark.createDataFrame(rows, "token long, cid long, label long, n long"), 90, 100).collect():
+        met.setdefault((r.i, r.j), []).append((r.cid, r.own))
+    pairs = [frozenset((a, b)) for (i, j), m in met.items() for (a, x), (b, y) in itertools.combinations(m, 2) if i == j or x != y]
+    assert len(pairs) == len(set(pairs))
+    assert all(frozenset((a, b)) in set(pairs) for a, b in itertools.combinations(size, 2) if min(size[a], size[b]) * 100 >= 90 * max(size[a], size[b]))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 20)] + [(30, 31), (32, 31), (40, 40)]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()))
@@ -319,6 +354,28 @@ def test_permutation_index(spark):
     assert len(few) == 4
 
 
+@pytest.mark.parametrize("lot", [8192, 1])
+def test_permutation_index_with_repeated_ids(spark, monkeypatch, lot):
+    monkeypatch.setattr(permutation_index, "QUERIES", lot)
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((460, 8))
+    ids = [20] * 400 + [*range(21, 80), 0]  # most rows are the one query's own
+    rows = [(i, v.tolist(), 0) for i, v in zip(ids, x)] + [(25, x[404].tolist(), 0)] * 3 + [(20, x[0].tolist(), 0)]
+    got = {}
+    for r in permutation_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), F.col("vec_id") % 20 == 0, 20, least=30).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q in (0, 20, 40, 60):
+        best = {}
+        for i, v, _ in rows:
+            for j, w, _ in rows:
+                if i == q != j:
+                    best[j] = max(best.get(j, -1e9), float(np.dot(v, w)))
+        own = sorted(got[q])
+        assert [r for r, _, _ in own] == list(range(1, 21)) and len({v for _, v, _ in own}) == 20
+        assert all(abs(s - best[v]) < 1e-9 for _, v, s in own)
+        assert len({v for _, v, _ in own} & set(sorted(best, key=lambda j: (-best[j], j))[:20])) >= 18
+
+
 # shards
 
 
@@ -343,6 +400,24 @@ def test_shards_of_one_key_overflow(spark):
     assert len(got) == 41 and max(sizes.values()) <= 500
 
 
+def test_shards_are_written_whole(spark, tmp_path):
+    rows = [(i % 30, "t" * (i % 40), i, i) for i in range(90)] + [(None, "n", 1, 1), (None, None, 2, 2), (7, "t", None, None)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, page long, shard_id long")
+    sharding.write(given, str(tmp_path / "out"), 100)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == {*given.columns, "_shard_id", "_page"}
+    assert sorted(map(str, back.select(given.columns).collect())) == sorted(map(str, given.collect()))
+    assert back.groupBy("_shard_id", "_page").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("b"), F.count("*").alias("n")).where("b > 100 and n > 1").count() == 0
+
+
+def test_shards_deeper_than_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "STEP", 3)
+    texts = ["x" * (i % 9) for i in range(300)]
+    got = {r.doc_id: (r.shard_id, r.depth) for r in sharding.shards(docs(spark, texts), 40).collect()}
+    monkeypatch.setattr(sharding, "STEP", 20)
+    assert got == {r.doc_id: (r.shard_id, r.depth) for r in sharding.shards(docs(spark, texts), 40).collect()} and len(got) == 300
+
+
 def test_shards_split_only_where_full(spark):
     made = sharding.directory(spark.createDataFrame([(0, 10), (1 << 58, 10), (1 << 59, 10)], "h long, bytes long"), 10).collect()
     assert sorted((r.depth, r.prefix) for r in made) == [(1, 1), (2, 0), (2, 1)]
@@ -354,11 +429,13 @@ def test_shards_split_only_where_full(spark):
 def test_chat_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "\\", "<\\|im_end|>", "<|im_start|>user\nhi<|im_end|>\n", "[\\INST]", "\\\\n", "", None, "<<SYS>>\\<</SYS>>", "<<s>>"]
     rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(itertools.cycle(["user", "assistant"]), nasty))]
-    rows += [(2, 0, "tool\n\\n", "x"), (2, 0, None, "y"), (3, 1, "user", "a"), (3, 0, "system", "s"), (3, 1, "user", "a"), (None, 0, "user", "n")]
+    rows += [(2, 0, "tool\n\\n", "x"), (2, 0, None, "y"), (3, 1, "user", "a"), (3, 0, "system", "s"), (3, 1, "user", "a"), (None, 0, "user", "n"), (None, 0, "user", "n")]
     talks = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, turns string")
     template = chat_format.Template()
     made = chat_format.render(chat_format.segments(talks, template))
+    assert made.where("conv_id is null").count() == 2  # each a conversation of its own
     back = {r.conv_id: r for r in chat_format.read(made, template).collect()}
+    rows = rows[:-1]
     for conv, own in itertools.groupby(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)), key=lambda r: r[0]):
         own = sorted(((t, r or "", x or "") for _, t, r, x in own))
         assert [(t.role, t.text) for t in back[conv].turns] == [(r, x) for _, r, x in own]
@@ -396,6 +473,20 @@ def test_rollup(spark, tmp_path):
         store.commit("b5", token_rollup.inserts(counted, "v1").withColumn("kind", F.lit("merge")))
 
 
+def test_rollup_query(spark):
+    from driftline.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    gone = {r.doc_id for r in common.table(spark, sf, "labels").where("toxic = 1").collect()}
+    want = {}
+    for r in common.table(spark, sf, "documents").collect():
+        if r.doc_id not in gone:
+            n, t = want.get((r.source, r.lang), (0, 0))
+            want[r.source, r.lang] = (n + 1, t + len(tokens(r.text)) + 1)
+    got = {(r.source, r.lang): (r.docs, r.tokens) for r in queries.op10_token_rollup(spark, sf).collect()}
+    assert got == want
+
+
 # toxicity
 
 
@@ -426,10 +517,61 @@ def test_automaton():
         assert (got and got[0]) == (max(near)[0] if near else None), w
 
 
-def test_context():
-    assert toxicity.context('he said "you are ', ' indeed"') == toxicity.QUOTED
-    assert toxicity.context("the word ", " is rude") == toxicity.REPORTED
-    assert toxicity.context("you ", " person") == 1.0
+def brute_sums(lexicon, text):
+    """Plainly: every word against every entry by edit distance, every quotation mark by hand."""
+    low = (text or "").lower()
+    words = list(re.finditer(toxicity.WORD, low))
+    plain = [m[0] if m[0].isalpha() else "".join({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "8", "@": "a", "$": "s"}.get(c, c) for c in m[0] if c not in ".-_*") for m in words]
+    found = {}
+    for i, w in enumerate(plain):
+        near = [(v[distance(w, e)]) for e, v in lexicon.words.items() if distance(w, e) <= toxicity.Automaton.allowed(len(e))]
+        near += [v for e, v in lexicon.stems.items() if w.startswith(e)]
+        if near and max(near) > 0:
+            found[i] = max(near)
+    out = np.zeros((3, 2))
+    for i, v in found.items():
+        m = words[i]
+        begin = low.rfind("\n", 0, m.start()) + 1
+        line_end = low.find("\n", m.end())
+        line = low[begin : line_end if line_end >= 0 else len(low)]
+        inside, opened = False, None
+        for k, c in enumerate(line):
+            if opened is None and c in toxicity.CLOSING:
+                opened = (k, toxicity.CLOSING[c])
+            elif opened and c == opened[1]:
+                inside |= opened[0] < m.start() - begin and m.end() - begin <= k
+                opened = None
+        before = [w[0] for w in words if begin <= w.start() and w.end() <= m.start()][-4:]
+        told = any(w in toxicity.REPORTING for w in before)
+        out[2 if inside else 1 if told else 0, int(any(j != i and abs(i - j) <= toxicity.WINDOW for j in found))] += v
+    return out
+
+
+def test_scores_against_brute_force():
+    lexicon = toxicity.Lexicon({w: tuple(v * x for x in toxicity.DISCOUNT) for w, v in {"stupid": 3.0, "worthless": 4.0, "scum": 2.0, "idiots": 2.5}.items()}, {"lowei": 5.0})
+    scorer, rng = toxicity.Scorer(lexicon), random.Random(6)
+    bits = ["stupid", "stup1d", "s.t.u.p.i.d", "w_orthless", "id1ots", "scum", "loweix", "said", "word", '"', "“", "”", "„", "«", "»", "\n", "clean", "words", "a.b", "x-y-z", "don't", "2nd", "@", "l'idiots", "stpuid!!!"]
+    for _ in range(400):
+        text = rng.choice([" ", ""]).join(rng.choices(bits, k=rng.randint(0, 30))) if rng.random() < 0.2 else " ".join(rng.choices(bits, k=rng.randint(0, 30)))
+        assert np.allclose(scorer.sums(text), brute_sums(lexicon, text)), text
+    assert scorer.score(None) == scorer.score("") == 0
+
+
+def test_quotations():
+    factors = toxicity.Lexicon().factors
+    scorer = toxicity.Scorer(toxicity.Lexicon({"stupid": (3.0, 0.0, 0.0)}))
+    for gap in (1, 5, 40, 400):  # however far the marks are
+        assert scorer.evidence('"' + "w " * gap + "stupid " + "w " * gap + '"') == pytest.approx(3 * factors[0])
+    assert scorer.evidence('"w\nstupid w"') == scorer.evidence('"w" stupid "w"') == scorer.evidence("you stupid") == 3.0
+    assert scorer.evidence("the word stupid is rude") == pytest.approx(3 * factors[1])
+
+
+def test_labels_count_for_all_that_have_them(spark):
+    labels = spark.createDataFrame([(i, int(i < 10)) for i in range(100)] + [(3, 0)], "doc_id long, toxic int")
+    rows, stands = toxicity.sample(docs(spark, ["x"] * 100), labels, "toxic", F.lit(True), 20)
+    assert stands == {1: 1.0, 0: 4.5} and {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()} == {1: 10, 0: 20}
+    e, y = np.array([0.0, 1, 2, 3]), np.array([0, 1, 0, 1])
+    assert toxicity.cut(e, y, np.ones(4)) == (2.5, 1.0) and toxicity.cut(e, y, np.array([1, 5, 1, 1])) == (0.5, 1.0)
 
 
 def test_toxicity(spark):
@@ -453,6 +595,20 @@ def test_toxicity(spark):
     kept = toxicity.keep(d, lexicon)
     assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {i for i, s in got.items() if s < 0.5}
     assert {r.score for r in toxicity.score(d, toxicity.learn(d, labels.limit(0), F.lit(True))).collect()} == {0.0}
+    long = docs(spark, ["clean " * 200_000 + "terrible", "clean " * 200_000], [1, 1])
+    assert sorted(r.score >= 0.5 for r in toxicity.score(long, lexicon).collect()) == [False, True]
+    none = docs(spark, [])
+    assert toxicity.score(none, toxicity.learn(none, labels, F.lit(True))).count() == 0
+
+
+@pytest.mark.parametrize("sf, least", [("sf0.01", 0.66), ("sf0.1", 0.85)])
+def test_toxicity_on_held_out_rows(spark, sf, least):
+    """A tenth of the toxic documents at sf0.1, and two of six at sf0.01, hold nothing that others of their label do."""
+    from driftline.llm import queries
+
+    got = queries.op1_toxicity(spark, f"/root/testdata/{sf}").join(common.table(spark, f"/root/testdata/{sf}", "labels"), "doc_id").where("held_out").collect()
+    toxic, clean = [r for r in got if r.toxic], [r for r in got if not r.toxic]
+    assert sum(r.predicted for r in toxic) >= least * len(toxic) and sum(r.predicted for r in clean) <= 0.01 * len(clean)
 
 
 # quality
@@ -469,6 +625,28 @@ def test_quality_on_held_out_rows(spark):
     assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
     assert {r.score for r in quality.score(docs(spark, ODD), None).collect()} == {0.5}
     assert quality.keep(docs(spark, ODD), None).columns == docs(spark, ODD).columns
+    none = docs(spark, [])
+    assert quality.learn(none, labels, F.lit(True)) is None and quality.score(none, space).count() == 0
+
+
+def test_votes_against_brute_force():
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(80)]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 60))) + "!" * int(rng.integers(0, 4)) for _ in range(120)] + ["same text"] * 40
+    rows = np.stack([quality.counts(t.encode()) for t in texts])
+    y = np.arange(len(texts)) % 3 == 0
+    each = np.where(y, 1.0, 2.5)
+    space = quality.Space.fit(rows, y.astype(int), each)
+    got = space.scores(rows)
+    for i in range(0, len(texts), 7):
+        mine = quality._unit(space.weighted(rows[i : i + 1], space.weight) @ space.basis)[0]
+        cosine = np.array([float(np.float32(mine @ v)) for v in space.vectors])
+        order = sorted(range(len(texts)), key=lambda j: (-cosine[j], j))[: quality.NEIGHBOURS]
+        vote = [max(cosine[j], 0) ** 8 * each[j] for j in order]
+        if np.sort(-cosine)[quality.NEIGHBOURS] - np.sort(-cosine)[quality.NEIGHBOURS - 1] > 1e-6:  # no tie that rounding decides
+            assert got[i] == pytest.approx(sum(v for v, j in zip(vote, order) if y[j]) / sum(vote), abs=1e-4)
+    assert space.prior == pytest.approx((y * each).sum() / each.sum())
+    assert quality.nearest(np.array([[1.0, 3, 2, 3, 3], [5, 5, 5, 5, 5]]), 2).tolist() == [[1, 3], [0, 1]]
 
 
 def test_pipeline(spark):

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import queue
 import random
 import re
 import shutil
 import subprocess
+import threading
 import time
 import tomllib
 from collections.abc import Callable, Iterator
@@ -40,6 +42,10 @@ class Options:
     timeout: float = 60.0
     max_in_flight: int = 1
 
+    def trigger(self) -> dict[str, str]:
+        """How long a stream waits for a batch to fill."""
+        return {"processingTime": f"{round(self.batch_max_wait * 1000)} milliseconds"}
+
 
 @dataclass
 class Stage:
@@ -75,27 +81,68 @@ class Retry:
 
 
 class Exchange:
-    """One worker process: a header line with batch_id, count and kind, then the rows, both ways, a JSON object a line."""
+    """One worker process: a header line with batch_id, count and kind, then the rows, both ways, a JSON object a line.
+
+    Lines are written and read at the same time, so a worker may answer while it is still being fed; one that is silent for ``timeout``
+    seconds, or ends, fails the batch, and ``kill`` ends it.
+    """
 
-    def __init__(self, command: list[str]):
+    def __init__(self, command: list[str], timeout: float = 60.0):
+        self.timeout = timeout
         self.process = subprocess.Popen(command, stdin=subprocess.PIPE, stdout=subprocess.PIPE, text=True)
+        self.lines: queue.Queue = queue.Queue(10_000)
+        threading.Thread(target=self._read, daemon=True).start()
+
+    def _read(self) -> None:
+        for line in self.process.stdout:
+            self.lines.put(line)
+        self.lines.put(None)
+
+    def _line(self) -> dict:
+        try:
+            line = self.lines.get(timeout=self.timeout)
+        except queue.Empty:
+            raise TimeoutError(f"the worker was silent for {self.timeout} s") from None
+        if line is None:
+            self.lines.put(None)
+            raise RuntimeError("the worker ended within a batch")
+        return json.loads(line)
+
+    def _feed(self, send: list[str]) -> None:
+        try:
+            for line in send:
+                self.process.stdin.write(line + "\n")
+            self.process.stdin.flush()
+        except (OSError, ValueError):  # it ended, which the reader notices
+            pass
 
     def run(self, batch: int, rows: list[dict], kind: str) -> list[dict]:
-        send = [json.dumps({"batch_id": batch, "count": len(rows), "kind": kind}), *map(json.dumps, rows)]
-        self.process.stdin.write("\n".join(send) + "\n")
-        self.process.stdin.flush()
-        head = json.loads(self.process.stdout.readline() or "{}")
+        feed = threading.Thread(target=self._feed, args=([json.dumps({"batch_id": batch, "count": len(rows), "kind": kind}), *map(json.dumps, rows)],), daemon=True)
+        feed.start()
+        head = self._line()
         if head.get("batch_id") != batch:
             raise RuntimeError(f"the worker answered batch {head.get('batch_id')}, not {batch}")
-        return [json.loads(self.process.stdout.readline()) for _ in range(head["count"])]
+        out = [self._line() for _ in range(head["count"])]
+        feed.join(self.timeout)
+        if feed.is_alive():
+            raise TimeoutError(f"the worker took no input for {self.timeout} s")
+        return out
 
     def close(self) -> None:
         self.process.stdin.close()
-        self.process.wait(timeout=10)
+        try:
+            self.process.wait(timeout=min(10.0, self.timeout))
+        except subprocess.TimeoutExpired:
+            self.kill()
+
+    def kill(self) -> None:
+        self.process.kill()
+        self.process.wait()
 
 
-def command(argv: list[str], schema: str | None = None, persistent: bool = True, retry: Retry = Retry(), kind: str = "rows") -> Stage:
-    """Rows through an external program, a process for each partition or, not ``persistent``, for each batch. It may drop and add rows."""
+def command(argv: list[str], schema: str | None = None, persistent: bool = True, retry: Retry = Retry(), kind: str = "rows", timeout: float = 60.0, batch_size: int = 1000) -> Stage:
+    """Rows through an external program, a process for each partition or, not ``persistent``, for each batch of ``batch_size`` rows. It may
+    drop and add rows. A process that failed is ended before the batch is tried again with a new one."""
     if not argv or shutil.which(argv[0]) is None:
         raise ValueError(f"no such command: {argv[:1]}")
 
@@ -104,24 +151,29 @@ def command(argv: list[str], schema: str | None = None, persistent: bool = True,
 
         def exchange(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             worker = None
-            for i, frame in enumerate(frames):
-                rows = json.loads(frame.to_json(orient="records", date_format="iso"))
-                for wait in (*retry.waits(), None):
-                    try:
-                        worker = worker or Exchange(argv)
-                        out = worker.run(i, rows, kind)
-                        break
-                    except Exception:
+            parts = (frame.iloc[a : a + batch_size] for frame in frames for a in range(0, len(frame), batch_size))
+            try:
+                for i, frame in enumerate(parts):
+                    rows = json.loads(frame.to_json(orient="records", date_format="iso"))
+                    for wait in (*retry.waits(), None):
+                        try:
+                            worker = worker or Exchange(argv, timeout)
+                            out = worker.run(i, rows, kind)
+                            break
+                        except Exception:
+                            if worker:
+                                worker.kill()
+                                worker = None
+                            if wait is None:
+                                raise
+                            time.sleep(wait)
+                    if not persistent:
+                        worker.close()
                         worker = None
-                        if wait is None:
-                            raise
-                        time.sleep(wait)
-                if not persistent:
+                    yield pd.DataFrame(out, columns=names if schema is None else None)
+            finally:
+                if worker:
                     worker.close()
-                    worker = None
-                yield pd.DataFrame(out, columns=names if schema is None else None)
-            if worker:
-                worker.close()
 
         return df.mapInPandas(exchange, schema or df.schema)
 
@@ -167,6 +219,8 @@ def load(text: str) -> Pipeline:
     options = Options() if not raw else replace(Options(), batch_size=1000)
     if head.get("failure_policy", "fail") not in ("fail", "skip"):
         raise ValueError("failure_policy is fail or skip")
+    if head.get("max_in_flight", 1) > 1:
+        raise ValueError("max_in_flight: micro-batches are applied one at a time, in order")
     options = replace(options, **{k: seconds(v) if k in ("batch_max_wait", "timeout") else max(1, v) if isinstance(v, int) else v for k, v in head.items()})
     stages = []
     for t in raw.get("transforms", []):
@@ -183,7 +237,10 @@ def load(text: str) -> Pipeline:
             r = t.get("retry", {})
             _only(r, "max_attempts", "initial_backoff", "max_backoff")
             retry = Retry(r.get("max_attempts", 1), seconds(r.get("initial_backoff", "100ms")), seconds(r.get("max_backoff", "5s")))
-            stages.append(command(t.get("command", []), persistent=t.get("mode", "persistent") == "persistent", retry=retry))
+            if t.get("stdio", {}).get("framer", "ndjson") != "ndjson":
+                raise ValueError("the framer is ndjson")
+            timeout = seconds(t["timeout"]) if "timeout" in t else options.timeout
+            stages.append(command(t.get("command", []), persistent=t.get("mode", "persistent") == "persistent", retry=retry, timeout=timeout, batch_size=options.batch_size))
         else:
             raise ValueError(f"unknown transform: {kind}")
     return Pipeline(stages, options)

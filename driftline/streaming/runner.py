@@ -14,38 +14,66 @@ from .state import Signals, Snapshot, Store
 
 
 class Target:
-    """Versions of one table as folders, and a pointer to the present one; a merge writes the next version and then moves the pointer."""
+    """A table in buckets by key hash. A merge writes those buckets anew that the changes touch, and then a pointer, in one step, names the
+    present version of every bucket. Folders that neither the present nor the last pointer names are removed."""
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16):
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets
         self.store = Store(spark, f"{self.path}/_state")
 
+    def _pointer(self) -> dict:
+        return self.store.get("current") or {"version": 0, "of": {}, "before": {}, "buckets": self.buckets}
+
     @property
     def version(self) -> int:
-        return (self.store.get("current") or {"version": 0})["version"]
+        return self._pointer()["version"]
+
+    def _read(self, of: dict[str, int]) -> DataFrame | None:
+        return self.spark.read.option("mergeSchema", True).parquet(*[f"{self.path}/v{v}/_bucket={b}" for b, v in sorted(of.items())]) if of else None
 
     def all(self) -> DataFrame | None:
-        return self.spark.read.parquet(f"{self.path}/v{self.version}") if self.version else None
+        """Rows with tombstones and positions; None before the first merge."""
+        return self._read(self._pointer()["of"])
 
-    def rows(self) -> DataFrame:
-        """The present rows, without tombstones and positions."""
+    def rows(self) -> DataFrame | None:
+        """The present rows, without tombstones and positions; None before the first merge."""
         held = self.all()
-        return held.where("_op <> 'd'").drop("_op", "_pos")
+        return None if held is None else held.where("_op <> 'd'").drop("_op", "_pos")
 
     def merge(self, changes: DataFrame) -> None:
-        held = self.all()
+        now = self._pointer()
+        if now["buckets"] != self.buckets:
+            raise ValueError(f"the table has {now['buckets']} buckets")
+        dealt = changes.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        touched = [str(r["_bucket"]) for r in dealt.select("_bucket").distinct().collect()]  # at most one for each bucket
+        if not touched:
+            return
+        held = self._read({b: v for b, v in now["of"].items() if b in touched})
         both = changes if held is None else held.unionByName(changes, allowMissingColumns=True)
-        to = self.version + 1
-        fold(both, self.keys, tombstones=True).write.mode("overwrite").parquet(f"{self.path}/v{to}")
-        self.store.put("current", {"version": to})
+        to = now["version"] + 1
+        last = fold(both, self.keys, tombstones=True).withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        last.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/v{to}")
+        after = {**now["of"], **{b: to for b in touched}}
+        self.store.put("current", {"version": to, "of": after, "before": now["of"], "buckets": self.buckets})
+        for b, v in now["before"].items():
+            if v not in (now["of"].get(b), after.get(b)):
+                fs, path = self.store.at(f"{self.path}/v{v}/_bucket={b}")
+                fs.delete(path, True)
+
 
+def sync(stream: DataFrame, target: Target, checkpoint: str, pipeline: Pipeline = Pipeline(), fail: Callable[[int], None] | None = None, continuous: bool = False, **trigger) -> StreamingQuery:
+    """Folds each micro-batch and merges it; ``continuous`` waits for batches as long as the pipeline's options say.
 
-def sync(stream: DataFrame, target: Target, checkpoint: str, pipeline: Pipeline = Pipeline(), on_truncate: str = "warn", fail: Callable[[int], None] | None = None, **trigger) -> StreamingQuery:
-    """Folds each micro-batch and merges it. A batch that fails ends the query, or with the policy ``skip`` is counted and passed over without a write."""
+    A batch that fails ends the query, or with the policy ``skip`` is counted and passed over without a write. What was read is counted before
+    transforms drop or add rows (``seen``: rows in, by number of the batch last taken).
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         try:
+            seen = target.store.get("seen") or {"batch": -1, "rows": 0}
             target.merge(pipeline.rows(fold(batch, target.keys, tombstones=True)))
+            if number > seen["batch"]:
+                target.store.put("seen", {"batch": number, "rows": seen["rows"] + batch.count()})
             if fail:
                 fail(number)
         except Exception:
@@ -54,10 +82,11 @@ def sync(stream: DataFrame, target: Target, checkpoint: str, pipeline: Pipeline
             skipped = target.store.get("skipped") or {"batches": []}
             target.store.put("skipped", {"batches": [*skipped["batches"], number]})
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    when = trigger or (pipeline.options.trigger() if continuous else {"availableNow": True})
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**when).start()
 
 
-def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, store: Store, emit: Callable[[str, DataFrame], None], marks: Callable[[], tuple[int, int]], size: int = 1024, signals: Signals | None = None) -> None:
+def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, store: Store, emit: Callable[[str, DataFrame], None], marks: Callable[[], tuple[int, int]], size: int = 1_000_000, signals: Signals | None = None) -> None:
     """Table after table in chunks, each reconciled with the log between its marks and emitted, with progress saved after each; a stopped snapshot goes on after the last saved key."""
     state = Snapshot.load(store)
     queue = [t for t in tables if t not in state.done]

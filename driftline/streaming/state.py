@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import SparkSession
@@ -11,28 +12,47 @@ PHASES = ("full_sync_start", "full_sync_end", "snapshot_progress", "snapshot_han
 
 
 class Store:
-    """Files in one folder, local or in any store that the session's file systems reach; a value is replaced by a rename."""
+    """Files in one folder, local or in any store that the session's file systems reach.
+
+    Each value is a file of its own, numbered, and the highest number counts. A file gets its name by a rename once it is whole, and the one
+    before goes only after that, so whenever a writer stops there is a value, the old or the new one. A name has one writer.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.jvm, self.conf, self.root = spark._jvm, spark._jsc.hadoopConfiguration(), path.rstrip("/")
 
-    def _at(self, name: str):
-        path = self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}.json")
-        return path.getFileSystem(self.conf), path
+    def at(self, path: str):
+        """The file system of a path, and the path."""
+        made = self.jvm.org.apache.hadoop.fs.Path(path)
+        return made.getFileSystem(self.conf), made
+
+    def _path(self, name: str):
+        return self.at(f"{self.root}/{name}")
+
+    def _numbers(self, name: str) -> list[int]:
+        fs, root = self._path("")
+        if not fs.exists(root):
+            return []
+        own = re.compile(re.escape(name) + r"\.(\d+)\.json")
+        return sorted(int(m[1]) for f in fs.listStatus(root) if (m := own.fullmatch(f.getPath().getName())))
 
     def put(self, name: str, value: dict) -> None:
-        fs, path = self._at(name)
-        part = path.suffix(".part")
+        numbers = self._numbers(name)
+        n = numbers[-1] + 1 if numbers else 0
+        fs, part = self._path(f"{name}.{n:012d}.part")
         out = fs.create(part, True)
         out.write(json.dumps(value, sort_keys=True).encode())
         out.close()
-        fs.delete(path, False)
-        fs.rename(part, path)
+        if not fs.rename(part, self._path(f"{name}.{n:012d}.json")[1]):
+            raise OSError(f"another writer has put {name}")
+        for old in numbers:
+            fs.delete(self._path(f"{name}.{old:012d}.json")[1], False)
 
     def get(self, name: str) -> dict | None:
-        fs, path = self._at(name)
-        if not fs.exists(path):
+        numbers = self._numbers(name)
+        if not numbers:
             return None
+        fs, path = self._path(f"{name}.{numbers[-1]:012d}.json")
         stream = fs.open(path)
         try:
             return json.loads(bytes(stream.readAllBytes()))

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +77,58 @@ def test_snapshot_resumes_and_takes_signals(spark, tmp_path):
 def test_catch_up():
     c = CatchUp().merge(["b", "a"], 5).merge(["c"], 3)
     assert c == CatchUp(5, ["a", "b", "c"]) and c.prune(["a", "z"]).tables == ["a"] and c.pending(["a", "z"]) == ["z"]
+
+
+def test_a_value_survives_a_crash_between_two_puts(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "s"))
+    assert store.get("x") is None
+    store.put("x", {"n": 1})
+    (tmp_path / "s" / "x.000000000001.part").write_text('{"n"')  # a writer that stopped before the rename
+    assert store.get("x") == {"n": 1}
+    store.put("x", {"n": 2})
+    (tmp_path / "s" / "x.000000000000.json").write_text('{"n": 1}')  # one that stopped before the old one went
+    assert store.get("x") == {"n": 2}
+    store.put("x", {"n": 3})
+    assert store.get("x") == {"n": 3} and [f.name for f in (tmp_path / "s").glob("x.*.json")] == ["x.000000000002.json"]
+
+
+def test_a_merge_writes_touched_buckets_alone(spark, tmp_path):
+    target = runner.Target(spark, str(tmp_path / "t"), ["id"], buckets=8)
+    assert target.rows() is None and target.all() is None
+    rows = lambda ids, pos: spark.createDataFrame([(i, "u", pos, f"v{pos}") for i in ids], "id long, _op string, _pos long, v string")
+    target.merge(rows(range(100), 1))
+    target.merge(rows([3], 2))
+    assert len(list((tmp_path / "t" / "v2").glob("_bucket=*"))) == 1
+    target.merge(rows([3], 2))  # replayed
+    target.merge(spark.createDataFrame([(3, "d", 5), (4, "u", 0)], "id long, _op string, _pos long"))
+    got = {r.id: r.v for r in target.rows().collect()}
+    assert got == {i: "v1" for i in range(100) if i != 3}
+    target.merge(rows([], 9))
+    for pos in range(10, 14):
+        target.merge(rows(range(100), pos))
+    assert len(list((tmp_path / "t").glob("v*/_bucket=*"))) <= 2 * 8
+    with pytest.raises(ValueError):
+        runner.Target(spark, str(tmp_path / "t"), ["id"], buckets=4).merge(rows([1], 20))
+
+
+def _worker(tmp_path, body):
+    script = tmp_path / "worker.py"
+    script.write_text("import sys, json, time\nwhile line := sys.stdin.readline():\n    head = json.loads(line)\n" + body)
+    return ["python", str(script)]
+
+
+def test_commands_that_hang_end_or_answer_early(spark, tmp_path):
+    from driftline.plans import transforms
+
+    df = spark.range(5000).selectExpr("id", "repeat('x', 200) AS t").coalesce(1)
+    echo = "    print(line, end='')\n    for _ in range(head['count']):\n        print(sys.stdin.readline(), end='', flush=True)\n"
+    assert transforms.command(_worker(tmp_path, echo), timeout=20.0, batch_size=2500).rows(df).count() == 5000  # more than a pipe holds, both ways
+    for body in ("    time.sleep(60)\n", "    sys.exit(1)\n"):
+        began = time.time()
+        with pytest.raises(Exception):
+            transforms.command(_worker(tmp_path, body), timeout=1.0).rows(spark.range(3).coalesce(1)).collect()
+        assert time.time() - began < 20
+    for text in ("[pipeline]\nmax_in_flight = 2", "[[transforms]]\ntype = 'command'\ncommand = ['cat']\n[transforms.stdio]\nframer = 'other'"):
+        with pytest.raises(ValueError):
+            transforms.load(text)
+    assert transforms.load("[pipeline]\nbatch_max_wait = '250ms'").options.trigger() == {"processingTime": "250 milliseconds"}

@@ -180,15 +180,54 @@ def interval_seconds(text: Column) -> Column:
 
 
 def pg_array(text: Column) -> Column:
-    """``{1,"a b",NULL}`` as an array of texts; a bare NULL is null, quoted elements lose their quotes and escapes."""
+    """``{1,"a b",NULL}`` as an array of texts; a bare NULL is null, quoted elements lose their quotes and escapes. An element that is an array of one more dimension stays a text with its braces."""
     body = F.regexp_extract(text, r"(?s)^\{(.*)\}$", 1)
-    items = F.regexp_extract_all(body, F.lit(r'("(?:[^"\\]|\\.)*"|[^,]+)'), F.lit(1))
+    items = F.regexp_extract_all(body, F.lit(r'("(?:[^"\\]|\\.)*"|\{(?:[^{}"]|"(?:[^"\\]|\\.)*")*\}|[^,{}]+)'), F.lit(1))
     plain = lambda x: F.when(x.startswith('"'), F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), r"\\(.)", "$1")).when(F.upper(x) != "NULL", x)
     return F.when(text.rlike(r"(?s)^\{.*\}$"), F.when(body == "", F.array().cast("array<string>")).otherwise(F.transform(items, plain)))
 
 
+# fixed values: zones by their letters, and months
+ZONES = {"PST": "-08:00", "PDT": "-07:00", "MST": "-07:00", "MDT": "-06:00", "CST": "-06:00", "CDT": "-05:00", "EST": "-05:00", "EDT": "-04:00", "UTC": "+00:00", "GMT": "+00:00"}
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
 def pg_timestamptz(text: Column) -> Column:
-    """``2024-01-15 10:30:00.5+02``, with or without minutes in the offset, ``T``, ``Z`` or UTC."""
-    full = F.regexp_replace(F.regexp_replace(F.trim(text), r" ?(UTC|Z)$", "+00"), r"([+-]\d{2})$", "$1:00")
+    """``2024-01-15 10:30:00.5+02``, with or without minutes in the offset, ``T``, ``Z`` or UTC; ``12/17/1997 07:37:16.00 PST``; ``Wed Dec 17 07:37:16 1997 PST``."""
+    own = F.trim(text)
+    full = F.regexp_replace(F.regexp_replace(own, r" ?(UTC|Z)$", "+00"), r"([+-]\d{2})$", "$1:00")
     full = F.regexp_replace(full, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.when(full.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d+)?([+-]\d{2}:\d{2})?$"), full.try_cast("timestamp"))
+    iso = F.when(full.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d+)?([+-]\d{2}:\d{2})?$"), full.try_cast("timestamp"))
+    zones = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
+    months = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS) for x in (m, f"{i + 1:02d}")])
+
+    def spelled(pattern: str, year: int, month: Column, day: int, clock: int, zone: int) -> Column:
+        part = lambda i: F.regexp_extract(own, pattern, i)
+        offset = F.coalesce(F.element_at(zones, part(zone)), F.when(part(zone).rlike(r"^[+-]\d{2}$"), F.concat(part(zone), F.lit(":00"))), F.when(part(zone).rlike(r"^[+-]\d{2}:?\d{2}$"), F.concat(F.substring(part(zone), 1, 3), F.lit(":"), F.right(part(zone), F.lit(2)))))
+        return F.when(own.rlike(pattern), F.concat(part(year), F.lit("-"), month, F.lit("-"), F.lpad(part(day), 2, "0"), F.lit(" "), part(clock), offset).try_cast("timestamp"))
+
+    sql = r"^(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{2}:\d{2}:\d{2}(?:\.\d+)?)\s+(\S+)$"
+    old = r"^\w+\s+([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{2}:\d{2}:\d{2})\s+(\d{4})\s+(\S+)$"
+    return F.coalesce(iso, spelled(sql, 3, F.lpad(F.regexp_extract(own, sql, 1), 2, "0"), 2, 4, 5), spelled(old, 4, F.element_at(months, F.regexp_extract(own, old, 1)), 2, 3, 5))
+
+
+def pg_cell(value: Column, declared: Type) -> Column:
+    """A cell as PostgreSQL's log writes it (numbers bare, most else as text) as its declared type: arrays as ``{...}``, bytes as ``\\x...``, intervals in seconds."""
+    text = F.try_variant_get(value, "$", "string")
+    name = declared.name
+    if name == "array":
+        return F.transform(pg_array(text), lambda x: pg_text(x, declared.item))
+    if name in ("bool", "int8", "int16", "int32", "int64", "float32", "float64", "json", "jsonb", "object"):
+        return F.coalesce(json_cast(value, declared), pg_text(text, declared)) if name not in ("json", "jsonb", "object") else F.coalesce(F.try_parse_json(F.when(F.schema_of_variant(value) == "STRING", text)), value)
+    return pg_text(text, declared)
+
+
+def pg_text(text: Column, declared: Type) -> Column:
+    name = declared.name
+    if name in ("blob", "bytes"):
+        return F.when(text.startswith("\\x"), F.try_to_binary(F.substring(text, F.lit(3), F.length(text)), F.lit("hex")))
+    if name == "zoned_datetime":
+        return pg_timestamptz(text)
+    if name == "duration":
+        return interval_seconds(text)
+    return csv_cast(text, declared)

@@ -39,6 +39,15 @@ def link_text(link: Column) -> Column:
     return F.when(link.isNotNull(), F.concat(link["tb"], F.lit(":"), link["id"]))
 
 
+def ulid(millis: Column | int, seed: Column) -> Column:
+    """A 26-letter ULID of a time and 80 bits of a hash of ``seed``: the same seed and time give the same id whenever they are read."""
+    millis = F.lit(millis) if isinstance(millis, int) else millis
+    bits = F.sha2(seed.cast("string").cast("binary"), 256)
+    base32 = lambda hex_, width: F.lpad(F.conv(hex_, 16, 32), width, "0")
+    digits = F.concat(base32(F.hex(millis.cast("bigint")), 10), base32(F.substring(bits, 1, 10), 8), base32(F.substring(bits, 11, 10), 8))
+    return F.translate(F.upper(digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "0123456789ABCDEFGHJKMNPQRSTVWXYZ")
+
+
 def lsn(text: Column) -> Column:
     """``16/B374D848`` as a number that orders as positions do."""
     part = lambda i: F.conv(F.element_at(F.split(text, "/"), i), 16, 10).cast("decimal(20,0)")

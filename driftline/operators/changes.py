@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import partitions, staged
+
 
 def fold(changes: DataFrame, keys: list[str], order: list[str] = ["_pos"], tombstones: bool = False) -> DataFrame:
     """The last change of each key. Combined in each task before the shuffle, so a key with many changes is no hot group; deleted keys go unless ``tombstones``."""
@@ -26,13 +28,33 @@ def apply(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(last.where("_op <> 'd'").select(*keys, *payload)).select(target.columns)
 
 
+def _ranges(rows: DataFrame, position: str) -> DataFrame:
+    """``rows`` written once, with the number of the range of positions that each is in; equal positions share one."""
+    n = partitions(rows.sparkSession)
+    return staged(rows.repartitionByRange(n, position).withColumn("_range", F.spark_partition_id()), "ranges")
+
+
 def keep_before(changes: DataFrame, keys: list[str], payload: list[str], order: str = "_pos") -> DataFrame:
-    """Updates whose after-image has a NULL keep the value before: the last known one since the key's last create or delete."""
-    life = Window.partitionBy(*keys).orderBy(order)
-    lived = changes.withColumn("_life", F.sum(F.col("_op").isin("c", "d").cast("int")).over(life))
-    own = Window.partitionBy(*keys, "_life").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = [F.when(F.col("_op") == "u", F.last(c, ignorenulls=True).over(own)).otherwise(F.col(c)).alias(c) for c in payload]
-    return lived.select(*[c for c in changes.columns if c not in payload], *filled).select(changes.columns)
+    """Updates whose after-image has a NULL keep the value before: the last known one since the key's last create or delete.
+
+    Positions are dealt to ranges, so a key's changes are several tasks' work; a row for each key and range says what one range leaves to the next.
+    """
+    born = F.col("_op").isin("c", "d")
+    dealt = _ranges(changes, order)
+    lived = dealt.withColumn("_life", F.count_if(born).over(Window.partitionBy(*keys, "_range").orderBy(order)))
+    held = [f"_held_{i}" for i in range(len(payload))]
+    own = Window.partitionBy(*keys, "_range", "_life").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    lived = lived.withColumns({h: F.last(c, ignorenulls=True).over(own) for h, c in zip(held, payload)})
+    left = lived.groupBy(*keys, "_range").agg(F.max("_life").alias("_births"), F.max_by(F.struct(*held), F.col(order)).alias("_left"))
+    so_far = Window.partitionBy(*keys).orderBy("_range")
+    left = left.withColumn("_era", F.sum("_births").over(so_far))  # the births of a key up to the end of a range
+    era = Window.partitionBy(*keys, "_era").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    left = left.select(*keys, "_range", F.struct(*[F.last(f"_left.{h}", ignorenulls=True).over(era).alias(h) for h in held]).alias("_known"))
+    came = left.select(*keys, "_range", F.lag("_known").over(so_far).alias("_came"))
+    joined = lived.join(came, [*keys, "_range"], "left")
+    known = lambda h: F.coalesce(h, F.when(F.col("_life") == 0, F.col(f"_came.{h}")))
+    filled = [F.when(F.col("_op") == "u", known(h)).otherwise(F.col(c)).alias(c) for h, c in zip(held, payload)]
+    return joined.select(*[c for c in changes.columns if c not in payload], *filled).select(changes.columns)
 
 
 def reconcile(chunk: DataFrame, log: DataFrame, keys: list[str], low: Column | int, high: Column | int, tombstones: bool = False) -> DataFrame:
@@ -72,9 +94,11 @@ def chunks(df: DataFrame, keys: list[str], size: int, last: list | None = None):
         yield rows, last
 
 
-def numbered(df: DataFrame, keys: list[str], size: int, partitions: int = 32) -> DataFrame:
-    """Each row's chunk number in key order. Rows are dealt by key range and counted within a range; only the counts are summed in one place."""
-    dealt = df.repartitionByRange(partitions, *keys).withColumn("_range", F.spark_partition_id())
+def numbered(df: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Each row's chunk number in key order. Rows are dealt by key range, as many as a shuffle has partitions, written once and counted within
+    a range; only the counts are summed in one place."""
+    n = partitions(df.sparkSession)
+    dealt = staged(df.repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()), "ranges")
     counts = dealt.groupBy("_range").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     place = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)) - 1
     joined = dealt.withColumn("_row", place).join(F.broadcast(counts.select("_range", "_before")), "_range")  # a row for each range
@@ -97,10 +121,17 @@ def until(df: DataFrame, position: str, stop) -> DataFrame:
 
 
 def as_of(events: DataFrame, maps: DataFrame, key: str, position: str, payload: list[str]) -> DataFrame:
-    """Each event with the payload of the last map of its key before it."""
+    """Each event with the payload of the last map of its key before it.
+
+    Positions are dealt to ranges, so a key with most events is several tasks' work; a row for each key and range says which map comes from those before.
+    """
     both = events.withColumn("_map", F.lit(0)).unionByName(maps.select(key, position, F.struct(*payload).alias("_found")).withColumn("_map", F.lit(1)), allowMissingColumns=True)
-    before = Window.partitionBy(key).orderBy(position, F.desc("_map")).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("_found", F.last("_found", ignorenulls=True).over(before)).where("_map = 0").select(*events.columns, "_found.*")
+    dealt = _ranges(both, position)
+    last = dealt.groupBy(key, "_range").agg(F.max_by("_found", F.when(F.col("_map") == 1, F.col(position))).alias("_last"))
+    came = last.select(key, "_range", F.last("_last", ignorenulls=True).over(Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)).alias("_came"))
+    before = Window.partitionBy(key, "_range").orderBy(position, F.desc("_map")).rowsBetween(Window.unboundedPreceding, 0)
+    found = dealt.withColumn("_here", F.last("_found", ignorenulls=True).over(before)).where("_map = 0").join(came, [key, "_range"], "left")
+    return found.withColumn("_found", F.coalesce("_here", "_came")).select(*events.columns, "_found.*")
 
 
 def pending(requested: DataFrame, covered: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +62,3 @@ def regressions(now: DataFrame, baseline: DataFrame, keys: list[str], metric: st
     joined = now.select(*keys, F.col(metric).alias("now")).join(baseline.select(*keys, F.col(metric).alias("before")), keys)
     change = (F.col("now") - F.col("before")) / F.col("before") * 100
     return joined.withColumn("change", F.when(F.col("before") != 0, change)).withColumn("regressed", F.coalesce(F.col("change") < -percent, F.lit(False)))
-
-
-def all_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import casts, ids
+from ..functions import casts, ids, json_diff, scalars
 from ..operators import changes, relations, temporal, verify
 from ..schema import Column, ForeignKey, Table, Type, classify, ddl
-from ..sources import changelog, generate
+from ..sinks import files as sinks
+from ..sources import catalogs, changelog, files, generate, kafka, protobuf
+from ..staging import importable, shared_dir
+from ..streaming import runner
+from ..streaming.state import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,7 +33,7 @@ def query(sql: str | None = None):
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def day(c) -> F.Column:
@@ -237,9 +242,11 @@ def pk_canonical_join(spark, sf_dir):
 
 @query("SELECT o_orderkey, c_name AS start_c_name, n_name AS end_n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey")
 def edges_endpoint_join(spark, sf_dir):
-    nodes = read(spark, sf_dir, "customer")
-    e = read(spark, sf_dir, "orders").join(nodes.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_name"), "o_custkey")
-    return e.join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", F.col("c_name").alias("start_c_name"), F.col("n_name").alias("end_n_name"))
+    key = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string")).alias("key")
+    customer, nation = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
+    nodes = customer.select(key("customer:", "c_custkey"), F.col("c_name").alias("name")).union(nation.select(key("nation:", "n_nationkey"), "n_name"))
+    e = read(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", key("customer:", "o_custkey").alias("a"), key("nation:", "c_nationkey").alias("b"))
+    return relations.endpoints(e, nodes, "key", "a", "b", ["name"]).select("o_orderkey", F.col("start_name").alias("start_c_name"), F.col("end_name").alias("end_n_name"))
 
 
 @query("SELECT DISTINCT label FROM (SELECT c_mktsegment AS label FROM customer UNION ALL SELECT o_orderpriority FROM orders)")
@@ -466,10 +473,154 @@ def throughput_regression(spark, sf_dir):
     return verify.regressions(now, before, ["k"], "n").drop("change")
 
 
-@query("SELECT status, count(*) AS n FROM (SELECT count(*) AS c, CASE WHEN count(*) > 0 THEN 'rows' END AS status FROM customer) GROUP BY status")
+@query("SELECT 'customer' AS t, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders")
 def target_count(spark, sf_dir):
-    n = read(spark, sf_dir, "customer").agg(F.count(F.lit(1)).alias("c"))
-    return n.select(F.when(F.col("c") > 0, "rows").alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    one = lambda t: read(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n")
+    return one("customer").union(one("orders"))
+
+
+# files, messages and catalogs
+
+
+def _cell(c: str) -> str:
+    return f"""coalesce(CASE WHEN regexp_matches({c}, '[",\n\r]') THEN '"' || replace({c}, '"', '""') || '"' ELSE {c} END, '')"""
+
+
+@query(f"SELECT event_id || ',' || {_cell('event_type')} || ',' || {_cell('props')} AS line FROM events")
+def csv_lines(spark, sf_dir):
+    return sinks.csv_text(read(spark, sf_dir, "events").select("event_id", "event_type", "props"))
+
+
+@query("SELECT c_custkey AS _id, c_custkey AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS \"market.segment\" FROM customer".replace("c_custkey AS _id", "CAST(c_custkey AS VARCHAR) AS _id"))
+def csv_write_roundtrip(spark, sf_dir):
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}/"
+    made = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("market.segment"))
+    sinks.write_csv(made, path)
+    table = Table("customer", Column("id", Type("int64")), (Column("name", Type("text")), Column("balance", Type("float64")), Column("market.segment", Type("text"))))
+    return files.read_csv(spark, path, table, id_columns=["id"]).select("_id", "id", "name", "balance", "`market.segment`")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS _id, CASE WHEN o_orderkey % 3 <> 0 THEN 'customers' END AS tb, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS id, CASE WHEN o_orderkey % 3 <> 0 THEN 'customers' END AS deep_tb FROM orders")
+def jsonl_link_read(spark, sf_dir):
+    path = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    link = F.struct(F.when(F.col("o_orderkey") % 3 == 0, "other").otherwise("customer").alias("type"), F.col("o_custkey").cast("string").alias("customer_id"))
+    sinks.write_jsonl(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), link.alias("who"), F.array(F.struct(link.alias("of"))).alias("deep")), path)
+    got = files.read_jsonl(spark, path, rules=[files.LinkRule('type="customer",customer_id customers:customer_id')])
+    get = lambda path: F.try_variant_get("doc", path, "string")
+    return got.select("_id", get("$.who.tb").alias("tb"), get("$.who.id").alias("id"), get("$.deep[0].of.tb").alias("deep_tb"))
+
+
+@query("SELECT event_id, strftime(DATE '1970-01-01' + CAST(event_id - 500 AS INTEGER), '%Y-%m-%d') AS day, CAST(CASE WHEN event_id < 500 THEN (event_id - 500) * 1000000 - 250000 ELSE (event_id - 500) * 1000000 + 250000 END AS BIGINT) AS micros, strftime(to_timestamp(event_id % 86400) AT TIME ZONE 'UTC', '%H:%M:%S') || '.25' AS clock FROM events")
+def epoch_cells(spark, sf_dir):
+    n = F.col("event_id") - 500
+    text = F.concat(n.cast("string"), F.lit(".25"))
+    clock = F.concat((F.col("event_id") % 86400).cast("string"), F.lit(".250000000"))
+    return read(spark, sf_dir, "events").select("event_id", day(scalars.epoch_day(n.cast("string"))).alias("day"), F.unix_micros(scalars.epoch_timestamp(F.concat(text, F.lit(" 1440")))).alias("micros"), scalars.epoch_time(clock).alias("clock"))
+
+
+@query("SELECT c_custkey, lower(hex(c_name::BLOB)) AS digits, c_name AS back, base64(c_name::BLOB) AS b64 FROM customer")
+def hex_cells(spark, sf_dir):
+    digits = F.lower(F.hex("c_name"))
+    back = scalars.hex_bytes(digits)
+    return read(spark, sf_dir, "customer").select("c_custkey", digits.alias("digits"), back.cast("string").alias("back"), scalars.base64_text(back).alias("b64"))
+
+
+@query("""SELECT event_id, '{"a":' || CASE WHEN event_id % 3 = 0 THEN event_id + 1 ELSE event_id END || ',"list":[' || CASE event_id % 3 WHEN 1 THEN '1,9,2' ELSE '1,2' END || ']' || CASE event_id % 3 WHEN 2 THEN '}' ELSE ',"gone":true}' END AS doc FROM events""")
+def json_diffs(spark, sf_dir):
+    k = F.col("event_id") % 3
+    diff = lambda op, path, value: F.array(F.struct(F.lit(op).alias("op"), F.lit(path).alias("path"), value.cast("string").alias("value")))
+    own = F.when(k == 0, diff("replace", "$.a", F.col("event_id") + 1)).when(k == 1, diff("insert", "$.list[1]", F.lit(9))).otherwise(diff("remove", "$.gone", F.lit(None)))
+    base = F.concat(F.lit('{"a":'), F.col("event_id").cast("string"), F.lit(',"list":[1,2],"gone":true}'))
+    return read(spark, sf_dir, "events").select("event_id", json_diff.apply_diffs(base, own).alias("doc"))
+
+
+@query("SELECT base64(CAST(c_custkey AS VARCHAR)::BLOB) AS _id, c_custkey AS id, c_name AS name FROM customer")
+def kafka_key_ids(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").cast("binary").alias("key"), F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))).cast("binary").alias("value"))
+    return kafka.rows(c, kafka.json_payload("id bigint, name string"), key_is_id=True)
+
+
+@query("SELECT CAST(o_custkey AS VARCHAR) || ':' || o_orderkey AS _id, o_totalprice AS price FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 750)")
+def kafka_max_messages(spark, sf_dir):
+    """The first 1000 messages, of which 250 were taken before."""
+    o = read(spark, sf_dir, "orders")
+    made = o.select(F.lit(None).cast("binary").alias("key"), F.to_json(F.struct("o_custkey", "o_orderkey", F.col("o_totalprice").alias("price"))).cast("binary").alias("value"), F.col("o_orderkey").alias("timestamp"), F.lit(0).alias("partition"), F.col("o_orderkey").alias("offset"))
+    got = kafka.rows(kafka.first_messages(made, 1000, 250), kafka.json_payload("o_custkey bigint, o_orderkey bigint, price double"), id_columns=["o_custkey", "o_orderkey"])
+    return got.select(ids.flatten_id(F.col("_id")).alias("_id"), "price")
+
+
+PROTO = """syntax = "proto3";
+// an event
+message Event { enum Kind { OTHER = 0; CLICK = 1; } message Of { int64 user = 1; } int64 id = 1; Kind kind = 2; Of of = 3; string name = 4; }"""
+
+
+@query("SELECT event_id AS id, CASE WHEN event_type = 'click' THEN 'CLICK' ELSE 'OTHER' END AS kind, user_id AS \"user\", event_type AS name FROM events")
+def protobuf_events(spark, sf_dir):
+    """Messages are put together from small numbers' bytes by SQL functions, and decoded by the schema's text."""
+    seven = lambda c: F.concat(*[F.unhex(F.lpad(F.hex((F.shiftrightunsigned(c, 7 * i) % 128 + (128 if i < 4 else 0)).cast("bigint")), 2, "0")) for i in range(5)])
+    tag = lambda n, wire: F.unhex(F.lit(f"{n << 3 | wire:02x}"))
+    short = lambda c: F.unhex(F.lpad(F.hex(F.octet_length(c).cast("bigint")), 2, "0"))
+    inner = F.concat(tag(1, 0), seven(F.col("user_id")))
+    name = F.col("event_type").cast("binary")
+    kind = F.when(F.col("event_type") == "click", F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
+    made = F.concat(tag(1, 0), seven(F.col("event_id")), tag(2, 0), kind, tag(3, 2), short(inner), inner, tag(4, 2), short(name), name)
+    text = protobuf.to_json(F.col("m"), protobuf.parse(PROTO), "Event")
+    back = F.from_json("t", "id bigint, kind string, of struct<user: bigint>, name string")
+    return read(spark, sf_dir, "events").select(made.alias("m")).select(text.alias("t")).select(F.inline(F.array(back))).select("id", "kind", F.col("of.user").alias("user"), "name")
+
+
+KEYS = [("pk_c", "customer", "c_custkey", 1), ("pk_o", "orders", "o_orderkey", 1), ("pk_l", "lineitem", "l_orderkey", 1), ("pk_l", "lineitem", "l_linenumber", 2), ("fk_o", "orders", "o_custkey", 1), ("fk_l", "lineitem", "l_orderkey", 1), ("pk_n", "note", "a", 1), ("pk_n", "note", "b", 2), ("fk_n", "note", "b", 1), ("fk_n", "note", "c", 2)]
+REFERENCES = [("fk_o", "pk_c"), ("fk_l", "pk_o"), ("fk_n", "pk_l")]
+
+
+@query(f"""WITH k(cn, t, c, o) AS (VALUES {', '.join(map(str, KEYS))}), r(cn, u) AS (VALUES {', '.join(map(str, REFERENCES))})
+SELECT r.cn AS constraint_name, k.t AS table_name, p.t AS referenced_table, string_agg(k.c, ',' ORDER BY k.o) AS columns, string_agg(p.c, ',' ORDER BY k.o) AS referenced
+FROM r JOIN k ON k.cn = r.cn JOIN k p ON p.cn = r.u AND p.o = k.o GROUP BY ALL""")
+def catalog_foreign_keys(spark, sf_dir):
+    columns = spark.createDataFrame(KEYS, "constraint_name string, table_name string, column_name string, ordinal_position int")
+    got = catalogs.foreign_keys(spark.createDataFrame(REFERENCES, "constraint_name string, unique_constraint_name string"), columns)
+    return got.select("constraint_name", "table_name", "referenced_table", F.array_join("columns", ",").alias("columns"), F.array_join("referenced_columns", ",").alias("referenced"))
+
+
+@query("SELECT event_id AS pos, user_id AS id, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op, CASE WHEN event_type IN ('error', 'signup') OR event_id % 2 = 0 THEN value ELSE -1 END AS value FROM events WHERE event_id % 5 <> 0")
+def binlog_rows(spark, sf_dir):
+    """An update's NULL after it keeps the value before; events of another table drop out."""
+    e = event_changes(spark, sf_dir)
+    image = lambda v: F.struct("user_id", v.alias("value"))
+    before = F.when(F.col("_op") == "d", image(F.col("value"))).when(F.col("_op") == "u", image(F.lit(-1.0)))
+    after = F.when(F.col("_op") == "c", image(F.col("value"))).when(F.col("_op") == "u", image(F.when(F.col("_pos") % 2 == 0, F.col("value"))))
+    rows = e.select(F.lit("shop").alias("db"), F.when(F.col("_pos") % 5 == 0, "other").otherwise("users").alias("table"), F.col("_op").alias("op"), before.alias("before"), after.alias("after"), F.lit("f1").alias("file"), F.col("_pos").alias("pos"))
+    return changelog.from_binlog(rows, "shop", ["users"], ["user_id"]).select(F.col("_pos.pos").alias("pos"), F.col("user_id").alias("id"), F.col("_op").alias("op"), "value")
+
+
+@query(LOG + "SELECT user_id AS id, event_type AS kind, pos, 'users_' || CASE WHEN pos <= 2500 THEN 'old' ELSE 'new' END AS t FROM last WHERE op <> 'd'")
+def pgoutput_fold(spark, sf_dir):
+    e = event_changes(spark, sf_dir)
+    cells = F.array(F.col("user_id").cast("string"), F.col("event_type"))
+    kind = F.when(F.col("_op") == "d", "D").when(F.col("_op") == "c", "I").otherwise("U")
+    messages = e.select((F.col("_pos") * 2).alias("_pos"), kind.alias("kind"), F.lit(16).alias("relation_id"), F.when(F.col("_op") == "d", cells).alias("old"), F.when(F.col("_op") != "d", cells).alias("new"))
+    layout = [("user_id", True), ("event_type", False)]
+    known = spark.createDataFrame([(-1, 16, "users_old", layout), (5001, 16, "users_new", layout)], "_pos bigint, relation_id int, name string, columns array<struct<name:string,key:boolean>>")
+    log, _ = changelog.from_pgoutput(messages, known)
+    last = changes.fold(log.select("_id", "_op", "_pos", "_table", F.try_variant_get("data", "$.event_type", "string").alias("kind")), ["_id"])
+    return last.select(F.col("_id").cast("bigint").alias("id"), "kind", F.expr("_pos div 2").alias("pos"), F.col("_table").alias("t"))
+
+
+@query("SELECT row_number() OVER (ORDER BY ts, event_id) AS pos, event_id FROM events")
+def log_positions(spark, sf_dir):
+    return changelog.with_positions(read(spark, sf_dir, "events").select("ts", "event_id"), ["ts", "event_id"]).select(F.col("_pos").alias("pos"), "event_id")
+
+
+@query(WINDOW_SQL.format(low=2000, high=6000))
+def snapshot_loop(spark, sf_dir):
+    """A resumable snapshot in chunks beside a running log, and the log after it, merged into a streaming target; it ends as one reconciliation does."""
+    chunk, log = _orders_and_log(spark, sf_dir)
+    root = f"{shared_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    target = runner.Target(spark, f"{root}/orders", ["o_orderkey"], buckets=4)
+    target.merge(log.where("_pos <= 2000"))
+    runner.snapshot({"orders": (chunk, ["o_orderkey"])}, log.withColumn("_table", F.lit("orders")), Store(spark, f"{root}/store"), lambda name, rows: target.merge(rows), lambda: (2000, 6000), size=50_000)
+    target.merge(log.where("_pos >= 6000"))
+    return target.rows().select("o_orderkey", "v")
 
 
 @query()

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-OPS = {"INSERT": "c", "UPDATE": "u", "DELETE": "d"}
+from ..functions import casts
+from ..operators.changes import as_of, numbered
+from ..schema import Table
 
 
 def _op(column, unknown: str):
@@ -27,15 +29,47 @@ def from_wal2json(lines: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
     """``value`` (one wal2json v2 action a line) and ``_pos``. Keys are the ``pk`` names, or ``id``; deletes have theirs in ``identity``."""
     field = "array<struct<name:string,type:string,value:variant>>"
     doc = F.from_json("value", f"struct<action:string,schema:string,table:string,columns:{field},identity:{field},pk:array<struct<name:string,type:string>>>")
-    rows = lines.select("_pos", doc.alias("d")).where(F.col("d.action").isin("I", "U", "D"))
+    # lines of other actions go unread; inline keeps the optimizer from reading a line once for each use
+    rows = lines.where(F.col("value").rlike(r'"action"\s*:\s*"[IUD]"')).select("_pos", F.inline(F.array(doc))).where(F.col("action").isin("I", "U", "D"))
     for prefix in skip:
-        rows = rows.where(~F.col("d.table").startswith(prefix))
-    names = F.when(F.size("d.pk") > 0, F.transform("d.pk", lambda p: p["name"])).otherwise(F.array(F.lit("id")))
-    cells = F.when(F.col("d.action") == "D", F.col("d.identity")).otherwise(F.col("d.columns"))
+        rows = rows.where(~F.col("table").startswith(prefix))
+    names = F.when(F.size("pk") > 0, F.transform("pk", lambda p: p["name"])).otherwise(F.array(F.lit("id")))
+    gone = F.col("action") == "D"
+    cells = F.when(gone, F.col("identity")).otherwise(F.col("columns"))
     of = lambda n: F.try_variant_get(F.get(F.filter(cells, lambda c: c["name"] == n), F.lit(0))["value"], "$", "string")
-    op = F.when(F.col("d.action") == "I", "c").when(F.col("d.action") == "U", "u").otherwise("d")
-    data = F.when(F.col("d.action") != "D", F.try_parse_json(F.to_json(F.map_from_entries(F.transform("d.columns", lambda c: F.struct(c["name"], c["value"]))))))
-    return rows.select(F.col("d.table").alias("_table"), op.alias("_op"), F.array_join(F.transform(names, of), ":", "").alias("_id"), "_pos", data.alias("data"))
+    op = F.when(F.col("action") == "I", "c").when(F.col("action") == "U", "u").otherwise("d")
+    data = F.when(~gone, F.to_variant_object(F.map_from_entries(F.transform("columns", lambda c: F.struct(c["name"], c["value"])))))
+    return rows.select(F.col("table").alias("_table"), op.alias("_op"), F.array_join(F.transform(names, of), ":", "").alias("_id"), "_pos", data.alias("data"))
+
+
+def pg_cells(changes: DataFrame, table: Table) -> DataFrame:
+    """``changes`` with a column for each declared one, typed from the image as PostgreSQL writes its cells."""
+    cells = {c.name: casts.pg_cell(F.try_variant_get("data", f"$['{c.name}']", "variant"), c.type) for c in table.all_columns}
+    return changes.withColumns(cells)
+
+
+def from_pgoutput(messages: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decoded logical-replication messages (_pos, kind, relation_id, old and new as arrays of text cells; a truncate has neither) and the
+    relation messages of the same stream (_pos, relation_id, name, columns as an array of struct<name,key>): changes as elsewhere, and the renames
+    and truncates met, as ``_pos``, ``what``, ``_table`` and ``was``.
+
+    A message has the layout of the last relation message before it. A relation's new name is a rename of its table.
+    """
+    known = as_of(messages, relations, "relation_id", "_pos", ["name", "columns"])
+    old_or_new = F.when(F.col("kind") == "D", F.col("old")).otherwise(F.col("new"))
+    # an update that changes the key has the old one
+    key_of = F.when(F.col("kind") == "U", F.coalesce("old", "new")).otherwise(old_or_new)
+    pairs = F.arrays_zip("columns", key_of.alias("cells"))
+    key = F.transform(F.filter(pairs, lambda p: p["columns"]["key"]), lambda p: p["cells"])
+    op = F.when(F.col("kind") == "I", "c").when(F.col("kind") == "U", "u").when(F.col("kind") == "D", "d").otherwise(F.raise_error(F.concat(F.lit("unknown message: "), F.col("kind"))))
+    data = F.when(F.col("kind") != "D", F.to_variant_object(F.map_from_arrays(F.transform("columns", lambda c: c["name"]), F.col("new"))))
+    checked = F.when(F.col("name").isNull(), F.raise_error(F.lit("a message before its relation"))).otherwise(F.col("name"))
+    changes = known.where("kind <> 'T'").select(checked.alias("_table"), op.alias("_op"), F.array_join(key, ":", "").alias("_id"), "_pos", data.alias("data"))
+    # a relation is described a few times
+    was = F.lag("name").over(Window.partitionBy("relation_id").orderBy("_pos"))
+    renames = relations.withColumn("was", was).where("was is not null and was <> name").select("_pos", F.lit("rename").alias("what"), F.col("name").alias("_table"), "was")
+    truncates = known.where("kind = 'T'").select("_pos", F.lit("truncate").alias("what"), F.col("name").alias("_table"), F.lit(None).cast("string").alias("was"))
+    return changes, renames.unionByName(truncates)
 
 
 def from_mongo(lines: DataFrame) -> DataFrame:
@@ -65,5 +99,5 @@ def from_binlog(rows: DataFrame, database: str, tables: list[str], keys: list[st
 
 
 def with_positions(lines: DataFrame, order: list[str]) -> DataFrame:
-    """Opaque resume tokens have no order; arrival in the log has."""
-    return lines.withColumn("_pos", F.row_number().over(Window.orderBy(*order)).cast("long"))
+    """Opaque resume tokens have no order; arrival in the log has. Lines are numbered from 1, by ranges of ``order``."""
+    return numbered(lines, order, 1).withColumn("_pos", F.col("row_index") + 1).drop("row_index", "chunk_no")

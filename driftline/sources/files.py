@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from urllib.parse import urlparse
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import casts
-from ..functions.ids import composite_id
+from ..functions.ids import composite_id, ulid
 from ..schema import Table
 
 
@@ -42,6 +44,7 @@ def fetch(spark: SparkSession, uri: str) -> str:
 
 def read_csv(spark: SparkSession, uri: str, table: Table | None = None, header: bool = True, names: list[str] | None = None, delimiter: str = ",", id_columns: list[str] | None = None) -> DataFrame:
     """All cells as text, then as declared (an undeclared column stays text, with its ``_inferred_`` kind); ``_raw_`` holds a cell whose cast failed. Id columns stay.
+    Without them ``_id`` is a ULID of the file's name and the row's place in the read, so it stays the same as long as the files do.
 
     Without a header, columns are ``column_0`` and on, or ``names``. A record with another number of cells is an error.
     """
@@ -53,32 +56,82 @@ def read_csv(spark: SparkSession, uri: str, table: Table | None = None, header:
         reader = reader.option("pathGlobFilter", "*.[cC][sS][vV]")
     raw = reader.csv(fetch(spark, uri) if kind == "http" else path)
     raw = raw.toDF(*(names or (raw.columns if header else [f"column_{i}" for i in range(len(raw.columns))])))
-    out = raw
-    declared = {c.name: c.type for c in table.all_columns} if table else {}
-    for c in raw.columns:
-        if c in declared:
-            typed = casts.csv_cast(F.col(c), declared[c])
-            out = out.withColumns({f"_raw_{c}": F.when(typed.isNull() & (F.col(c) != ""), F.col(c)), c: typed})
+    at = {c: F.col(f"`{c}`") for c in raw.columns}  # a name may hold a dot
+    if not id_columns:
+        key = ulid(0, F.concat_ws("\0", F.input_file_name(), F.monotonically_increasing_id()))
+    else:
+        key = at[id_columns[0]].cast("string") if len(id_columns) == 1 else composite_id(*[at[c] for c in id_columns])
+    return _typed(raw.select("*", key.alias("_id")), {c.name: c.type for c in table.all_columns} if table else {})
+
+
+def _typed(df: DataFrame, declared: dict) -> DataFrame:
+    """Every cell but ``_id`` as declared, beside what it was."""
+    cells = []
+    for c in df.columns:
+        own = F.col(f"`{c}`")
+        if c == "_id":
+            cells.append(own)
+        elif c in declared:
+            typed = casts.csv_cast(own, declared[c])
+            cells += [typed.alias(c), F.when(typed.isNull() & (own != ""), own).alias(f"_raw_{c}")]
         else:
-            out = out.withColumns({f"_inferred_{c}": casts.csv_infer(F.col(c)), c: F.when(F.col(c) != "", F.col(c))})
-    key = composite_id(*[raw[c] for c in id_columns]) if id_columns else F.uuid()
-    return out.withColumn("_id", key if id_columns is None or len(id_columns) != 1 else F.col(id_columns[0]).cast("string"))
+            cells += [F.when(own != "", own).alias(c), casts.csv_infer(own).alias(f"_inferred_{c}")]
+    return df.select(*cells)
 
 
 def read_jsonl(spark: SparkSession, uri: str, table: Table | None = None, id_field: str = "id", rules: list[LinkRule] = []) -> DataFrame:
-    """``_id`` (text or integer; missing is an error) and ``doc`` (variant), plus declared columns. Blank lines are skipped; a line that isn't an object is an error."""
+    """``_id`` (text or integer, an unsigned one beyond a long wraps; missing is an error) and ``doc`` (variant), plus declared columns.
+
+    Of a folder, ``.jsonl``, ``.ndjson`` and ``.json`` files are read. Blank lines are skipped; a line that isn't an object is an error that
+    names the file and the line's text. With ``rules`` every object in ``doc``, however deep, that is a link under one of them becomes ``{"tb", "id"}``.
+    """
     path = fetch(spark, uri)
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    doc = F.try_parse_json("value")
+    reader = spark.read.option("pathGlobFilter", "*.{jsonl,ndjson,json}") if parse_uri(uri)[2] else spark.read
+    lines = reader.text(path).withColumn("file", F.input_file_name()).where(F.trim("value") != "")
+    doc = F.try_parse_json(linked(F.col("value"), rules) if rules else F.col("value"))
     bad = doc.isNull() | ~F.schema_of_variant(doc).startswith("OBJECT")
-    rows = lines.select(F.when(bad, F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200)))).otherwise(doc).alias("doc"))
-    own = F.try_variant_get("doc", f"$.{id_field}", "variant")
+    rows = lines.select(F.when(bad, F.raise_error(F.concat(F.lit("not a JSON object in "), F.col("file"), F.lit(": "), F.substring("value", 1, 200)))).otherwise(doc).alias("doc"))
+    own = F.try_variant_get("doc", f"$['{id_field}']", "variant")
     kind = F.schema_of_variant(own)
-    rows = rows.withColumn("_id", F.when(kind.isin("STRING", "BIGINT"), F.try_variant_get("doc", f"$.{id_field}", "string")).otherwise(F.raise_error(F.lit(f"no usable {id_field}"))))
-    columns = {c.name: casts.json_cast(F.try_variant_get("doc", f"$.{c.name}", "variant"), c.type) for c in (table.all_columns if table else []) if c.name != id_field}
+    wide = F.try_variant_get(own, "$", "decimal(20,0)")
+    power = lambda n: F.lit(str(1 << n)).cast("decimal(20,0)")
+    wraps = kind.startswith("DECIMAL") & (F.try_variant_get(own, "$", "decimal(38,9)") == wide) & (wide >= power(63)) & (wide < power(64))
+    key = F.when(kind.isin("STRING", "BIGINT"), F.try_variant_get(own, "$", "string")).when(wraps, (wide - power(64)).cast("bigint").cast("string"))
+    rows = rows.withColumn("_id", F.coalesce(key, F.raise_error(F.lit(f"no usable {id_field}"))))
+    columns = {c.name: casts.json_cast(F.try_variant_get("doc", f"$['{c.name}']", "variant"), c.type) for c in (table.all_columns if table else []) if c.name != id_field}
     return rows.withColumns(columns) if columns else rows
 
 
+def linked(text: Column, rules: list[LinkRule]) -> Column:
+    """JSON text in which every object that is a link under a rule is ``{"tb", "id"}``; what isn't JSON stays as it is."""
+    known = [(r.kind, r.field, r.table) for r in rules]
+
+    def walk(value):
+        if isinstance(value, list):
+            return [walk(x) for x in value]
+        if not isinstance(value, dict):
+            return value
+        for kind, field, table in known:
+            if value.get("type") == kind and isinstance(value.get(field), str):
+                return {"tb": table, "id": value[field]}
+        return {k: walk(x) for k, x in value.items()}
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            try:
+                doc = json.loads(t)
+            except ValueError:
+                out.append(t)
+                continue
+            # the row itself is no link
+            out.append(json.dumps({k: walk(x) for k, x in doc.items()} if isinstance(doc, dict) else doc, ensure_ascii=False))
+        return pd.Series(out, dtype=object)
+
+    return run(text)
+
+
 class LinkRule:
     """``type="kind",field table:field``: an object of that type with a text in that field is a link to the table."""
 

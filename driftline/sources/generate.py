@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INDEX = F.col
-
 
 def _hash(seed: int, name: str, salt: str = "") -> Column:
     return F.xxhash64(F.lit(seed), F.lit(name + salt), F.col("_index"))

@@ -12,7 +12,7 @@ from ..functions import casts, ids, json_diff, scalars
 from ..operators import changes, relations, temporal, verify
 from ..schema import Column, ForeignKey, Table, Type, classify, ddl
 from ..sinks import files as sinks
-from ..sources import catalogs, changelog, files, generate, kafka, protobuf
+from ..sources import catalogs, cells, changelog, files, generate, kafka, protobuf
 from ..staging import importable, shared_dir
 from ..streaming import runner
 from ..streaming.state import Store
@@ -454,11 +454,11 @@ def verify_report(spark, sf_dir):
     return verify.report(_compared(spark, sf_dir))
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS completed, count(*) FILTER (o_orderstatus = 'P') AS failed, CAST(sum(o_custkey) AS BIGINT) AS rows, max(o_orderkey % 50) AS seconds FROM orders")
+@query("SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS completed, count(*) FILTER (o_orderstatus = 'P') AS failed, CAST(sum(o_custkey) AS BIGINT) AS rows, max(o_orderkey % 50) AS seconds, CAST(round(sum(CASE WHEN o_orderkey % 50 > 0 THEN o_custkey / (o_orderkey % 50) END)) AS BIGINT) AS rows_per_second FROM orders")
 def metrics_rollup(spark, sf_dir):
     o = read(spark, sf_dir, "orders")
     status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "failed").otherwise("running")
-    return verify.rollup(o.select(status.alias("status"), F.col("o_custkey").alias("rows"), (F.col("o_orderkey") % 50).alias("seconds"))).drop("rows_per_second")
+    return verify.rollup(o.select(status.alias("status"), F.col("o_custkey").alias("rows"), (F.col("o_orderkey") % 50).alias("seconds"))).withColumn("rows_per_second", F.round("rows_per_second").cast("bigint"))
 
 
 @query("SELECT count(DISTINCT t) AS n_tables FROM (SELECT unnest([o_orderstatus, o_orderpriority]) AS t FROM orders)")
@@ -593,19 +593,40 @@ def binlog_rows(spark, sf_dir):
     return changelog.from_binlog(rows, "shop", ["users"], ["user_id"]).select(F.col("_pos.pos").alias("pos"), F.col("user_id").alias("id"), F.col("_op").alias("op"), "value")
 
 
-@query(LOG + "SELECT user_id AS id, event_type AS kind, pos, 'users_' || CASE WHEN pos <= 2500 THEN 'old' ELSE 'new' END AS t FROM last WHERE op <> 'd'")
+@query(LOG + "SELECT user_id AS id, event_type AS kind, pos, 'users' || CASE WHEN pos <= 2500 THEN '' ELSE '_new' END AS t FROM last WHERE op <> 'd'")
 def pgoutput_fold(spark, sf_dir):
     e = event_changes(spark, sf_dir)
-    cells = F.array(F.col("user_id").cast("string"), F.col("event_type"))
+    image = F.array(F.col("user_id").cast("string"), F.col("event_type"))
     kind = F.when(F.col("_op") == "d", "D").when(F.col("_op") == "c", "I").otherwise("U")
-    messages = e.select((F.col("_pos") * 2).alias("_pos"), kind.alias("kind"), F.lit(16).alias("relation_id"), F.when(F.col("_op") == "d", cells).alias("old"), F.when(F.col("_op") != "d", cells).alias("new"))
+    messages = e.select((F.col("_pos") * 2).alias("_pos"), kind.alias("kind"), F.lit(16).alias("relation_id"), F.when(F.col("_op") == "d", image).alias("old"), F.when(F.col("_op") != "d", image).alias("new"))
     layout = [("user_id", True), ("event_type", False)]
     known = spark.createDataFrame([(-1, 16, "users_old", layout), (5001, 16, "users_new", layout)], "_pos bigint, relation_id int, name string, columns array<struct<name:string,key:boolean>>")
     log, _ = changelog.from_pgoutput(messages, known)
+    log = changes.renamed(log, {"users_old": "users"})
     last = changes.fold(log.select("_id", "_op", "_pos", "_table", F.try_variant_get("data", "$.event_type", "string").alias("kind")), ["_id"])
     return last.select(F.col("_id").cast("bigint").alias("id"), "kind", F.expr("_pos div 2").alias("pos"), F.col("_table").alias("t"))
 
 
+@query("""SELECT o_orderkey AS id, o_orderkey AS n, CAST(o_totalprice AS DOUBLE) AS price, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus = 'F' AS done, lower(hex(o_orderpriority::BLOB)) AS raw FROM orders""")
+def warehouse_rows(spark, sf_dir):
+    """Orders as a warehouse's text cells, and back."""
+    o = read(spark, sf_dir, "orders")
+    text = o.select(F.col("o_orderkey").cast("string").alias("N"), F.col("o_totalprice").cast("string").alias("price"), F.unix_date(F.col("o_orderdate").cast("date")).cast("string").alias("day"), F.when(F.col("o_orderstatus") == "F", "TRUE").otherwise("0").alias("done"), F.hex("o_orderpriority").alias("raw"))
+    got = cells.warehouse_rows(text, {"N": ("FIXED", 18, 0), "price": ("REAL", 0, 0), "day": ("DATE", 0, 0), "done": ("BOOLEAN", 0, 0), "raw": ("BINARY", 0, 0)}, ["n"])
+    return got.select(F.col("_id").alias("id"), F.col("N").alias("n"), "price", day(F.col("day")).alias("day"), "done", F.lower(F.hex("raw")).alias("raw"))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS _id, CAST(epoch_ms(ts) AS BIGINT) AS ms, CAST(value AS DOUBLE) AS value, 'users' AS tb, CAST(user_id AS VARCHAR) AS id FROM events")
+def mongo_documents(spark, sf_dir):
+    """Events as extended JSON, and back."""
+    e = read(spark, sf_dir, "events")
+    number = lambda kind, c: F.struct(c.cast("string").alias(f"$number{kind}"))
+    link = F.struct(F.lit("users").alias("$ref"), F.col("user_id").cast("string").alias("$id"))
+    text = F.to_json(F.struct(number("Long", F.col("event_id")).alias("_id"), F.struct(number("Long", F.unix_millis(F.col("ts").cast("timestamp"))).alias("$date")).alias("at"), number("Double", F.col("value")).alias("value"), link.alias("who")))
+    got = cells.documents(e.select(text.alias("value")), {"at": "timestamp", "value": "double", "who": "link"})
+    return got.select("_id", F.unix_millis("at").alias("ms"), "value", F.col("who.tb").alias("tb"), F.col("who.id").alias("id"))
+
+
 @query("SELECT row_number() OVER (ORDER BY ts, event_id) AS pos, event_id FROM events")
 def log_positions(spark, sf_dir):
     return changelog.with_positions(read(spark, sf_dir, "events").select("ts", "event_id"), ["ts", "event_id"]).select(F.col("_pos").alias("pos"), "event_id")

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.changes import chunks, fold, reconcile
+from ..operators.changes import chunks, fold, reconcile, renamed
 from ..plans.transforms import Pipeline
-from .state import Signals, Snapshot, Store
+from .state import Checkpoints, Signals, Snapshot, Store
 
 
 class Target:
@@ -61,19 +61,23 @@ class Target:
                 fs.delete(path, True)
 
 
-def sync(stream: DataFrame, target: Target, checkpoint: str, pipeline: Pipeline = Pipeline(), fail: Callable[[int], None] | None = None, continuous: bool = False, **trigger) -> StreamingQuery:
+def sync(stream: DataFrame, target: Target, checkpoint: str, pipeline: Pipeline = Pipeline(), fail: Callable[[int], None] | None = None, continuous: bool = False, checkpoints: Checkpoints | None = None, names: dict[str, str] = {}, **trigger) -> StreamingQuery:
     """Folds each micro-batch and merges it; ``continuous`` waits for batches as long as the pipeline's options say.
 
     A batch that fails ends the query, or with the policy ``skip`` is counted and passed over without a write. What was read is counted before
-    transforms drop or add rows (``seen``: rows in, by number of the batch last taken).
+    transforms drop or add rows (``seen``: rows in, by number of the batch last taken). Changes of tables that have been renamed go under their
+    present ``names``.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         try:
+            batch = renamed(batch, names)
             seen = target.store.get("seen") or {"batch": -1, "rows": 0}
             target.merge(pipeline.rows(fold(batch, target.keys, tombstones=True)))
             if number > seen["batch"]:
                 target.store.put("seen", {"batch": number, "rows": seen["rows"] + batch.count()})
+            if checkpoints:
+                checkpoints.written(batch.agg(F.max("_pos")).first()[0])
             if fail:
                 fail(number)
         except Exception:
@@ -89,6 +93,8 @@ def sync(stream: DataFrame, target: Target, checkpoint: str, pipeline: Pipeline
 def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, store: Store, emit: Callable[[str, DataFrame], None], marks: Callable[[], tuple[int, int]], size: int = 1_000_000, signals: Signals | None = None) -> None:
     """Table after table in chunks, each reconciled with the log between its marks and emitted, with progress saved after each; a stopped snapshot goes on after the last saved key."""
     state = Snapshot.load(store)
+    if store.get("full_sync_start") is None:
+        store.phase("full_sync_start", marks()[0])
     queue = [t for t in tables if t not in state.done]
     while queue:
         name = queue.pop(0)
@@ -109,4 +115,5 @@ def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, sto
                     state.last_keys.pop(t, None)
                     queue.append(t)
             signals.acknowledge(id)
+    store.phase("full_sync_end", state.position)
     store.phase("snapshot_handoff", state.position)

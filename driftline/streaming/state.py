@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import SparkSession
@@ -65,6 +66,36 @@ class Store:
         self.put(phase, {"position": position})
 
 
+@dataclass
+class Checkpoints:
+    """When a stream's position is saved beside the engine's own checkpoint: after ``each`` batch, ``never``, or at an ``interval`` of seconds and
+    at the end. Only positions of batches that are written are saved."""
+
+    store: Store
+    policy: str = "each"
+    seconds: float = 0.0
+    waiting: int | str | None = None
+    saved_at: float = 0.0
+
+    def __post_init__(self) -> None:
+        if self.policy not in ("each", "never", "interval"):
+            raise ValueError(f"unknown policy: {self.policy}")
+
+    def written(self, position, now: float | None = None) -> None:
+        now = time.monotonic() if now is None else now
+        if position is not None and (self.waiting is None or position > self.waiting):
+            self.waiting = position
+        if self.policy == "each" or self.policy == "interval" and now - self.saved_at >= self.seconds:
+            self.flush(now)
+
+    def flush(self, now: float | None = None) -> None:
+        if self.policy != "never" and self.waiting is not None:
+            before = (self.store.get("catch_up_progress") or {}).get("position")
+            if before is None or self.waiting > before:
+                self.store.phase("catch_up_progress", self.waiting)
+            self.waiting, self.saved_at = None, time.monotonic() if now is None else now
+
+
 @dataclass
 class Snapshot:
     """Where a snapshot of several tables stands."""

@@ -11,7 +11,7 @@ from driftline.operators import changes
 from driftline.schema import Column, Table, Type
 from driftline.sinks import files as sinks
 from driftline.sinks import values
-from driftline.sources import catalogs, changelog, files, kafka, protobuf
+from driftline.sources import catalogs, cells, changelog, files, kafka, protobuf
 from driftline.staging import importable
 
 
@@ -225,3 +225,40 @@ def test_values_carried_over_ranges(spark, partitions):
         assert [r._pos for r in changelog.with_positions(events.where("k = 1"), ["pos"]).orderBy("pos").collect()] == list(range(1, 101))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_warehouse_cells(spark):
+    get = lambda t, kind, *p: one(spark, cells.warehouse_cell(F.lit(t).cast("string"), kind, *p))
+    assert get("5", "FIXED", 10, 0) == 5 and str(get("99999999999999999999", "number", 38, 0)) == "99999999999999999999" and str(get("1.50", "fixed", 10, 2)) == "1.50"
+    assert get("1", "bool") is True and str(get("-1", "date")) == "1969-12-31" and get("3661.5", "time") == "01:01:01.5" and get("00fF", "binary") == b"\x00\xff" and get(" x ", "geography") == " x "
+    assert get(None, "date") is None and str(get("-0.5", "timestamp_ntz")) == "1969-12-31 23:59:59.500000"
+    assert one(spark, F.to_json(cells.warehouse_cell(F.lit('{"a":1}'), "array"))) == '[{"a":1}]'
+    for t, kind in (("x", "fixed"), ("2", "bool"), ("0f0", "binary"), ("{", "variant")):
+        with pytest.raises(Exception, match="not of type"):
+            get(t, kind)
+    df = spark.createDataFrame([("1", "2")], "A string, b string")
+    assert cells.warehouse_rows(df, {"A": ("fixed", 9, 0), "b": ("text", 0, 0)}, ["a", "B"]).first()["_id"] == ["1", "2"]
+    for columns, key in (({"A": ("fixed", 9, 0)}, ["A"]), ({"A": ("fixed", 9, 0), "b": ("text", 0, 0)}, ["c"])):
+        with pytest.raises(ValueError):
+            cells.warehouse_rows(df, columns, key)
+
+
+def test_documents_of_extended_json(spark):
+    lines = [
+        {"_id": {"$oid": "65f0"}, "n": {"$numberDecimal": "1.25"}, "at": {"$date": "2024-01-15T10:30:00Z"}, "raw": {"$binary": {"base64": "AP8=", "subType": "00"}}, "who": {"$ref": "users", "$id": {"$oid": "9a"}}, "s": {"$regularExpression": {"pattern": "a.b", "options": "i"}}},
+        {"_id": "t", "n": 2, "at": {"$timestamp": {"t": 5, "i": 1}}, "s": "plain"},
+        {"_id": {"$numberLong": "7"}, "n": {"$numberInt": "3"}, "at": {"$date": {"$numberLong": "1500"}}, "who": {"$ref": "users"}, "s": {"$uuid": "u"}},
+    ]
+    fields = {"n": "decimal(10,2)", "at": "timestamp", "raw": "binary", "who": "link", "s": "string"}
+    got = {r["_id"]: r for r in cells.documents(spark.createDataFrame([(json.dumps(x),) for x in lines], "value string"), fields).withColumn("us", F.unix_micros("at")).collect()}
+    assert set(got) == {"65f0", "t", "7"} and [str(got[k].n) for k in ("65f0", "t", "7")] == ["1.25", "2.00", "3.00"]
+    assert bytes(got["65f0"].raw) == b"\x00\xff" and tuple(got["65f0"].who) == ("users", "9a") and got["7"].who is None
+    assert [got[k].s for k in ("65f0", "t", "7")] == ["/a.b/i", "plain", "u"] and [got[k].us for k in ("65f0", "t", "7")] == [1705314600000000, 5000000, 1500000]
+    for bad in ('{"_id": 1.5}', '{"x": 1}', "{"):
+        with pytest.raises(Exception, match="no usable _id"):
+            cells.documents(spark.createDataFrame([(bad,)], "value string")).collect()
+
+
+def test_ids_of_nodes(spark):
+    nodes = spark.createDataFrame([("e1", {"id": "42", "n": "x"}), ("e2", {"id": "k"}), ("33", {"n": "y"})], "element_id string, properties map<string,string>")
+    assert [(r["_id"], r.number, r.properties) for r in cells.node_ids(nodes).collect()] == [("42", 42, {"n": "x"}), ("k", None, {}), ("33", 33, {"n": "y"})]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from driftline.operators.changes import fold
 from driftline.plans.transforms import Options, Pipeline
 from driftline.streaming import runner
-from driftline.streaming.state import CatchUp, Signals, Snapshot, Store
+from driftline.streaming.state import CatchUp, Checkpoints, Signals, Snapshot, Store
 
 LOG = "id int, _op string, _pos int, val string"
 
@@ -132,3 +132,30 @@ def test_commands_that_hang_end_or_answer_early(spark, tmp_path):
         with pytest.raises(ValueError):
             transforms.load(text)
     assert transforms.load("[pipeline]\nbatch_max_wait = '250ms'").options.trigger() == {"processingTime": "250 milliseconds"}
+
+
+def test_when_positions_are_saved(spark, tmp_path):
+    saved = lambda store: (store.get("catch_up_progress") or {}).get("position")
+    each, never, interval = (Checkpoints(Store(spark, str(tmp_path / p)), p, 10.0) for p in ("each", "never", "interval"))
+    for now, pos in ((100.0, 5), (101.0, 4), (102.0, 7), (103.0, None)):
+        for c in (each, never, interval):
+            c.written(pos, now)
+    assert (saved(each.store), saved(never.store), saved(interval.store)) == (7, None, 5)
+    interval.written(9, 111.0)
+    assert saved(interval.store) == 9
+    interval.written(12, 112.0)
+    interval.flush()
+    assert saved(interval.store) == 12
+    with pytest.raises(ValueError):
+        Checkpoints(each.store, "often")
+
+
+def test_renamed_tables_counts_and_positions_of_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    schema = "_table string, id long, _op string, _pos long, v string"
+    spark.createDataFrame([("old", 1, "c", 1, "a"), ("new", 1, "u", 2, "b"), ("old", 2, "c", 3, "c")], schema).coalesce(1).write.mode("overwrite").json(str(tmp_path / "in"))
+    target = runner.Target(spark, str(tmp_path / "t"), ["_table", "id"])
+    saved = Checkpoints(Store(spark, str(tmp_path / "p")))
+    runner.sync(spark.readStream.schema(schema).json(str(tmp_path / "in")), target, str(tmp_path / "c"), checkpoints=saved, names={"old": "new"}).awaitTermination()
+    assert sorted((r["_table"], r.id, r.v) for r in target.rows().collect()) == [("new", 1, "b"), ("new", 2, "c")]
+    assert target.store.get("seen")["rows"] == 3 and saved.store.get("catch_up_progress") == {"position": 3}

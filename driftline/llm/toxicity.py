@@ -22,12 +22,15 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from heapq import nsmallest
 from itertools import product
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import mapped, plain, slices, stage
 
@@ -38,6 +41,8 @@ HELD, SHARE = 3, 0.9
 #: By how much, as a logarithm, an entry must be unlikelier than one chance hit among all candidates.
 CHANCE = 1.0
 STEMS = (4, 5, 6)
+#: Words and stems that a task counts before it hands their sums on.
+FORMS = 150_000
 #: Letters from which a word may differ by one edit, and by two.
 ONE, TWO = 5, 10
 #: What a match with so many edits counts where the labelled documents hold none like it.
@@ -260,6 +265,11 @@ def reported(text: str, begin: int) -> bool:
     return any(w in REPORTING for w in WORD.findall(text, line, begin)[-WINDOW // 2 :])
 
 
+def known_words(text: str | None) -> set[str]:
+    """The distinct words of a whole text, as they are looked up."""
+    return {w if w.isalpha() else w.translate(LETTERS) for w in set(WORD.findall((text or "").lower()))}
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> tuple[DataFrame, dict[int, float]]:
     """Texts and labels (0 or 1) of at most ``most`` labelled documents of each label, those of the smallest id hashes; and for how many
     labelled documents one of the sample stands, by label. ``place`` orders the sample."""
@@ -274,16 +284,38 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most:
 def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE, label: str = "toxic") -> Lexicon:
     """Fits lexicon and threshold on the labelled documents that ``chosen`` (a condition on doc_id) allows."""
     rows, stands = sample(docs, labels, label, chosen, most)
-    rows = stage(rows.select("text", "y"), "labelled-texts")
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
-    # copies and near copies are one witness: documents whose words have the same three smallest hashes
-    witness = F.hash(F.slice(F.sort_array(F.transform("ws", lambda w: F.xxhash64(w))), 1, 3))
-    stems = [F.transform(F.filter("ws", lambda w, k=k: F.length(w) >= k), lambda w, k=k: F.struct(F.substring(w, 1, k).alias("w"), F.lit(k).alias("k"))) for k in STEMS]
-    whole = F.transform(F.filter("ws", lambda w: F.length(w) > 2), lambda w: F.struct(w.alias("w"), F.lit(0).alias("k")))
-    texts = rows.select("y", words.alias("ws")).select("y", witness.alias("witness"), F.explode(F.concat(whole, *stems)).alias("s"))
-    held = texts.groupBy("s.w", "s.k", "witness").agg(F.max("y").alias("y")).groupBy("w", "k").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    rows = stage(rows, "labelled-texts")
+
+    def witness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [crc32(b"".join(b"%016x" % h for h in nsmallest(3, map(xxh3_64_intdigest, known_words(t))))) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("y"), batch.column("place")], ["witness", "y", "place"])
+
+    # copies and near copies are one witness: of documents whose words have the same three smallest hashes one counts, a toxic one if there is any
+    seen = mapped(rows, witness, "witness bigint, y int, place bigint").groupBy("witness").agg(F.min(F.struct(-F.col("y"), "place")).alias("d"))
+    seen = stage(seen.select((-F.col("d.col1")).alias("y"), F.col("d.place").alias("place")).distinct(), "witnesses")
+    total = {r["y"]: r["count"] for r in seen.groupBy("y").count().collect()}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], list[int]] = {}
+        for batch in slices(batches, "text", 1 << 20):
+            for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
+                words = known_words(text)
+                for form in {(w, 0) for w in words if len(w) > 2}.union(*({(w[:k], k) for w in words if len(w) >= k} for k in STEMS)):
+                    held.setdefault(form, [0, 0])[y] += 1
+            if len(held) > FORMS:
+                yield rows_of(held)
+                held = {}
+        yield rows_of(held)
+
+    def rows_of(held: dict[tuple[str, int], list[int]]) -> pa.RecordBatch:
+        parts = ([w for w, _ in held], [k for _, k in held], [n[1] for n in held.values()], [n[0] for n in held.values()])
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(parts, (pa.string(), pa.int32(), pa.int64(), pa.int64()))], ["w", "k", "pos", "neg"])
+
+    texts = rows.join(F.broadcast(seen.select("place")), "place").select("text", "y")  # at most 2 * most rows
+    held = mapped(texts, count, "w string, k int, pos bigint, neg bigint").groupBy("w", "k").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     held = stage(held.where(f"pos + neg >= {HELD}"), "held")
-    total = {r["y"]: r["n"] for r in rows.select("y", words.alias("ws")).select("y", witness.alias("witness")).groupBy("y").agg(F.count_distinct("witness").alias("n")).collect()}
+    rows = rows.select("text", "y")
     if not total.get(0) or not total.get(1):
         return Lexicon()
     # chance: how likely so many of the documents that hold it are toxic, if it said nothing; all candidates together must be unlikely

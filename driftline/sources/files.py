@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 from urllib.parse import urlparse
+from urllib.request import urlopen
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import casts
 from ..functions.ids import composite_id, ulid
 from ..schema import Table
+from ..staging import shared_dir
 
 
 def parse_uri(uri: str) -> tuple[str, str, bool]:
@@ -32,14 +35,19 @@ def table_name(uri: str) -> str:
 
 
 def fetch(spark: SparkSession, uri: str) -> str:
-    """A reader's path for a URI; an HTTP body is stored by the cluster's own file distribution first."""
+    """A reader's path for a URI. An HTTP body goes to a file in the shared folder first, in small pieces, so that every executor reads the same."""
     kind, path, _ = parse_uri(uri)
     if kind != "http":
         return path
-    from pyspark import SparkFiles
-
-    spark.sparkContext.addFile(path)
-    return "file://" + SparkFiles.get(urlparse(path).path.rsplit("/", 1)[-1])
+    to = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/fetched-{uuid.uuid4().hex}/{urlparse(path).path.rsplit('/', 1)[-1] or 'items'}")
+    out = to.getFileSystem(spark._jsc.hadoopConfiguration()).create(to, True)
+    try:
+        with urlopen(path, timeout=60) as body:
+            while piece := body.read(1 << 20):
+                out.write(piece)
+    finally:
+        out.close()
+    return to.toString()
 
 
 def read_csv(spark: SparkSession, uri: str, table: Table | None = None, header: bool = True, names: list[str] | None = None, delimiter: str = ",", id_columns: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,11 @@ def cell(kind: str, seed: int, name: str, **o) -> Column:
     if kind == "pattern":
         made = F.replace(F.lit(o["pattern"]), F.lit("{index}"), index.cast("string"))
         made = F.replace(made, F.lit("{uuid}"), cell("uuid", seed, name))
-        return F.regexp_replace(made, r"\{rand:\d+\}", F.pmod(_hash(seed, name), F.lit(o.get("rand", 10**6))).cast("string"))
+        # so many random digits, new ones at every place
+        for place, n in enumerate(re.findall(r"\{rand:(\d+)\}", o["pattern"])):
+            digits = F.regexp_replace(F.concat(*[F.sha2(_hash(seed, name, f"{place}/{i}").cast("string").cast("binary"), 256) for i in range(int(n) // 32 + 1)]), "[a-f]", "7")
+            made = F.regexp_replace(made, F.lit(r"^((?:(?!\{rand:).)*)\{rand:" + n + r"\}"), F.concat(F.lit("$1"), F.substring(digits, 1, int(n))))
+        return made
     if kind == "int_range":
         return (o["min"] + F.floor(unit * (o["max"] - o["min"] + 1))).cast("bigint")
     if kind == "float_range":

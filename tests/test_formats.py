@@ -1,6 +1,7 @@
 """Files, messages, catalogs, sinks and scalars: round trips, refusals and the cases between."""
 
 import json
+import re
 import struct
 
 import pytest
@@ -11,7 +12,7 @@ from driftline.operators import changes
 from driftline.schema import Column, Table, Type
 from driftline.sinks import files as sinks
 from driftline.sinks import values
-from driftline.sources import catalogs, cells, changelog, files, kafka, protobuf
+from driftline.sources import catalogs, cells, changelog, files, generate, kafka, protobuf
 from driftline.staging import importable
 
 
@@ -116,6 +117,25 @@ def test_csv_of_any_name_and_back(spark, tmp_path):
         sinks.dry_run(read.withColumn("bad", F.raise_error(F.lit("no"))))
 
 
+def test_a_file_by_http(spark, tmp_path):
+    import functools
+    import http.server
+    import threading
+
+    (tmp_path / "a.csv").write_text("id,v\n1,x\n2,y\n")
+    with http.server.ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(http.server.SimpleHTTPRequestHandler, directory=str(tmp_path))) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        got = files.read_csv(spark, f"http://127.0.0.1:{server.server_port}/a.csv", id_columns=["id"])
+        assert sorted((r["_id"], r.v) for r in got.collect()) == [("1", "x"), ("2", "y")]
+        server.shutdown()
+
+
+def test_patterns_of_random_digits(spark):
+    made = [r.x for r in generate.generate(spark, 20, {"x": {"generator": "pattern", "pattern": "a{rand:3}-{index}-{rand:40}{rand:3}"}}).collect()]
+    assert all(re.fullmatch(r"a\d{3}-\d+-\d{43}", x) for x in made) and len({x[:4] for x in made}) > 5 and any(x[1:4] != x[-3:] for x in made)
+    assert made == [r.x for r in generate.generate(spark, 20, {"x": {"generator": "pattern", "pattern": "a{rand:3}-{index}-{rand:40}{rand:3}"}}, partitions=7).collect()]
+
+
 def test_json_lines_with_links(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

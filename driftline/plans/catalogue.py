@@ -215,7 +215,11 @@ def classify_tables(spark, sf_dir):
     return spark.createDataFrame(rows, "name string, kind string")
 
 
-@query()
+@query("""WITH c(o, t, c, kind, nullable, link, edge) AS (VALUES (1, 'orders', 'o_orderkey', 'int', false, NULL, false), (2, 'orders', 'o_custkey', 'int', true, 'customer', false), (3, 'orders', 'o_totalprice', 'float', true, NULL, false),
+    (5, 'lineitem', 'l_partkey', 'int', false, 'part', true), (5, 'lineitem', 'l_suppkey', 'int', false, 'supplier', true), (5, 'lineitem', 'l_quantity', 'float', true, NULL, false)),
+f AS (SELECT o, 'DEFINE FIELD ' || c || ' ON ' || t || ' TYPE ' || CASE WHEN nullable THEN 'option<' ELSE '' END || CASE WHEN link IS NULL THEN kind ELSE 'record<' || link || '>' END || CASE WHEN nullable THEN '>' ELSE '' END || ';' AS stmt FROM c WHERE NOT edge),
+t AS (SELECT min(o) - 1 AS o, 'DEFINE TABLE ' || t || CASE WHEN bool_or(edge) THEN ' TYPE RELATION IN ' || min(link) || ' OUT ' || max(link) ELSE '' END || ' SCHEMAFULL;' AS stmt FROM c GROUP BY t)
+SELECT CAST(o AS INT) AS n, stmt FROM (SELECT * FROM f UNION ALL SELECT * FROM t)""")
 def sink_ddl(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(ddl([ORDERS, SUPPLIES]))), "n int, stmt string")
 
@@ -644,7 +648,21 @@ def snapshot_loop(spark, sf_dir):
     return target.rows().select("o_orderkey", "v")
 
 
-@query()
+def _drawn(name: str, more: str = "") -> str:
+    return f"('0x' || substr(md5('42/{name}/' || i{more}), 1, 15))::BIGINT"
+
+
+def _share(name: str) -> str:
+    return f"({_drawn(name)} % 4503599627370496) / 4503599627370496.0"
+
+
+UUID = "substr({0}, 1, 8) || '-' || substr({0}, 9, 4) || '-4' || substr({0}, 14, 3) || '-8' || substr({0}, 18, 3) || '-' || substr({0}, 21, 12)".format("md5('42/key/' || i)")
+
+
+@query(f"""SELECT i + 1 AS id, 'user_' || i || '@test.com' AS email, CAST(18 + floor({_share('age')} * 63) AS BIGINT) AS age, {_share('is_active')} < 0.8 AS is_active, {_share('score')} * 100 AS score, {UUID} AS key,
+round(10 + {_share('total')} * 490, 2) AS total, (['pending', 'completed', 'cancelled', 'refunded'])[CAST(floor({_share('status')} * 4) AS INT) + 1] AS status,
+array_to_string([(['a', 'b', 'c'])[CAST({_drawn('tags', " || '/' || k")} % 3 AS INT) + 1] FOR k IN range(1, 1 + CAST(floor({_share('tagssize')} * 4) AS BIGINT))], ',') AS tags, 1704067200 + i AS created_at
+FROM (SELECT range AS i FROM range(10000))""")
 def generated_users(spark, sf_dir):
     columns = {
         "id": {"generator": "sequential"}, "email": {"generator": "pattern", "pattern": "user_{index}@test.com"}, "age": {"generator": "int_range", "min": 18, "max": 80},
@@ -652,4 +670,5 @@ def generated_users(spark, sf_dir):
         "total": {"generator": "decimal_range", "min": 10, "max": 500, "precision": 10}, "status": {"generator": "one_of", "values": ["pending", "completed", "cancelled", "refunded"]},
         "tags": {"generator": "sample_array", "values": ["a", "b", "c"], "max": 3}, "created_at": {"generator": "timestamp_range", "start": "2024-01-01", "end": "2024-02-01"},
     }
-    return generate.generate(spark, 10_000, columns)
+    made = generate.generate(importable(spark), 10_000, columns)
+    return made.withColumns({"total": F.col("total").cast("double"), "tags": F.array_join("tags", ","), "created_at": F.unix_timestamp("created_at")})

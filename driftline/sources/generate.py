@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _hash(seed: int, name: str, salt: str = "") -> Column:
-    return F.xxhash64(F.lit(seed), F.lit(name + salt), F.col("_index"))
+def _hash(seed: int, name: str, salt: str = "", *more: Column) -> Column:
+    """60 bits of the md5 of all of it, a hash that any other engine has too."""
+    said = F.concat_ws("/", F.lit(str(seed)), F.lit(name + salt), F.col("_index").cast("string"), *[m.cast("string") for m in more])
+    return F.conv(F.substring(F.md5(said.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
 def _unit(seed: int, name: str, salt: str = "") -> Column:
@@ -54,7 +56,7 @@ def cell(kind: str, seed: int, name: str, **o) -> Column:
         values, low, high = o["values"], o.get("min", 0), o["max"]
         size = (low + F.floor(_unit(seed, name, "size") * (high - low + 1))).cast("int")
         pool = F.array(*map(F.lit, values))
-        pick = lambda i: F.get(pool, F.pmod(F.xxhash64(F.lit(seed), F.lit(name), F.col("_index"), i), F.lit(len(values))).cast("int"))
+        pick = lambda i: F.get(pool, F.pmod(_hash(seed, name, "", i), F.lit(len(values))).cast("int"))
         return F.when(size > 0, F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), pick)).otherwise(F.array().cast("array<string>" if isinstance(values[0], str) else "array<bigint>"))
     if kind == "static":
         return F.lit(o["value"])

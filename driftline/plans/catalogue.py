@@ -620,7 +620,7 @@ def warehouse_rows(spark, sf_dir):
     return got.select(F.col("_id").alias("id"), F.col("N").alias("n"), "price", day(F.col("day")).alias("day"), "done", F.lower(F.hex("raw")).alias("raw"))
 
 
-@query("SELECT CAST(event_id AS VARCHAR) AS _id, CAST(epoch_ms(ts) AS BIGINT) AS ms, CAST(value AS DOUBLE) AS value, 'users' AS tb, CAST(user_id AS VARCHAR) AS id FROM events")
+@query("SELECT CAST(event_id AS VARCHAR) AS _id, epoch_us(ts) // 1000 AS ms, CAST(value AS DOUBLE) AS value, 'users' AS tb, CAST(user_id AS VARCHAR) AS id FROM events")
 def mongo_documents(spark, sf_dir):
     """Events as extended JSON, and back."""
     e = read(spark, sf_dir, "events")

@@ -74,17 +74,19 @@ def read_csv(spark: SparkSession, uri: str, table: Table | None = None, header:
 
 def _typed(df: DataFrame, declared: dict) -> DataFrame:
     """Every cell but ``_id`` as declared, beside what it was."""
-    cells = []
+    cells, beside = [], []
     for c in df.columns:
         own = F.col(f"`{c}`")
         if c == "_id":
-            cells.append(own)
+            beside.append(own)
         elif c in declared:
             typed = casts.csv_cast(own, declared[c])
-            cells += [typed.alias(c), F.when(typed.isNull() & (own != ""), own).alias(f"_raw_{c}")]
+            cells.append(typed.alias(c))
+            beside.append(F.when(typed.isNull() & (own != ""), own).alias(f"_raw_{c}"))
         else:
-            cells += [F.when(own != "", own).alias(c), casts.csv_infer(own).alias(f"_inferred_{c}")]
-    return df.select(*cells)
+            cells.append(F.when(own != "", own).alias(c))
+            beside.append(casts.csv_infer(own).alias(f"_inferred_{c}"))
+    return df.select(*cells, *beside)
 
 
 def read_jsonl(spark: SparkSession, uri: str, table: Table | None = None, id_field: str = "id", rules: list[LinkRule] = []) -> DataFrame:

@@ -320,6 +320,18 @@ def test_every_fitting_pair_meets_once(spark, monkeypatch):
     assert all(frozenset((a, b)) in set(pairs) for a, b in itertools.combinations(size, 2) if min(size[a], size[b]) * 100 >= 90 * max(size[a], size[b]))
 
 
+def test_a_shingle_that_thousands_hold(spark):
+    """A passage in all of 2,000 texts, with near copies among them: as many links as components need, without every pair."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(60))
+    own = [" ".join(rng.choices([f"q{i}" for i in range(50)], k=4)) for _ in range(40)]
+    texts = [f"{passage} {own[i % 40]} {rng.choice(own[:3])}" for i in range(2000)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(docs(spark, texts), 3, 90, 100).collect()}
+    distinct = sorted(set(texts), key=texts.index)
+    label = {t: texts.index(distinct[c]) for t, (_, c) in zip(distinct, brute_components(distinct, 3, 90, 100))}
+    assert got == {i: label[t] for i, t in enumerate(texts)}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 20)] + [(30, 31), (32, 31), (40, 40)]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()))
@@ -664,6 +676,33 @@ def test_pipeline(spark):
     assert {r.doc_id for r in packed} == {r.doc_id for r in d.select("doc_id").collect()}
 
 
+def test_pipeline_on_odd_rows(spark):
+    """Every stage keeps rows with null and empty texts, null and repeated ids, ties and very long texts, and columns that are named like those within."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    clean = [r.text for r in common.table(spark, sf, "documents").join(common.table(spark, sf, "labels").where("quality = 1 and toxic = 0"), "doc_id").limit(6).collect()]
+    texts = [None, "", " ", *clean, clean[0], " ".join(clean * 40)]
+    ids = [None, None, 5, 5, *range(10, 10 + len(texts) - 5), 10]
+    names = ["n", "row", "part", "turn", "label", "y", "place", "token", "cid", "hits", "length", "page", "shard_id"]
+    rows = [(i, t, *[k] * len(names)) for k, (i, t) in enumerate(zip(ids, texts))]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} long" for n in names)
+    d = spark.createDataFrame(rows, schema).coalesce(2)
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        kept = common.stage(step(spark, d, sf), "odd")
+        assert kept.columns == d.columns and {r.n for r in kept.collect()} <= {r.n for r in d.collect()}, name
+        if name == "n-gram Jaccard join":
+            assert {r.n for r in kept.collect()} == {r.n for r in d.collect()} - {len(clean) + 3}  # the copy of the first
+        else:
+            assert kept.where("n in (0, 1)").count() == 2, name
+        d = kept
+    packed = corpus_pipeline.STAGES[-1][1](spark, d, sf).collect()
+    assert len({(r.doc_id, r.piece) for r in packed if r.doc_id is not None}) <= len(packed) and len([r for r in packed if r.piece == 0]) == d.count()
+    none = spark.createDataFrame([], schema)
+    for name, step in corpus_pipeline.STAGES:
+        assert step(spark, none, sf).count() == 0, name
+
+
 def test_near_copies_go_by_row(spark):
     import corpus_pipeline
 

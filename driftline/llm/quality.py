@@ -98,9 +98,12 @@ class Space:
 
     @classmethod
     def fit(cls, rows: np.ndarray, labels: np.ndarray, each: np.ndarray) -> Space:
-        known = (rows > 0).sum(axis=0)
+        """From term counts, which are weighted in place: there is one dense matrix of the sample."""
+        known = np.count_nonzero(rows, axis=0)
         weight = (np.log((1 + len(rows)) / (1 + known)) + 1).astype(np.float32)
-        x = np.concatenate([cls.weighted(rows[a : a + DOCS], weight) for a in range(0, len(rows), DOCS)])
+        x = rows
+        for a in range(0, len(x), DOCS):
+            x[a : a + DOCS] = cls.weighted(x[a : a + DOCS], weight)
         # randomized range finder: a few products with the sample, no square matrix of terms
         k = min(DIMENSIONS, *x.shape)
         y = x @ np.random.default_rng(0).standard_normal((x.shape[1], k + 16)).astype(np.float32)
@@ -167,6 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE
     rows = np.zeros((len(y), TERMS), np.float32)
     for i, (at, n) in enumerate(zip(got.column("at"), got.column("n"))):
         rows[i, at.values.to_numpy()] = n.values.to_numpy()
+    del got
     return Space.fit(rows, y, np.where(y == 1, stands[1], stands[0]))
 
 

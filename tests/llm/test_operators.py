@@ -648,7 +648,7 @@ def test_votes_against_brute_force():
     rows = np.stack([quality.counts(t.encode()) for t in texts])
     y = np.arange(len(texts)) % 3 == 0
     each = np.where(y, 1.0, 2.5)
-    space = quality.Space.fit(rows, y.astype(int), each)
+    space = quality.Space.fit(rows.copy(), y.astype(int), each)
     got = space.scores(rows)
     for i in range(0, len(texts), 7):
         mine = quality._unit(space.weighted(rows[i : i + 1], space.weight) @ space.basis)[0]

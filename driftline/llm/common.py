@@ -45,8 +45,16 @@ def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same batches; at their end the worker, which Spark keeps for other tasks, gives back the memory that it no longer uses."""
+#: Caches that tasks of one operator leave in a worker for each other.
+KEPT: list = []
+
+
+def released(batches: Iterable[pa.RecordBatch], keeps: bool = False) -> Iterator[pa.RecordBatch]:
+    """The same batches; at their end the worker, which Spark keeps for other tasks, gives back the memory that it no longer uses. Tasks
+    that don't need what others have kept drop it first."""
+    if not keeps:
+        for cache in KEPT:
+            cache.cache_clear()
     try:
         yield from batches
     finally:
@@ -56,9 +64,9 @@ def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trim(0)
 
 
-def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow``, with the memory given back after each task."""
-    return df.mapInArrow(lambda batches: released(function(batches)), schema)
+def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keeps: bool = False) -> DataFrame:
+    """``mapInArrow``, with the memory given back after each task; ``keeps`` leaves caches for the next."""
+    return df.mapInArrow(lambda batches: released(function(batches), keeps), schema)
 
 
 def few(rows: DataFrame) -> bool:

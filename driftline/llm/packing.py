@@ -138,7 +138,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
                 ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"],
             )
 
-    return mapped(plain(docs, "doc_id", "text"), cut, PIECES)
+    return mapped(plain(docs, "doc_id", "text"), cut, PIECES, keeps=True)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024) -> DataFrame:
@@ -177,7 +177,7 @@ def sequences(packed: DataFrame, docs: DataFrame, tokenizer: str, end_id: int) -
             ids, bounds = with_end(*enc.encode(batch.column("text")), end_id)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))], ["doc_id", "ids"])
 
-    ids = mapped(plain(docs, "doc_id", "text"), encode, "doc_id bigint, ids array<int>")
+    ids = mapped(plain(docs, "doc_id", "text"), encode, "doc_id bigint, ids array<int>", keeps=True)
     own = packed.join(ids, "doc_id").select("sequence_id", "offset", F.slice("ids", F.col("start").cast("int") + 1, F.col("length").cast("int")).alias("ids"))
     # a sequence holds at most its capacity of ids, so its group is bounded
     return own.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))

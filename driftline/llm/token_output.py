@@ -70,7 +70,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes:
         if ids_of:
             yield flush()
 
-    mapped(ordered, encode, FORMAT_DDL).write.option("compression", "none").parquet(path)
+    mapped(ordered, encode, FORMAT_DDL, keeps=True).write.option("compression", "none").parquet(path)
 
 
 def _segments(spark: SparkSession, path: str) -> DataFrame:

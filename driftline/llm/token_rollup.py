@@ -37,7 +37,7 @@ def counts(docs: DataFrame, tokenizer: str) -> DataFrame:
             _, bounds = enc.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.array(np.diff(bounds))], ["doc_id", "source", "lang", "n_tokens"])
 
-    return mapped(plain(docs, "doc_id", "source", "lang", "text"), count, "doc_id bigint, source string, lang string, n_tokens bigint")
+    return mapped(plain(docs, "doc_id", "source", "lang", "text"), count, "doc_id bigint, source string, lang string, n_tokens bigint", keeps=True)
 
 
 def inserts(counted: DataFrame, version: str) -> DataFrame:

@@ -15,11 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import slices
+from .common import KEPT, slices
 
 #: Bytes of pieces kept by one worker, about, with ``ENTRY`` for each besides its characters; beyond that those go that were met but
 #: once. Only speed depends on it.
-CACHE_BYTES, ENTRY = 40 << 20, 200
+CACHE_BYTES, ENTRY = 80 << 20, 200
 #: Bytes of text that are encoded at once, or a single text.
 AT_ONCE = 4 << 20
 #: Pieces in one call of the library.
@@ -152,10 +152,13 @@ class Encoder:
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
-    """One for each worker process."""
+    """One for each worker process, as long as its tasks tokenize."""
     return Encoder(path)
 
 
+KEPT.append(encoder)
+
+
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with id ``end`` after every text."""
     n = len(bounds) - 1

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -334,24 +334,34 @@ def linked(classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
     star = member.select("gid", "cid").join(star, "gid").select(F.col("centre").alias("a"), F.col("cid").alias("b"))
     first = stage(verify(near.union(own).union(star).distinct(), docs, k, num, den), "links")
 
-    # what is left: members of one heavy shingle whose labels differ
-    label = components(first, "a", "b")
-    posted = posts.select("cid", "n", F.explode("hot").alias("token")).join(label.withColumnRenamed("node", "cid"), "cid", "left")
+    posted = posts.select("cid", "n", F.explode("hot").alias("token"))
+    return first.union(across(posted, posts.where(F.size("hot") > 0).select("cid", "n", "hot"), first, docs, k, num, den))
+
+
+def across(posted: DataFrame, lists: DataFrame, links: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The links that ``links`` lacks to connect all components: of members of one token, ``posted(token, cid, n)``, those whose labels differ are compared
+    in blocks. ``lists(cid, n, hot)`` has each member's tokens, so that two that share several meet under one."""
+    label = components(links, "a", "b")
+    posted = posted.join(label.withColumnRenamed("node", "cid"), "cid", "left")
     posted = stage(posted.select("token", "cid", "n", F.coalesce("label", "cid").alias("label")), "labelled")
     mixed = posted.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
     placed = meetings(stage(posted.join(mixed, "token"), "mixed"), num, den)
-    with_hot = placed.join(posts.where(F.size("hot") > 0).select("cid", "n", "hot"), "cid")
+    with_hot = placed.join(lists, "cid")
     wanted = "token bigint, cid bigint, label bigint, own bigint, i bigint, j bigint"
     placed = stage(with_hot.groupBy("token", "i", "j").applyInArrow(_needed(num, den), wanted), "placed")
     met = pick(docs, placed.withColumnRenamed("cid", "doc_id")).withColumnRenamed("doc_id", "cid").select("token", "cid", "label", "own", "i", "j", "text")
-    rest = met.groupBy("token", "i", "j").applyInArrow(_compare(k, num, den), "a bigint, b bigint").distinct()
-    return first.union(rest)
+    return met.groupBy("token", "i", "j").applyInArrow(_compare(k, num, den), "a bigint, b bigint").distinct()
 
 
 def join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n_shingles, component_id for every document; two link when den * intersection >= num * union."""
     docs = plain(docs, "doc_id", "text")
-    signed = stage(signatures(docs, k, num, den), "signatures")
+    return by_class(stage(signatures(docs, k, num, den), "signatures"), lambda classes: linked(classes, docs, k, num, den))
+
+
+def by_class(signed: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of documents with ``n``, ``set_key`` and ``low``, staged. Documents of one set are a class, and ``link`` gives the links (a, b) of classes
+    (cid, set_key, n, low)."""
     sound = signed.where("n > 0 and doc_id is not null")
     copied = stage(sound.groupBy("set_key").agg(F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("c")).where("c > 1").select("set_key", "cid"), "copied")
     held = few(copied)
@@ -359,7 +369,7 @@ def join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     # copies are combined in each task before they are shuffled
     of_copies = sound.join(keys, "set_key", "left_semi").groupBy("set_key").agg(F.min(F.struct("doc_id", "n", "low")).alias("r"))
     classes = sound.join(keys, "set_key", "left_anti").select(F.col("doc_id").alias("cid"), "set_key", "n", "low").unionByName(of_copies.select(F.col("r.doc_id").alias("cid"), "set_key", "r.n", "r.low"))
-    links = linked(classes if held else stage(classes, "class-rows"), docs, k, num, den)
+    links = link(classes if held else stage(classes, "class-rows"))
     # equal sets, and sets of rows with one doc_id, meet in a node
     same = sound.select("doc_id", "set_key").join(keys, "set_key").where("doc_id <> cid").select(F.col("cid").alias("a"), F.col("doc_id").alias("b"))
     label = components(links.union(same), "a", "b")

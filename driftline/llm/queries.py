@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, jaccard_join, packing, permutation_index, quality, sharding, token_output, token_rollup, toxicity
+from . import chat_format, collocations, conversation_trie, decontamination, jaccard_join, min_max, packing, permutation_index, quality, sharding, token_output, token_rollup, toxicity
 from .common import fold, plain, shared_dir, stage, table
 
 
@@ -85,6 +85,24 @@ def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op11_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return min_max.near_copies(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that begin with the first turns of another, as many as the id's crc32 says."""
+    own = stage(conversation_trie.turns(table(spark, sf_dir, "conversations")), "turns")
+    return conversation_trie.nodes(conversation_trie.rebuilt(own, F.col("conv_id") - F.col("conv_id") % 5, fold(F.col("conv_id"), 9)))
+
+
+#: Occurrences of a phrase at least, and phrases listed of each language.
+LEAST, TOP = 30, 2000
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), LEAST, TOP)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,8 +110,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_quality, op3_token_output, op4_decontamination, op5_best_fit_packing, op6_jaccard_join, op7_permutation_index, op8_extendible_hashing, op9_chat_format, op10_token_rollup, pipeline)}
+    return {f.__name__: f for f in (op1_toxicity, op2_quality, op3_token_output, op4_decontamination, op5_best_fit_packing, op6_jaccard_join, op7_permutation_index, op8_extendible_hashing, op9_chat_format, op10_token_rollup, op11_min_max, op12_conversation_trie, op13_collocations, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_extendible_hashing": sharding.sql(SHARD), "op9_chat_format": chat_format.sql(chat_format.Template())}
+    return {
+        "op6_jaccard_join": min_max.sql(3, 90, 100, kept=False),
+        "op8_extendible_hashing": sharding.sql(SHARD),
+        "op9_chat_format": chat_format.sql(chat_format.Template()),
+        "op11_min_max": min_max.sql(3, 85, 100, kept=True),
+        "op12_conversation_trie": conversation_trie.sql(),
+        "op13_collocations": collocations.sql(LEAST, TOP),
+    }

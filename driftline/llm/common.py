@@ -113,3 +113,11 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 <
 def plain(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, whatever else the table has."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def free(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

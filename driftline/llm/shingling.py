@@ -40,7 +40,7 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     mixed = {1: runs.copy()}
     for i in range(1, k):
         runs = (runs ^ (runs >> S29)) * A
-        runs[: n - i] += words[i:] * B
+        runs[: max(0, n - i)] += words[i:] * B
         mixed[i + 1] = runs.copy() if i + 1 < k else runs
     for a, b in zip(offsets[:-1], offsets[1:]):
         size = min(k, b - a)

@@ -4,7 +4,8 @@ A batch of changes is aggregated to signed deltas and written as one table, ``de
 _SUCCESS file commits it. A batch that is already committed is not written again, and what a failed attempt left is overwritten, so
 commits are idempotent. Totals are the sums of committed deltas; ``compact`` replaces deltas by their sums and remembers whose they were.
 
-A change carries counts, not texts: an insert has ``tokens_after``, a delete ``tokens_before``, a revision both (and ``*_before`` keys where they moved).
+A change carries counts, not texts: an insert has ``tokens_after``, a delete ``tokens_before``, a revision both. Changes may have a column ``before``, a struct of
+source, lang and tokenizer: a revision that has one moved its document, which counts off there and on at its new keys.
 
 Defined cases: null sources and languages are groups of their own; a null count is 0; a change of an unknown kind raises; repeated rows count each
 time; an empty batch commits and changes nothing; null and empty texts have no tokens, and texts are counted whole, however long; other columns
@@ -52,9 +53,24 @@ def deletes(counted: DataFrame, version: str) -> DataFrame:
     return inserts(counted, version).select(F.lit("delete").alias("kind"), *KEY, F.col("tokens_after").alias("tokens_before"), F.lit(None).cast("long").alias("tokens_after"))
 
 
+def moves(counted: DataFrame, version: str, source=None, lang=None, after=None) -> DataFrame:
+    """Revisions of documents that get another source or language, and another count if ``after`` says so."""
+    plain_ = revisions(counted, version, F.col("tokens_after") if after is None else after)
+    before = F.struct("source", "lang", "tokenizer")
+    return plain_.withColumn("before", before).withColumns({k: c for k, c in (("source", source), ("lang", lang)) if c is not None})
+
+
 def deltas(changes: DataFrame) -> DataFrame:
     """Signed sums by key; combined in each task before the shuffle, so a source with most rows is no hot group."""
     kind = F.col("kind")
+    if "before" in changes.columns:  # a move is a delete and an insert
+        cells = lambda k, key, b, a: F.struct(k.alias("kind"), *[key[c].alias(c) for c in KEY], b.alias("tokens_before"), a.alias("tokens_after"))
+        own = F.struct(*KEY)
+        none = F.lit(None).cast("bigint")
+        moved = (kind == "revise") & F.col("before").isNotNull()
+        two = F.array(cells(F.lit("delete"), F.col("before"), F.col("tokens_before"), none), cells(F.lit("insert"), own, none, F.col("tokens_after")))
+        one = F.array(cells(kind, own, F.col("tokens_before"), F.col("tokens_after")))
+        changes = changes.select(F.inline(F.when(moved, two).otherwise(one)))
     docs = F.when(kind == "insert", 1).when(kind == "delete", -1).when(kind == "revise", 0).otherwise(F.raise_error(F.concat(F.lit("unknown change: "), F.coalesce(kind, F.lit("null")))))
     before, after = F.coalesce("tokens_before", F.lit(0)), F.coalesce("tokens_after", F.lit(0))
     tokens = F.when(kind == "insert", after).when(kind == "delete", -before).otherwise(after - before)

@@ -485,6 +485,18 @@ def test_rollup(spark, tmp_path):
         store.commit("b5", token_rollup.inserts(counted, "v1").withColumn("kind", F.lit("merge")))
 
 
+def test_revisions_that_move(spark, tmp_path):
+    made = spark.createDataFrame([("insert", "web", "en", "v1", None, 5, None), ("insert", None, "en", "v1", None, 3, None)], f"{token_rollup.CHANGES}, before struct<source:string,lang:string,tokenizer:string>")
+    store = token_rollup.Rollup(spark, str(tmp_path / "r"))
+    store.commit("a", made)
+    web = spark.createDataFrame([(1, "web", "en", 5)], "doc_id long, source string, lang string, n_tokens long")
+    store.commit("b", token_rollup.moves(web, "v1", source=F.lit("book"), after=F.lit(7).cast("long")))
+    assert sorted(map(tuple, store.totals().collect()), key=str) == [("book", "en", "v1", 1, 7), (None, "en", "v1", 1, 3)]
+    null = spark.createDataFrame([(2, None, "en", 3)], "doc_id long, source string, lang string, n_tokens long")
+    store.commit("c", token_rollup.moves(null, "v1", lang=F.lit("de")).unionByName(token_rollup.deletes(null, "v1").withColumn("before", F.lit(None).cast("struct<source:string,lang:string,tokenizer:string>")).limit(0)))
+    assert sorted(map(tuple, store.totals().collect()), key=str) == [("book", "en", "v1", 1, 7), (None, "de", "v1", 1, 3)]
+
+
 def test_rollup_query(spark):
     from driftline.llm import queries
 
@@ -703,6 +715,16 @@ def test_pipeline_on_odd_rows(spark):
         assert step(spark, none, sf).count() == 0, name
 
 
+def test_near_copies_carry_any_column(spark):
+    import corpus_pipeline
+
+    text = "a b c d e f g h i j"
+    rows = spark.createDataFrame([(2, text, 77, 1), (1, text, 78, 2), (3, "other words", 79, 3)], "doc_id long, text string, __row long, `a.b` int")
+    kept = corpus_pipeline.drop_near_copies(spark, rows, None)
+    assert kept.columns == rows.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, text, 78, 2), (3, "other words", 79, 3)]
+
+
 def test_near_copies_go_by_row(spark):
     import corpus_pipeline
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import casts, ids, json_diff, scalars
-from ..operators import changes, relations, temporal, verify
+from ..operators import changes, relations, snapshots, temporal, verify
 from ..schema import Column, ForeignKey, Table, Type, classify, ddl
 from ..sinks import files as sinks
 from ..sources import catalogs, cells, changelog, files, generate, kafka, protobuf
+from ..sources import ddl as ddl_log
 from ..staging import importable, shared_dir
-from ..streaming import runner
+from ..streaming import keyed, metrics, runner
 from ..streaming.state import Store
+from . import transforms
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -405,7 +408,7 @@ def audit_fold(spark, sf_dir):
     doc = F.to_json(F.struct("user_id", "event_type"))
     rows = e.select(F.col("event_id").alias("sequence_id"), F.lit("users").alias("table_name"), op.alias("operation"), F.to_json(F.array("user_id")).alias("row_id"), F.when(op != "INSERT", doc).alias("old_data"), F.when(op != "DELETE", doc).alias("new_data"))
     log = changelog.from_audit(rows, since=-1).select("_id", "_op", "_pos", F.try_variant_get("data", "$.event_type", "string").alias("kind"))
-    return changes.fold(log, ["_id"]).select(F.col("_id").cast("bigint").alias("id"), "kind", F.col("_pos").alias("pos"))
+    return changes.fold(log, ["_id"]).select(F.col("_id")[0].cast("bigint").alias("id"), "kind", F.col("_pos").alias("pos"))
 
 
 @query(LOG + "SELECT user_id AS id, event_type AS kind, pos FROM last WHERE op <> 'd'")
@@ -416,7 +419,7 @@ def wal2json_fold(spark, sf_dir):
     own = F.concat(F.lit("["), cell("user_id", "bigint", F.col("user_id").cast("string")), F.lit(","), cell("event_type", "text", F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))), F.lit("]"))
     text = F.concat(F.lit('{"action":"'), action, F.lit('","schema":"public","table":"users","pk":[{"name":"user_id","type":"bigint"}],"'), F.when(action == "D", "identity").otherwise("columns"), F.lit('":'), own, F.lit("}"))
     log = changelog.from_wal2json(e.select(F.col("event_id").alias("_pos"), text.alias("value"))).select("_id", "_op", "_pos", F.try_variant_get("data", "$.event_type", "string").alias("kind"))
-    return changes.fold(log, ["_id"]).select(F.col("_id").cast("bigint").alias("id"), "kind", F.col("_pos").alias("pos"))
+    return changes.fold(log, ["_id"]).select(F.col("_id")[0].cast("bigint").alias("id"), "kind", F.col("_pos").alias("pos"))
 
 
 @query(LOG + "SELECT user_id AS id, event_type AS kind, pos FROM last WHERE op <> 'd'")
@@ -433,7 +436,64 @@ def mongo_fold(spark, sf_dir):
 def mssql_cdc(spark, sf_dir):
     k = F.col("event_id") % 4
     rows = read(spark, sf_dir, "events").select(F.col("event_id").alias("start_lsn"), F.when(k == 0, 4).otherwise(k).cast("int").alias("operation"), "user_id")
-    return changelog.from_cdc(rows, "users", ["user_id"], 100, 5000).select(F.col("_pos").alias("pos"), F.col("_id").cast("bigint").alias("id"), F.col("_op").alias("op"))
+    return changelog.from_cdc(rows, "users", ["user_id"], 100, 5000).select(F.col("_pos").alias("pos"), F.col("_id")[0].cast("bigint").alias("id"), F.col("_op").alias("op"))
+
+
+# two key columns, whose values hold the separator, are empty or null
+
+
+COMPOSITE = """WITH l AS (SELECT event_id AS pos, event_type AS kind, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op,
+user_id % 7 || CASE WHEN event_id % 2 = 0 THEN ':' ELSE '' END AS a, CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN '' ELSE CASE WHEN event_id % 2 = 1 THEN ':' ELSE '' END || user_id % 5 END AS b FROM events)
+SELECT a, b, kind, pos FROM (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY pos DESC) = 1) WHERE op <> 'd'"""
+
+
+def _two_keys(spark, sf_dir) -> DataFrame:
+    e = event_changes(spark, sf_dir)
+    p, u = F.col("_pos"), F.col("user_id")
+    a = F.concat((u % 7).cast("string"), F.when(p % 2 == 0, ":").otherwise(""))
+    b = F.when(p % 11 == 0, F.lit(None)).when(p % 13 == 0, "").otherwise(F.concat(F.when(p % 2 == 1, ":").otherwise(""), (u % 5).cast("string")))
+    return e.select("_pos", "_op", F.col("event_type").alias("kind"), a.alias("a"), b.alias("b"))
+
+
+def _last_of_two(log: DataFrame, kind) -> DataFrame:
+    last = changes.fold(log.select("_id", "_op", "_pos", kind.alias("kind")), ["_id"])
+    return last.select(F.col("_id")[0].alias("a"), F.col("_id")[1].alias("b"), "kind", F.col("_pos").alias("pos"))
+
+
+@query(COMPOSITE)
+def audit_composite(spark, sf_dir):
+    op = F.when(F.col("_op") == "d", "DELETE").when(F.col("_op") == "c", "INSERT").otherwise("UPDATE")
+    doc = F.to_json(F.struct("kind"))
+    rows = _two_keys(spark, sf_dir).select(F.col("_pos").alias("sequence_id"), F.lit("t").alias("table_name"), op.alias("operation"), F.to_json(F.array("a", "b"), {"ignoreNullFields": "false"}).alias("row_id"), doc.alias("old_data"), F.when(op != "DELETE", doc).alias("new_data"))
+    return _last_of_two(changelog.from_audit(rows, since=-1), F.try_variant_get("data", "$.kind", "string"))
+
+
+@query(COMPOSITE)
+def wal2json_composite(spark, sf_dir):
+    cell = lambda n: F.struct(F.lit(n).alias("name"), F.lit("text").alias("type"), F.col(n).alias("value"))
+    action = F.when(F.col("_op") == "d", "D").when(F.col("_op") == "c", "I").otherwise("U")
+    own = F.array(cell("a"), cell("b"), cell("kind"))
+    pk = F.array(*[F.struct(F.lit(n).alias("name"), F.lit("text").alias("type")) for n in ("a", "b")])
+    text = F.to_json(F.struct(action.alias("action"), F.lit("public").alias("schema"), F.lit("t").alias("table"), pk.alias("pk"), F.when(action != "D", own).alias("columns"), F.when(action == "D", own).alias("identity")), {"ignoreNullFields": "false"})
+    log = changelog.from_wal2json(_two_keys(spark, sf_dir).select("_pos", text.alias("value")))
+    return _last_of_two(log, F.try_variant_get("data", "$.kind", "string"))
+
+
+@query(COMPOSITE)
+def pgoutput_composite(spark, sf_dir):
+    image = F.array("a", "b", "kind")
+    kind = F.when(F.col("_op") == "d", "D").when(F.col("_op") == "c", "I").otherwise("U")
+    messages = _two_keys(spark, sf_dir).select("_pos", kind.alias("kind"), F.lit(16).alias("relation_id"), F.when(F.col("_op") == "d", image).alias("old"), F.when(F.col("_op") != "d", image).alias("new"))
+    known = spark.createDataFrame([(-1, 16, "t", [("a", True), ("b", True), ("kind", False)])], "_pos bigint, relation_id int, name string, columns array<struct<name:string,key:boolean>>")
+    log, _ = changelog.from_pgoutput(messages, known)
+    return _last_of_two(log, F.try_variant_get("data", "$.kind", "string"))
+
+
+@query(COMPOSITE)
+def mssql_cdc_composite(spark, sf_dir):
+    code = F.when(F.col("_op") == "d", 1).when(F.col("_op") == "c", 2).otherwise(4)
+    rows = _two_keys(spark, sf_dir).withColumns({"start_lsn": F.col("_pos"), "operation": code}).drop("_pos", "_op")
+    return _last_of_two(changelog.from_cdc(rows, "t", ["a", "b"], -1, 1 << 60), F.col("kind"))
 
 
 # verification and rollups
@@ -608,7 +668,7 @@ def pgoutput_fold(spark, sf_dir):
     log, _ = changelog.from_pgoutput(messages, known)
     log = changes.renamed(log, {"users_old": "users"})
     last = changes.fold(log.select("_id", "_op", "_pos", "_table", F.try_variant_get("data", "$.event_type", "string").alias("kind")), ["_id"])
-    return last.select(F.col("_id").cast("bigint").alias("id"), "kind", F.expr("_pos div 2").alias("pos"), F.col("_table").alias("t"))
+    return last.select(F.col("_id")[0].cast("bigint").alias("id"), "kind", F.expr("_pos div 2").alias("pos"), F.col("_table").alias("t"))
 
 
 @query("""SELECT o_orderkey AS id, o_orderkey AS n, CAST(o_totalprice AS DOUBLE) AS price, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus = 'F' AS done, lower(hex(o_orderpriority::BLOB)) AS raw FROM orders""")
@@ -636,18 +696,105 @@ def log_positions(spark, sf_dir):
     return changelog.with_positions(read(spark, sf_dir, "events").select("ts", "event_id"), ["ts", "event_id"]).select(F.col("_pos").alias("pos"), "event_id")
 
 
-@query(WINDOW_SQL.format(low=2000, high=6000))
+MARKED_SQL = """WITH log AS (SELECT event_id * 3 % 20011 AS k, CASE event_type WHEN 'error' THEN 'd' ELSE 'u' END AS op, event_id AS pos, value AS v FROM events),
+o AS (SELECT o_orderkey AS k, o_totalprice AS v, {chunk} AS c FROM orders),
+m AS (SELECT *, {low} AS low, {high} AS high FROM o),
+u AS (SELECT k, op, pos, 0 AS phase, v FROM log UNION ALL SELECT k, 'c', high, 1, v FROM m WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.k = m.k AND l.pos > m.low AND l.pos < m.high))
+SELECT k AS o_orderkey, v FROM (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY k ORDER BY pos DESC, phase DESC) = 1) WHERE op <> 'd'"""
+
+
+@query(MARKED_SQL.format(chunk="(row_number() OVER (ORDER BY o_orderkey) - 1) // 1024", low="2001 + 20 * c", high="2011 + 20 * c"))
 def snapshot_loop(spark, sf_dir):
-    """A resumable snapshot in chunks beside a running log, and the log after it, merged into a streaming target; it ends as one reconciliation does."""
+    """A resumable snapshot in chunks beside a log that goes on meanwhile, and the log after it, merged into a streaming target; a chunk's window is its own."""
     chunk, log = _orders_and_log(spark, sf_dir)
     root = f"{shared_dir(spark)}/snapshot-{uuid.uuid4().hex}"
-    target = runner.Target(spark, f"{root}/orders", ["o_orderkey"], buckets=4)
-    target.merge(log.where("_pos <= 2000"))
-    runner.snapshot({"orders": (chunk, ["o_orderkey"])}, log.withColumn("_table", F.lit("orders")), Store(spark, f"{root}/store"), lambda name, rows: target.merge(rows), lambda: (2000, 6000), size=50_000)
-    target.merge(log.where("_pos >= 6000"))
+    target, at = runner.Target(spark, f"{root}/orders", ["o_orderkey"]), itertools.count(1991, 10)
+    target.merge(log.where("_pos <= 1991"))
+    runner.snapshot({"orders": (chunk, ["o_orderkey"])}, log.withColumn("_table", F.lit("orders")), Store(spark, f"{root}/store"), lambda name, rows: target.merge(rows), lambda: next(at), size=1024)
+    target.merge(log.where("_pos > 1991"))
     return target.rows().select("o_orderkey", "v")
 
 
+@query(MARKED_SQL.format(chunk="o_orderkey // 500", low="100 * c", high="100 * c + 1500"))
+def snapshot_parallel(spark, sf_dir):
+    """All chunks at once, each with marks of its own, and the log joined to them by their bounds."""
+    rows, log = _orders_and_log(spark, sf_dir)
+    most = rows.agg(F.max("o_orderkey")).first()[0]
+    cuts = [[b] for b in range(500, most + 1, max(500, most // 1000 // 500 * 500))]
+    marks = spark.range(len(cuts) + 1).selectExpr("CAST(id AS INT) AS _chunk", f"100 * id * {max(1, most // 1000 // 500)} AS _low", f"100 * id * {max(1, most // 1000 // 500)} + 1500 AS _high")
+    return snapshots.reconcile_chunks(rows.withColumn("_chunk", snapshots.chunk_of(["o_orderkey"], cuts, rows)), log, ["o_orderkey"], cuts, marks).select("o_orderkey", "v")
+
+
+def _streamed(spark, rows: DataFrame, order: str, name: str, files_: int = 4):
+    """A table as a stream of several micro-batches, in order, and a new folder for what becomes of it."""
+    root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    edges = [low + (high + 1 - low) * i // files_ for i in range(files_ + 1)]
+    for a, b in zip(edges, edges[1:]):  # one after the other, as a file source goes by time
+        rows.where((F.col(order) >= a) & (F.col(order) < b)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"), root
+
+
+@query("""WITH l AS (SELECT user_id, event_id AS pos, event_type IN ('signup', 'error') AS born, CASE event_type WHEN 'click' THEN NULL ELSE value END AS v, event_type = 'error' OR event_type = 'signup' AS own FROM events),
+g AS (SELECT *, sum(born::INT) OVER (PARTITION BY user_id ORDER BY pos) AS life FROM l)
+SELECT user_id, pos, CASE WHEN own THEN v ELSE last_value(v IGNORE NULLS) OVER (PARTITION BY user_id, life ORDER BY pos ROWS UNBOUNDED PRECEDING) END AS value FROM g""")
+def null_after_stream(spark, sf_dir):
+    """As ``null_after_keeps_before``, with the last image of each key held from one micro-batch to the next."""
+    log = event_changes(spark, sf_dir).select("user_id", "_op", "_pos", F.when(F.col("event_type") != "click", F.col("value")).alias("value"))
+    stream, root = _streamed(spark, log, "_pos", "keyed", 1)
+    filled = keyed.keep_before(stream, ["user_id"], ["value"]).select("user_id", F.col("_pos").alias("pos"), "value")
+    filled.writeStream.format("parquet").option("checkpointLocation", f"{root}/c").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    return spark.read.schema(filled.schema).parquet(f"{root}/out")
+
+
+@query(LOG.replace("FROM events)", "FROM events WHERE event_type <> 'click')") + "SELECT user_id, event_type, pos FROM last WHERE op <> 'd'")
+def stream_transform_fold(spark, sf_dir):
+    """Changes in four micro-batches, of which a transform drops some before anything is folded."""
+    stream, root = _streamed(spark, event_changes(spark, sf_dir).select("user_id", "_op", "_pos", "event_type"), "_pos", "stream")
+    target = runner.Target(spark, f"{root}/t", ["user_id"])
+    pipeline = transforms.Pipeline([transforms.Stage(lambda df: df.where("event_type <> 'click'"))])
+    runner.sync(stream, target, f"{root}/c", pipeline).awaitTermination()
+    return target.all().where("_op <> 'd'").select("user_id", "event_type", F.col("_pos").alias("pos"))
+
+
+@query(LOG.replace("FROM events)", "FROM events WHERE event_id < 3000)") + "SELECT user_id, event_type, pos FROM last WHERE op <> 'd'")
+def stream_until(spark, sf_dir):
+    """A stream that ends by itself before a position."""
+    stream, root = _streamed(spark, event_changes(spark, sf_dir).select("user_id", "_op", "_pos", "event_type"), "_pos", "until")
+    target = runner.Target(spark, f"{root}/t", ["user_id"])
+    runner.run(stream, target, f"{root}/c", runner.Limits(until=3000))
+    return target.all().where("_op <> 'd'").select("user_id", "event_type", F.col("_pos").alias("pos"))
+
+
+@query("SELECT event_type AS kind, count(*) AS n, sum(octet_length(encode(event_type)))::BIGINT AS bytes FROM events GROUP BY 1")
+def metrics_file(spark, sf_dir):
+    """Each kind of event written by itself, and what the metrics' lines say of it."""
+    e = read(spark, sf_dir, "events")
+    root = f"{shared_dir(spark)}/metrics-{uuid.uuid4().hex}"
+    log = metrics.MetricsLog(spark, f"{root}/m")
+    kinds = [r[0] for r in e.select("event_type").distinct().orderBy("event_type").collect()]  # a handful
+    for i, k in enumerate(kinds):
+        metrics.timed(e.where(F.col("event_type") == k), lambda df, i=i: df.write.parquet(f"{root}/{i}"), log, F.octet_length("event_type"))
+    lines = spark.read.json(f"{root}/m").withColumn("i", F.regexp_extract(F.input_file_name(), r"(\d+)\.json", 1).cast("int"))
+    each = Window.partitionBy(F.lit(1)).orderBy("i")  # one row for each kind
+    own = lambda c: F.col(c) - F.lag(c, 1, 0).over(each)
+    return lines.select(F.element_at(F.array(*map(F.lit, kinds)), F.col("i") + 1).alias("kind"), own("rows_processed").alias("n"), own("bytes_read").alias("bytes"))
+
+
+@query("""WITH r AS (SELECT event_id AS pos, 't' || (event_id // 700) AS was, 't' || (event_id // 700 + 1) AS now FROM events WHERE event_id % 700 = 350 AND event_id < 3000)
+SELECT event_id AS pos, CASE WHEN event_id % 3 = 0 THEN 'other' WHEN event_id < 3000 - 150 THEN 't' || (SELECT CAST(max(pos // 700 + 1) AS INTEGER) FROM r) ELSE 't' || (event_id // 700) END AS t FROM events WHERE event_id % 3 = 0 OR event_id >= 2850 OR event_id % 700 < 350""")
+def ddl_renames(spark, sf_dir):
+    """A table that is renamed again and again, by statements in the log; its rows go under the name it has at the end."""
+    e = read(spark, sf_dir, "events")
+    p = F.col("event_id")
+    name = lambda n: F.concat(F.lit("t"), n.cast("bigint").cast("string"))
+    k = F.expr("event_id div 700")
+    sql = F.when(k % 2 == 0, F.concat(F.lit("RENAME TABLE `shop`.`"), name(k), F.lit("` TO "), name(k + 1), F.lit(", x TO y"))).otherwise(F.concat(F.lit("alter table "), name(k), F.lit(" /* why */ rename to `"), name(k + 1), F.lit("`")))
+    renames = ddl_log.statements(e.where((p % 700 == 350) & (p < 3000)).select(p.alias("_pos"), sql.alias("sql"))).where("what = 'rename'")
+    rows = e.where((p % 3 == 0) | (p >= 2850) | (p % 700 < 350)).select(p.alias("_pos"), F.when(p % 3 == 0, "other").otherwise(name(k)).alias("_table"))
+    return ddl_log.under_present_names(rows, renames).select(F.col("_pos").alias("pos"), F.col("_table").alias("t"))
+
+
 def _drawn(name: str, more: str = "") -> str:
     return f"('0x' || substr(md5('42/{name}/' || i{more}), 1, 15))::BIGINT"
 

@@ -1,4 +1,8 @@
-"""Decoded change records, as text or rows, to changes: ``_table``, ``_op``, ``_id``, ``_pos`` and the image as variant ``data``."""
+"""Decoded change records, as text or rows, to changes: ``_table``, ``_op``, ``_id``, ``_pos`` and the image as variant ``data``.
+
+``_id`` is an array of the key's parts as texts, a part that is null staying null, so that no two keys are ever one; a stage flattens it where a text is
+wanted. A document's key is one text.
+"""
 
 from __future__ import annotations
 
@@ -21,7 +25,7 @@ def from_audit(rows: DataFrame, since: int = 0, size: int | None = None, unknown
     own = own.orderBy("sequence_id").limit(size) if size else own
     ids = F.from_json("row_id", "array<string>")
     image = F.try_parse_json(F.coalesce("new_data", F.when(_op(F.col("operation"), "skip") == "d", F.lit(None).cast("string"))))
-    out = own.select(F.col("table_name").alias("_table"), _op(F.col("operation"), unknown).alias("_op"), F.array_join(ids, ":", "").alias("_id"), F.col("sequence_id").alias("_pos"), image.alias("data"))
+    out = own.select(F.col("table_name").alias("_table"), _op(F.col("operation"), unknown).alias("_op"), ids.alias("_id"), F.col("sequence_id").alias("_pos"), image.alias("data"))
     return out.where("_op is not null")
 
 
@@ -39,7 +43,7 @@ def from_wal2json(lines: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
     of = lambda n: F.try_variant_get(F.get(F.filter(cells, lambda c: c["name"] == n), F.lit(0))["value"], "$", "string")
     op = F.when(F.col("action") == "I", "c").when(F.col("action") == "U", "u").otherwise("d")
     data = F.when(~gone, F.to_variant_object(F.map_from_entries(F.transform("columns", lambda c: F.struct(c["name"], c["value"])))))
-    return rows.select(F.col("table").alias("_table"), op.alias("_op"), F.array_join(F.transform(names, of), ":", "").alias("_id"), "_pos", data.alias("data"))
+    return rows.select(F.col("table").alias("_table"), op.alias("_op"), F.transform(names, of).alias("_id"), "_pos", data.alias("data"))
 
 
 def pg_cells(changes: DataFrame, table: Table) -> DataFrame:
@@ -64,7 +68,7 @@ def from_pgoutput(messages: DataFrame, relations: DataFrame) -> tuple[DataFrame,
     op = F.when(F.col("kind") == "I", "c").when(F.col("kind") == "U", "u").when(F.col("kind") == "D", "d").otherwise(F.raise_error(F.concat(F.lit("unknown message: "), F.col("kind"))))
     data = F.when(F.col("kind") != "D", F.to_variant_object(F.map_from_arrays(F.transform("columns", lambda c: c["name"]), F.col("new"))))
     checked = F.when(F.col("name").isNull(), F.raise_error(F.lit("a message before its relation"))).otherwise(F.col("name"))
-    changes = known.where("kind <> 'T'").select(checked.alias("_table"), op.alias("_op"), F.array_join(key, ":", "").alias("_id"), "_pos", data.alias("data"))
+    changes = known.where("kind <> 'T'").select(checked.alias("_table"), op.alias("_op"), key.alias("_id"), "_pos", data.alias("data"))
     # a relation is described a few times
     was = F.lag("name").over(Window.partitionBy("relation_id").orderBy("_pos"))
     renames = relations.withColumn("was", was).where("was is not null and was <> name").select("_pos", F.lit("rename").alias("what"), F.col("name").alias("_table"), "was")
@@ -85,7 +89,7 @@ def from_cdc(rows: DataFrame, table: str, keys: list[str], low, high, lsn: str =
     """Rows of a change table in (low, high]: 1 deletes, 2 inserts, 3 is an update's image before and drops out, 4 the one after."""
     own = rows.where((F.col(lsn) > low) & (F.col(lsn) <= high) & (F.col(operation) != 3))
     op = F.when(F.col(operation) == 1, "d").when(F.col(operation) == 2, "c").when(F.col(operation) == 4, "u").otherwise(F.raise_error(F.lit("unknown operation")))
-    ids = F.array_join(F.array(*[F.col(k).cast("string") for k in keys]), ":", "")
+    ids = F.array(*[F.col(k).cast("string") for k in keys])
     return own.select(F.lit(table).alias("_table"), op.alias("_op"), ids.alias("_id"), F.col(lsn).alias("_pos"), *[c for c in rows.columns if c not in (lsn, operation)])
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import time
+import uuid
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import SparkSession
@@ -15,8 +17,9 @@ PHASES = ("full_sync_start", "full_sync_end", "snapshot_progress", "snapshot_han
 class Store:
     """Files in one folder, local or in any store that the session's file systems reach.
 
-    Each value is a file of its own, numbered, and the highest number counts. A file gets its name by a rename once it is whole, and the one
-    before goes only after that, so whenever a writer stops there is a value, the old or the new one. A name has one writer.
+    Each value is a file of its own, numbered, and the highest number counts. A file gets its name once it is whole, and the one before goes only after
+    that, so whenever a writer stops there is a value, the old or the new one. Of writers of one number only one succeeds; that takes a store whose
+    rename fails where there is a file, as HDFS's does, or a local one.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -39,22 +42,41 @@ class Store:
 
     def put(self, name: str, value: dict) -> None:
         numbers = self._numbers(name)
-        n = numbers[-1] + 1 if numbers else 0
-        fs, part = self._path(f"{name}.{n:012d}.part")
+        if not self.put_new(name, numbers[-1] + 1 if numbers else 0, value, numbers):
+            raise OSError(f"another writer has put {name}")
+
+    def put_new(self, name: str, n: int, value: dict, old: list[int] | None = None) -> bool:
+        """Puts a value under a number that no one has used, whole or not at all; False if someone has. Those before the last go."""
+        fs, part = self._path(f"{name}.{n:012d}.{uuid.uuid4().hex}.part")
+        to = self._path(f"{name}.{n:012d}.json")[1]
         out = fs.create(part, True)
         out.write(json.dumps(value, sort_keys=True).encode())
         out.close()
-        if not fs.rename(part, self._path(f"{name}.{n:012d}.json")[1]):
-            raise OSError(f"another writer has put {name}")
-        for old in numbers:
-            fs.delete(self._path(f"{name}.{old:012d}.json")[1], False)
+        if fs.getScheme() == "file":  # there a rename replaces what is there, a link doesn't
+            try:
+                os.link(fs.makeQualified(part).toUri().getPath(), fs.makeQualified(to).toUri().getPath())
+                made = True
+            except FileExistsError:
+                made = False
+            fs.delete(part, False)
+        else:
+            made = not fs.exists(to) and fs.rename(part, to)
+        if made:
+            for k in old if old is not None else [k for k in self._numbers(name) if k < n - 1]:
+                fs.delete(self._path(f"{name}.{k:012d}.json")[1], False)
+        return made
 
     def get(self, name: str) -> dict | None:
         numbers = self._numbers(name)
         if not numbers:
             return None
         fs, path = self._path(f"{name}.{numbers[-1]:012d}.json")
-        stream = fs.open(path)
+        try:
+            stream = fs.open(path)
+        except Exception:  # another writer has put the next two meanwhile
+            if self._numbers(name) == numbers:
+                raise
+            return self.get(name)
         try:
             return json.loads(bytes(stream.readAllBytes()))
         finally:
@@ -130,7 +152,7 @@ class CatchUp:
 
 
 class Signals:
-    """Requests for snapshots of single tables, acknowledged once taken up."""
+    """Requests, acknowledged once taken up: for snapshots of single tables, or, with no table, for the schema to be read again."""
 
     def __init__(self, store: Store):
         self.store = store

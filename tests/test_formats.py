@@ -66,7 +66,7 @@ def test_cells_of_a_postgres_log(spark):
     line = json.dumps({"action": "I", "schema": "public", "table": "t", "columns": [{"name": k, "type": "x", "value": v} for k, v in cells.items()]})
     other = json.dumps({"action": "B"})
     r = changelog.pg_cells(changelog.from_wal2json(spark.createDataFrame([(1, line), (2, other)], "_pos long, value string")), table).collect()
-    assert len(r) == 1 and r[0]._id == "7" and r[0].id == 7 and r[0].tags == [1, None, 3] and str(r[0].price) == "12.50" and bytes(r[0].raw) == b"\x00\xff" and r[0].wait == 86401.0 and r[0].ok and r[0].grid == ["{1,2}", "{3,4}"]
+    assert len(r) == 1 and r[0]._id == ["7"] and r[0].id == 7 and r[0].tags == [1, None, 3] and str(r[0].price) == "12.50" and bytes(r[0].raw) == b"\x00\xff" and r[0].wait == 86401.0 and r[0].ok and r[0].grid == ["{1,2}", "{3,4}"]
 
 
 def test_pgoutput_renames_and_truncates(spark):
@@ -74,7 +74,7 @@ def test_pgoutput_renames_and_truncates(spark):
     relations = spark.createDataFrame([(0, 1, "a", layout), (10, 1, "b", layout)], "_pos long, relation_id int, name string, columns array<struct<name:string,key:boolean>>")
     messages = spark.createDataFrame([(1, "I", 1, None, ["5", "x"]), (11, "U", 1, ["5", None], ["6", "y"]), (12, "T", 1, None, None), (13, "D", 1, ["6", None], None)], "_pos long, kind string, relation_id int, old array<string>, new array<string>")
     log, notes = changelog.from_pgoutput(messages, relations)
-    assert [(r._table, r._op, r._id) for r in log.orderBy("_pos").collect()] == [("a", "c", "5"), ("b", "u", "5"), ("b", "d", "6")]
+    assert [(r._table, r._op, r._id) for r in log.orderBy("_pos").collect()] == [("a", "c", ["5"]), ("b", "u", ["5"]), ("b", "d", ["6"])]
     assert [(r._pos, r.what, r._table, r.was) for r in notes.orderBy("_pos").collect()] == [(10, "rename", "b", "a"), (12, "truncate", "b", None)]
 
 
@@ -282,3 +282,37 @@ def test_documents_of_extended_json(spark):
 def test_ids_of_nodes(spark):
     nodes = spark.createDataFrame([("e1", {"id": "42", "n": "x"}), ("e2", {"id": "k"}), ("33", {"n": "y"})], "element_id string, properties map<string,string>")
     assert [(r["_id"], r.number, r.properties) for r in cells.node_ids(nodes).collect()] == [("42", 42, {"n": "x"}), ("k", None, {}), ("33", 33, {"n": "y"})]
+
+
+def test_composite_keys_stay_apart(spark):
+    """Keys whose parts hold the separator, are empty or null are four keys."""
+    from driftline.operators.changes import fold
+    from driftline.plans.transforms import flattened
+    from driftline.sources import changelog
+
+    keys = ['["a:b","c"]', '["a","b:c"]', '["a",null]', '["a",""]']
+    rows = spark.createDataFrame([(i, "t", "INSERT", k, None, "{}") for i, k in enumerate(keys)], "sequence_id long, table_name string, operation string, row_id string, old_data string, new_data string")
+    log = changelog.from_audit(rows, since=-1)
+    assert sorted((r["_id"] for r in fold(log.select("_id", "_op", "_pos"), ["_id"]).collect()), key=str) == sorted([["a:b", "c"], ["a", "b:c"], ["a", None], ["a", ""]], key=str)
+    assert {r["_id"] for r in flattened().rows(log).collect()} == {"a:b:c", "a:"}
+
+
+def test_statements_that_change_tables(spark):
+    from driftline.sources import ddl
+
+    texts = ["RENAME TABLE `shop`.`a` TO b, c TO `shop`.d", "alter table a rename to b", "ALTER TABLE shop.a ADD x int, RENAME AS b;", "ALTER TABLE a RENAME COLUMN x TO y", "ALTER TABLE a RENAME INDEX i TO j",
+             "create table if not exists `my table` (id int)", "/* c */ DROP TABLE IF EXISTS a", "TRUNCATE a", "INSERT INTO a VALUES (1)", "-- note\nALTER TABLE a\n  ADD y int", None]
+    log = spark.createDataFrame(list(enumerate(texts)), "_pos int, sql string")
+    got = sorted(tuple(r) for r in ddl.statements(log).collect())
+    assert got == [(0, 0, "rename", "b", "a"), (0, 1, "rename", "d", "c"), (1, 0, "rename", "b", "a"), (2, 0, "rename", "b", "a"), (3, 0, "alter", "a", None), (4, 0, "alter", "a", None),
+                   (5, 0, "create", "my table", None), (6, 0, "drop", "a", None), (7, 0, "truncate", "a", None), (9, 0, "alter", "a", None)]
+
+
+def test_rows_before_their_layout_are_an_error(spark):
+    from driftline.sources import ddl
+
+    maps = spark.createDataFrame([(7, 1, "users", ["id", "name"]), (7, 9, "people", ["id"])], "table_id int, _pos long, _table string, columns array<string>")
+    rows = spark.createDataFrame([(7, 2), (7, 10)], "table_id int, _pos long")
+    assert sorted((r["_pos"], r["_table"], r["columns"]) for r in ddl.with_layouts(rows, maps).collect()) == [(2, "users", ["id", "name"]), (10, "people", ["id"])]
+    with pytest.raises(Exception, match="no table map for 7 at 0"):
+        ddl.with_layouts(spark.createDataFrame([(7, 0)], "table_id int, _pos long"), maps).collect()

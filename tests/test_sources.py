@@ -48,7 +48,7 @@ def test_link_rule(spark):
 
 def test_audit(spark):
     log = spark.createDataFrame([(1, "t", "INSERT", "[1,2]", None, '{"a":1}'), (2, "t", "DELETE", "[1,2]", '{"a":1}', None), (3, "t", "MERGE", "[1]", None, None)], "sequence_id long, table_name string, operation string, row_id string, old_data string, new_data string")
-    assert [(r._id, r._op) for r in changelog.from_audit(log).select("_id", "_op", "_pos").orderBy("_pos").collect()] == [("1:2", "c"), ("1:2", "d")]
+    assert [(r._id, r._op) for r in changelog.from_audit(log).select("_id", "_op", "_pos").orderBy("_pos").collect()] == [(["1", "2"], "c"), (["1", "2"], "d")]
     with pytest.raises(Exception):
         changelog.from_audit(log, unknown="error").select("_op").collect()
 

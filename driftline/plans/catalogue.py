@@ -13,6 +13,7 @@ from ..functions import casts, ids, json_diff, scalars
 from ..operators import changes, relations, snapshots, temporal, verify
 from ..schema import Column, ForeignKey, Table, Type, classify, ddl
 from ..sinks import files as sinks
+from ..sinks import statements
 from ..sources import catalogs, cells, changelog, files, generate, kafka, protobuf
 from ..sources import ddl as ddl_log
 from ..staging import importable, shared_dir
@@ -513,6 +514,39 @@ def verify_diff(spark, sf_dir):
     return _compared(spark, sf_dir).select("o_orderkey", "status", F.array_join("fields", ",").alias("fields"))
 
 
+@query("""WITH l AS (SELECT l_orderkey AS k, l_linenumber AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_returnflag) - 1 AS i, count(*) OVER (PARTITION BY l_orderkey) AS c FROM lineitem),
+d AS (SELECT k, any_value(c) AS c, min(CASE WHEN i >= c - (k % 13 = 0)::INT THEN NULL WHEN k % 7 = 0 AND n = 2 THEN 2 * i WHEN k % 11 = 0 AND n % 3 = 0 THEN 2 * i + 1 END) AS p FROM l GROUP BY k),
+w AS (SELECT k, concat_ws(',', CASE WHEN k % 17 = 0 THEN 'doc.k' END, CASE WHEN p IS NOT NULL THEN 'lines[' || p // 2 || ']' || CASE p % 2 WHEN 0 THEN '.price' ELSE '.flag' END WHEN k % 13 = 0 THEN 'lines[' || c - 1 || ']' END) AS paths FROM d)
+SELECT k AS l_orderkey, CASE WHEN k % 101 = 0 THEN 'missing' WHEN paths = '' THEN 'matched' ELSE 'mismatched' END AS status, CASE WHEN k % 101 <> 0 THEN paths END AS paths FROM w""")
+def verify_nested(spark, sf_dir):
+    """Orders with their lines as arrays of structs and a document, against what arrived with other prices, flags, keys and lengths: where each first differs."""
+    k = F.col("l_orderkey")
+    line = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"), F.col("l_extendedprice").cast("decimal(12,2)").alias("price"), F.col("l_returnflag").alias("flag"))
+    sent = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    doc = lambda key, n: F.concat(F.lit('{"k": '), key.cast("string"), F.lit(', "n": '), n, F.lit("}"))
+    price = lambda x: x["price"].cast("double") + F.when((k % 7 == 0) & (x["n"] == 2), 1.0).otherwise(0.0)
+    flag = lambda x: F.when((k % 11 == 0) & (x["n"] % 3 == 0), "X").otherwise(x["flag"])
+    came = F.transform("lines", lambda x: F.struct(flag(x).alias("flag"), price(x).alias("price"), x["n"].cast("bigint").alias("n"), x["part"].alias("part"), x["supp"].alias("supp")))
+    came = F.slice(came, F.lit(1), F.size("lines") - F.when(k % 13 == 0, 1).otherwise(0))
+    arrived = sent.where(k % 101 != 0).select("l_orderkey", came.alias("lines"), doc(k + F.when(k % 17 == 0, 1).otherwise(0), F.concat(F.size("lines").cast("string"), F.lit(".0"))).alias("doc"))
+    expected = sent.select("l_orderkey", "lines", doc(k, F.size("lines").cast("string")).alias("doc"))
+    declared = {"lines": Type.of("array<struct<n:int32,part:int64,supp:int64,price:decimal(12,2),flag:text>>"), "doc": Type.of("json")}
+    return verify.compare(expected, arrived, ["l_orderkey"], declared).select("l_orderkey", "status", F.array_join("paths", ",").alias("paths"))
+
+
+@query("SELECT '(' || o_orderkey || ', ''' || replace(CASE WHEN o_orderkey % 3 = 0 THEN 'it''s ' ELSE '' END || o_orderpriority, '''', '''''') || ''', ' || CASE WHEN o_orderkey % 5 = 0 THEN 'NULL' ELSE o_custkey::VARCHAR END || ', ''' || strftime(o_orderdate, '%Y-%m-%d') || ''')' AS row, true AS bounded FROM orders")
+def insert_batches(spark, sf_dir):
+    """Orders as INSERT statements of at most 200 rows and 8 kB, taken apart again."""
+    k = F.col("o_orderkey")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.when(k % 3 == 0, "it's ").otherwise(""), F.col("o_orderpriority")).alias("it's"), F.when(k % 5 != 0, F.col("o_custkey")).alias("c"), F.col("o_orderdate").cast("date").alias("d"))
+    head = 'INSERT INTO "orders" ("o_orderkey", "it\'s", "c", "d") VALUES '
+    made = statements.batches(o, "orders", rows=200, most_bytes=8192)
+    body = F.substring("statement", F.lit(len(head) + 2), F.length("statement") - len(head) - 3)
+    bounded = F.col("statement").startswith(head) & F.col("statement").endswith(");") & (F.col("n_rows") <= 200) & (F.octet_length("statement") <= 8192)
+    taken = made.select(F.split(body, r"\), \(").alias("rows"), bounded.alias("bounded"), "n_rows")
+    return taken.select(F.explode("rows").alias("row"), (F.col("bounded") & (F.size("rows") == F.col("n_rows"))).alias("bounded")).select(F.concat(F.lit("("), "row", F.lit(")")).alias("row"), "bounded")
+
+
 @query("WITH s AS (SELECT CASE WHEN o_orderkey % 101 = 0 THEN 'x' WHEN o_orderkey % 97 = 0 THEN 'y' ELSE 'm' END AS s FROM orders) SELECT count(*) AS expected, count(*) FILTER (s <> 'x') AS found, count(*) FILTER (s = 'x') AS missing, count(*) FILTER (s = 'y') AS mismatched, count(*) FILTER (s = 'm') AS matched, CASE WHEN count(*) = 0 THEN 1.0::DOUBLE ELSE count_if(s = 'm')::DOUBLE / count(*) END AS pass_rate, count_if(s <> 'm') = 0 AS success FROM s")
 def verify_report(spark, sf_dir):
     return verify.report(_compared(spark, sf_dir))

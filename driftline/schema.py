@@ -23,20 +23,35 @@ SPARK_TYPE = {
 ALIAS = {"boolean": "bool", "smallint": "int16", "int": "int32", "integer": "int32", "bigint": "int64", "big_int": "int64", "float": "float32", "double": "float64", "datetime": "local_datetime", "timestamp": "local_datetime", "timestamptz": "zoned_datetime", "var_char": "varchar", "string": "text"}
 
 
+def _parts(text: str) -> list[str]:
+    """What commas outside of brackets separate."""
+    parts, depth = [""], 0
+    for x in text:
+        depth += (x in "<(") - (x in ">)")
+        if x == "," and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += x
+    return parts
+
+
 @dataclass(frozen=True)
 class Type:
-    """A declared type; ``args`` are width, length, precision and scale, or labels, and ``item`` is an array's element type."""
+    """A declared type; ``args`` are width, length, precision and scale, or labels, ``item`` is an array's element type and ``fields`` are a struct's columns."""
 
     name: str
     args: tuple = ()
     item: Type | None = None
+    fields: tuple[Column, ...] = ()
 
     @classmethod
     def of(cls, text: str) -> Type:
-        """``decimal(10,2)``, ``array<int>``, ``enum(a,b)`` and the like, with aliases."""
+        """``decimal(10,2)``, ``array<int>``, ``struct<a:int,b:text>``, ``enum(a,b)`` and the like, with aliases."""
         text = text.strip()
         if m := re.fullmatch(r"(?i)array<(.+)>", text):
             return cls("array", (), cls.of(m[1]))
+        if m := re.fullmatch(r"(?i)struct<(.+)>", text):
+            return cls("struct", fields=tuple(Column(n.strip(), cls.of(t)) for n, _, t in (x.partition(":") for x in _parts(m[1]))))
         m = re.fullmatch(r"(\w+)(?:\((.*)\))?", text)
         if not m:
             raise ValueError(f"not a type: {text}")
@@ -47,11 +62,13 @@ class Type:
         return cls(name, args)
 
     def sink(self) -> str:
-        return f"array<{self.item.sink()}>" if self.name == "array" else SINK_TYPE[self.name]
+        return f"array<{self.item.sink()}>" if self.name == "array" else "object" if self.name == "struct" else SINK_TYPE[self.name]
 
     def spark(self) -> T.DataType:
         if self.name == "array":
             return T.ArrayType(self.item.spark())
+        if self.name == "struct":
+            return T.StructType([T.StructField(c.name, c.type.spark(), c.nullable) for c in self.fields])
         if self.name == "decimal":
             precision, scale = (*self.args, 38, 10)[:2] if len(self.args) > 1 else (self.args[0] if self.args else 38, 0 if self.args else 10)
             return T.DecimalType(min(precision, 38), scale) if scale <= 38 else T.StringType()

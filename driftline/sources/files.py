@@ -50,19 +50,23 @@ def fetch(spark: SparkSession, uri: str) -> str:
     return to.toString()
 
 
-def read_csv(spark: SparkSession, uri: str, table: Table | None = None, header: bool = True, names: list[str] | None = None, delimiter: str = ",", id_columns: list[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, uri: str, table: Table | None = None, header: bool = True, names: list[str] | None = None, delimiter: str = ",", id_columns: list[str] | None = None, multiline: bool | None = None) -> DataFrame:
     """All cells as text, then as declared (an undeclared column stays text, with its ``_inferred_`` kind); ``_raw_`` holds a cell whose cast failed. Id columns stay.
     Without them ``_id`` is a ULID of the file's name and the row's place in the read, so it stays the same as long as the files do.
 
     Without a header, columns are ``column_0`` and on, or ``names``. A record with another number of cells is an error.
+
+    Files are split among tasks unless records go over several lines (``multiline``). Where that isn't said, the lines are looked through once, in as many tasks: a record
+    that goes on has an odd number of quotes on its first line.
     """
     if len(delimiter) != 1:
         raise ValueError("the delimiter is one character")
     kind, path, folder = parse_uri(uri)
-    reader = spark.read.options(header=header, sep=delimiter, mode="FAILFAST", enforceSchema=False, multiLine=True, escape='"', nullValue="\0")
-    if folder:
-        reader = reader.option("pathGlobFilter", "*.[cC][sS][vV]")
-    raw = reader.csv(fetch(spark, uri) if kind == "http" else path)
+    path = fetch(spark, uri) if kind == "http" else path
+    only = {"pathGlobFilter": "*.[cC][sS][vV]"} if folder else {}
+    if multiline is None:
+        multiline = bool(spark.read.options(**only).text(path).where(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).take(1))
+    raw = spark.read.options(header=header, sep=delimiter, mode="FAILFAST", enforceSchema=False, multiLine=multiline, escape='"', nullValue="\0", **only).csv(path)
     raw = raw.toDF(*(names or (raw.columns if header else [f"column_{i}" for i in range(len(raw.columns))])))
     at = {c: F.col(f"`{c}`") for c in raw.columns}  # a name may hold a dot
     if not id_columns:

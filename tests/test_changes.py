@@ -83,3 +83,15 @@ def test_as_of_and_rename(spark):
     assert rows(changes.as_of(events, maps, "t", "pos", ["name"]), "t", "pos") == [(1, 10, "m1"), (1, 20, "m2"), (2, 5, None)]
     log = spark.createDataFrame([("old",), ("other",)], "_table string")
     assert {r[0] for r in changes.renamed(log, {"old": "new"}).collect()} == {"new", "other"}
+
+
+def test_ordinals_of_a_hot_version(spark):
+    """A version that most rows hold, with a null in its period, is numbered through all ranges, and so are those beside it."""
+    versions = spark.range(2000).selectExpr("id AS n", "IF(id % 10 = 3, 'b', 'a') AS v", "'k' AS k", "'s' AS s", "CAST(NULL AS STRING) AS e")
+    got = temporal.version_ids(versions, ["k"], "s", "e", {"v": F.to_json(F.struct("v"))}, [F.col("n").desc()])
+    assert got.columns == [*versions.columns, "version_hash", "duplicate", "version_id"]
+    seen = {"a": 0, "b": 0}
+    for r in got.orderBy(F.col("n").desc()).collect():
+        assert r.duplicate == seen[r.v]
+        seen[r.v] += 1
+    assert seen == {"a": 1800, "b": 200} and temporal.version_ids(versions.limit(0), ["k"], "s", "e", {"v": F.col("v")}, [F.col("n")]).count() == 0

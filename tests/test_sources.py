@@ -101,3 +101,19 @@ def test_toml():
     for bad in ("[other]", "[pipeline]\nx = 1", '[[transforms]]\ntype = "nothing"', '[[transforms]]\ntype = "command"\ncommand = ["/no/such"]'):
         with pytest.raises(ValueError):
             transforms.load(bad)
+
+
+def test_csv_is_split_unless_records_go_over_lines(spark, tmp_path):
+    plain, broken = tmp_path / "plain.csv", tmp_path / "broken.csv"
+    plain.write_text("id,t\n" + "".join(f'{i},"a ""{i}"", b"\n' for i in range(5000)))
+    broken.write_text("id,t\n" + "".join(f'{i},"a\n{i}"\n' for i in range(50)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 16 << 10)
+    try:
+        split = files.read_csv(spark, str(plain), id_columns=["id"])
+        assert split.rdd.getNumPartitions() > 2
+        assert sorted((int(r.id), r.t) for r in split.collect()) == [(i, f'a "{i}", b') for i in range(5000)]
+        whole = files.read_csv(spark, str(broken), id_columns=["id"])
+        assert sorted((int(r.id), r.t) for r in whole.collect()) == [(i, f"a\n{i}") for i in range(50)]
+        assert files.read_csv(spark, str(plain), id_columns=["id"], multiline=True).count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

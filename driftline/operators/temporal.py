@@ -20,20 +20,21 @@ def union_versions(current: DataFrame, history: DataFrame) -> DataFrame:
 
 def version_ids(versions: DataFrame, keys: list[str], start: str, end: str, content: dict[str, Column], scan_order: list[Column], ordinal: bool = True) -> DataFrame:
     """``version_hash``, ``duplicate`` (0, 1, ... for versions alike in key, period and content, in scan order; 0 where ``ordinal`` is off) and ``version_id``."""
-    rows = versions.withColumn("version_hash", content_hash(content))
-    rows = _ordinals(rows, [*keys, start, end, "version_hash"], scan_order) if ordinal else rows.withColumn("duplicate", F.lit(0).cast("long"))
+    digest = content_hash(content)
+    rows = _ordinals(versions, digest, [*keys, start, end, "version_hash"], scan_order) if ordinal else versions.withColumns({"version_hash": digest, "duplicate": F.lit(0).cast("long")})
     return rows.withColumn("version_id", F.array(*[F.col(c).cast("string") for c in (*keys, start, end, "version_hash", "duplicate")]))
 
 
-def _ordinals(rows: DataFrame, alike: list[str], scan_order: list[Column]) -> DataFrame:
-    """``duplicate``: a row's place among those alike. Rows are dealt to ranges of the scan order, once, and numbered within each; from one range to the next goes
-    one count for each group, so a version that comes again and again is several tasks' work. Rows equal in the scan order share a range."""
-    dealt = staged(rows.repartitionByRange(partitions(rows.sparkSession), *scan_order).withColumn("_range", F.spark_partition_id()), "versions")
-    numbered = dealt.withColumn("_own", F.row_number().over(Window.partitionBy(*alike, "_range").orderBy(*scan_order)) - 1)
+def _ordinals(versions: DataFrame, digest: Column, alike: list[str], scan_order: list[Column]) -> DataFrame:
+    """``version_hash`` and ``duplicate``, a row's place among those alike. Rows are dealt to ranges of the scan order, once, and numbered within each, after a row that says
+    how many came in the ranges before; so a version that comes again and again is several tasks' work. Rows equal in the scan order share a range."""
+    ranged = versions.repartitionByRange(partitions(versions.sparkSession), *scan_order)  # what is sampled for the ranges has no hash yet
+    dealt = staged(ranged.withColumns({"_range": F.spark_partition_id(), "version_hash": digest}), "versions")
     counts = dealt.groupBy(*alike, "_range").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*alike).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.withColumn("_before", F.sum("_n").over(earlier)).where("_before > 0").drop("_n")
-    before = before.select(F.col("_before"), *[F.col(c).alias(f"_at_{i}") for i, c in enumerate([*alike, "_range"])])
-    on = [F.col(c).eqNullSafe(F.col(f"_at_{i}")) for i, c in enumerate([*alike, "_range"])]
-    joined = numbered.join(before, on, "left").withColumn("duplicate", (F.coalesce("_before", F.lit(0)) + F.col("_own")).cast("long"))
-    return joined.select(*rows.columns, "duplicate")
+    both = dealt.unionByName(before.withColumn("_told", F.lit(True)), allowMissingColumns=True)
+    own = Window.partitionBy(*alike, "_range").orderBy(F.col("_told").isNull(), *scan_order)
+    told = F.first("_before").over(own.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = both.withColumn("duplicate", F.row_number().over(own) - 1 + F.coalesce(told - 1, F.lit(0)))
+    return numbered.where("_told IS NULL").drop("_told", "_before", "_range")

@@ -213,19 +213,69 @@ def join_table_edges(spark, sf_dir):
     return e.select(ids.link_text(F.col("in")).alias("source"), ids.link_text(F.col("out")).alias("target"), "id", "l_quantity")
 
 
-@query("SELECT * FROM (VALUES ('lineitem', 'relation'), ('orders', 'entity')) t(name, kind)")
+# tables and views whose rows are asked for their keys and references: SQL, key columns, references (columns, table that they name)
+OWN = {
+    "region": ("FROM region", ["r_regionkey"], []),
+    "nation": ("FROM nation", ["n_nationkey"], [(["n_regionkey"], "region")]),
+    "customer": ("FROM customer", ["c_custkey"], [(["c_nationkey"], "nation")]),
+    "supplier": ("FROM supplier", ["s_suppkey"], [(["s_nationkey"], "nation"), (["s_suppkey"], "nation")]),
+    "part": ("FROM part", ["p_partkey"], []),
+    "orders": ("FROM orders", ["o_orderkey"], [(["o_custkey"], "customer")]),
+    "lines": ("SELECT l_orderkey, l_linenumber, nullif(sum(l_quantity), 1) AS quantity FROM lineitem GROUP BY ALL", ["l_orderkey", "l_linenumber"], [(["l_orderkey"], "orders")]),
+    "lineitem": ("FROM lineitem", ["l_partkey", "l_suppkey"], [(["l_orderkey", "l_linenumber"], "lines"), (["l_partkey"], "part"), (["l_suppkey"], "supplier")]),
+    "supplies": ("SELECT l_partkey, l_suppkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY ALL", ["l_partkey", "l_suppkey"], [(["l_partkey"], "part"), (["l_suppkey"], "supplier")]),
+}
+UNIQUE = {f"pk_{t}": (t, key) for t, (_, key, _) in OWN.items()}
+NAMING = {f"fk_{t}_{i}": (t, columns, f"pk_{to}") for t, (_, _, links) in OWN.items() for i, (columns, to) in enumerate(links)}
+
+
+def _and(columns: list[str], what: str = "{} IS NOT NULL") -> str:
+    return " AND ".join(what.format(c) for c in columns)
+
+
+_COLUMNS_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS t, row_number() OVER () AS o, c, split_part(said, '/', 1) AS kind, split_part(said, '/', 2) = 'true' AS nullable FROM (UNPIVOT (SELECT max(typeof(COLUMNS(*))) || '/' || (count(COLUMNS(*)) < count(*)) FROM own_{t}) ON COLUMNS(*) INTO NAME c VALUE said)" for t in OWN
+)
+_KEYS_SQL = " UNION ALL ".join(f"SELECT '{n}' AS cn, '{t}' AS t, {cs} AS cs WHERE (SELECT count(*) = count(DISTINCT ({', '.join(cs)})) AND coalesce(bool_and({_and(cs)}), true) FROM own_{t})" for n, (t, cs) in UNIQUE.items())
+_LINKS_SQL = " UNION ALL ".join(
+    f"SELECT '{n}' AS cn, '{t}' AS t, {cs} AS cs, '{u}' AS u WHERE NOT EXISTS (SELECT 1 FROM own_{t} x WHERE {_and(cs)} AND NOT EXISTS (SELECT 1 FROM own_{UNIQUE[u][0]} y WHERE {' AND '.join(f'x.{a} = y.{b}' for a, b in zip(cs, UNIQUE[u][1]))}))" for n, (t, cs, u) in NAMING.items()
+)
+HELD_SQL = f"""WITH {', '.join(f"own_{t} AS ({sql})" for t, (sql, _, _) in OWN.items())}, pk AS ({_KEYS_SQL}),
+fk AS (SELECT l.cn, l.t, l.cs, pk.t AS target, pk.cs AS there FROM ({_LINKS_SQL}) l JOIN pk ON pk.cn = l.u),
+pair AS (SELECT a.t, a.target AS inbound, b.target AS outbound, list_distinct(a.cs || b.cs) AS used FROM fk a JOIN fk b ON a.t = b.t AND a.cn < b.cn AND a.target <> b.target QUALIFY row_number() OVER (PARTITION BY a.t ORDER BY a.cn, b.cn) = 1),
+relation AS (SELECT pair.* FROM pair JOIN pk USING (t) WHERE list_sort(used) = list_sort(pk.cs)) """
+
+
+def _held(spark, sf_dir):
+    """Columns, keys, key columns and references of the tables, as a catalog gives them, but found in their rows."""
+    spark = importable(spark)
+    found = {t: _view(spark, sf_dir, sql) for t, (sql, _, _) in OWN.items()}
+    held, links = catalogs.held_keys(found, UNIQUE), catalogs.held_references(found, NAMING, UNIQUE)
+    return catalogs.columns_of(found), held, catalogs.key_columns(held, UNIQUE).unionByName(catalogs.key_columns(links, NAMING)), links
+
+
+def _view(spark, sf_dir, sql: str) -> DataFrame:
+    """A table, or rows summed by key."""
+    table = sql.split(" FROM ")[-1].split()[0] if sql.startswith("SELECT") else sql.split()[1]
+    rows = read(spark, sf_dir, table)
+    return spark.sql("SELECT * " * sql.startswith("FROM") + sql.replace(f"FROM {table}", "FROM {rows}"), rows=rows)
+
+
+@query(HELD_SQL + "SELECT o.t AS name, CASE WHEN r.t IS NULL THEN 'entity' ELSE 'relation' END AS kind FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS t" for t in OWN) + ") o LEFT JOIN relation r ON r.t = o.t")
 def classify_tables(spark, sf_dir):
-    rows = [(t.name, "relation" if classify(t) else "entity") for t in (ORDERS, SUPPLIES)]
+    """Tables are relations or entities by the keys and references that all their rows bear out."""
+    rows = [(t.name, "relation" if classify(t) else "entity") for t in catalogs.tables(*_held(spark, sf_dir))]
     return spark.createDataFrame(rows, "name string, kind string")
 
 
-@query("""WITH c(o, t, c, kind, nullable, link, edge) AS (VALUES (1, 'orders', 'o_orderkey', 'int', false, NULL, false), (2, 'orders', 'o_custkey', 'int', true, 'customer', false), (3, 'orders', 'o_totalprice', 'float', true, NULL, false),
-    (5, 'lineitem', 'l_partkey', 'int', false, 'part', true), (5, 'lineitem', 'l_suppkey', 'int', false, 'supplier', true), (5, 'lineitem', 'l_quantity', 'float', true, NULL, false)),
-f AS (SELECT o, 'DEFINE FIELD ' || c || ' ON ' || t || ' TYPE ' || CASE WHEN nullable THEN 'option<' ELSE '' END || CASE WHEN link IS NULL THEN kind ELSE 'record<' || link || '>' END || CASE WHEN nullable THEN '>' ELSE '' END || ';' AS stmt FROM c WHERE NOT edge),
-t AS (SELECT min(o) - 1 AS o, 'DEFINE TABLE ' || t || CASE WHEN bool_or(edge) THEN ' TYPE RELATION IN ' || min(link) || ' OUT ' || max(link) ELSE '' END || ' SCHEMAFULL;' AS stmt FROM c GROUP BY t)
-SELECT CAST(o AS INT) AS n, stmt FROM (SELECT * FROM f UNION ALL SELECT * FROM t)""")
+@query(HELD_SQL + f""", c AS ({_COLUMNS_SQL}),
+f AS (SELECT c.t, c.c, c.nullable, coalesce('record<' || (SELECT min_by(target, cn) FROM fk WHERE fk.t = c.t AND fk.cs = [c.c]) || '>', CASE WHEN kind IN ('BIGINT', 'INTEGER') THEN 'int' WHEN kind = 'DOUBLE' THEN 'float' WHEN kind LIKE 'TIMESTAMP%' THEN 'datetime' ELSE 'string' END) AS kind
+  FROM c WHERE NOT EXISTS (SELECT 1 FROM relation r WHERE r.t = c.t AND list_contains(r.used, c.c)))
+SELECT 'DEFINE FIELD ' || c || ' ON ' || t || ' TYPE ' || CASE WHEN nullable THEN 'option<' || kind || '>' ELSE kind END || ';' AS stmt FROM f
+UNION ALL SELECT 'DEFINE TABLE ' || o.t || coalesce(' TYPE RELATION IN ' || r.inbound || ' OUT ' || r.outbound, '') || ' SCHEMAFULL;' FROM (SELECT DISTINCT t FROM c) o LEFT JOIN relation r ON r.t = o.t""")
 def sink_ddl(spark, sf_dir):
-    return spark.createDataFrame(list(enumerate(ddl([ORDERS, SUPPLIES]))), "n int, stmt string")
+    """Statements for the tables, their types and keys as all their rows bear them out."""
+    return spark.createDataFrame([(s,) for s in ddl(catalogs.tables(*_held(spark, sf_dir)))], "stmt string")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_orderkey || ':' || l_linenumber AS id FROM lineitem")
@@ -667,16 +717,11 @@ def protobuf_events(spark, sf_dir):
     return read(spark, sf_dir, "events").select(made.alias("m")).select(text.alias("t")).select(F.inline(F.array(back))).select("id", "kind", F.col("of.user").alias("user"), "name")
 
 
-KEYS = [("pk_c", "customer", "c_custkey", 1), ("pk_o", "orders", "o_orderkey", 1), ("pk_l", "lineitem", "l_orderkey", 1), ("pk_l", "lineitem", "l_linenumber", 2), ("fk_o", "orders", "o_custkey", 1), ("fk_l", "lineitem", "l_orderkey", 1), ("pk_n", "note", "a", 1), ("pk_n", "note", "b", 2), ("fk_n", "note", "b", 1), ("fk_n", "note", "c", 2)]
-REFERENCES = [("fk_o", "pk_c"), ("fk_l", "pk_o"), ("fk_n", "pk_l")]
-
-
-@query(f"""WITH k(cn, t, c, o) AS (VALUES {', '.join(map(str, KEYS))}), r(cn, u) AS (VALUES {', '.join(map(str, REFERENCES))})
-SELECT r.cn AS constraint_name, k.t AS table_name, p.t AS referenced_table, string_agg(k.c, ',' ORDER BY k.o) AS columns, string_agg(p.c, ',' ORDER BY k.o) AS referenced
-FROM r JOIN k ON k.cn = r.cn JOIN k p ON p.cn = r.u AND p.o = k.o GROUP BY ALL""")
+@query(HELD_SQL + "SELECT cn AS constraint_name, t AS table_name, target AS referenced_table, array_to_string(cs, ',') AS columns, array_to_string(there, ',') AS referenced FROM fk")
 def catalog_foreign_keys(spark, sf_dir):
-    columns = spark.createDataFrame(KEYS, "constraint_name string, table_name string, column_name string, ordinal_position int")
-    got = catalogs.foreign_keys(spark.createDataFrame(REFERENCES, "constraint_name string, unique_constraint_name string"), columns)
+    """References that all rows bear out, with the columns of both keys."""
+    _, held, columns, links = _held(spark, sf_dir)
+    got = catalogs.foreign_keys(links.join(F.broadcast(held.select(F.col("constraint_name").alias("unique_constraint_name"))), "unique_constraint_name"), columns)  # a row for each key
     return got.select("constraint_name", "table_name", "referenced_table", F.array_join("columns", ",").alias("columns"), F.array_join("referenced_columns", ",").alias("referenced"))
 
 
@@ -842,14 +887,16 @@ UUID = "substr({0}, 1, 8) || '-' || substr({0}, 9, 4) || '-4' || substr({0}, 14,
 
 @query(f"""SELECT i + 1 AS id, 'user_' || i || '@test.com' AS email, CAST(18 + floor({_share('age')} * 63) AS BIGINT) AS age, {_share('is_active')} < 0.8 AS is_active, {_share('score')} * 100 AS score, {UUID} AS key,
 round(10 + {_share('total')} * 490, 2) AS total, (['pending', 'completed', 'cancelled', 'refunded'])[CAST(floor({_share('status')} * 4) AS INT) + 1] AS status,
-array_to_string([(['a', 'b', 'c'])[CAST({_drawn('tags', " || '/' || k")} % 3 AS INT) + 1] FOR k IN range(1, 1 + CAST(floor({_share('tagssize')} * 4) AS BIGINT))], ',') AS tags, 1704067200 + i AS created_at
-FROM (SELECT range AS i FROM range(10000))""")
+array_to_string([(['a', 'b', 'c'])[CAST({_drawn('tags', " || '/' || k")} % 3 AS INT) + 1] FOR k IN range(1, 1 + CAST(floor({_share('tagssize')} * 4) AS BIGINT))], ',') AS tags, 1704067200 + i AS created_at, c_custkey AS customer
+FROM (SELECT unnest(range(4 * (SELECT count(*) FROM customer))) AS i) JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS place FROM customer) ON place = {_drawn('customer')} % (SELECT count(*) FROM customer)""")
 def generated_users(spark, sf_dir):
+    """Four users for each customer, and whose they are drawn among the customers' keys."""
     columns = {
         "id": {"generator": "sequential"}, "email": {"generator": "pattern", "pattern": "user_{index}@test.com"}, "age": {"generator": "int_range", "min": 18, "max": 80},
         "is_active": {"generator": "bool", "weight": 0.8}, "score": {"generator": "float_range", "min": 0, "max": 100}, "key": {"generator": "uuid"},
         "total": {"generator": "decimal_range", "min": 10, "max": 500, "precision": 10}, "status": {"generator": "one_of", "values": ["pending", "completed", "cancelled", "refunded"]},
         "tags": {"generator": "sample_array", "values": ["a", "b", "c"], "max": 3}, "created_at": {"generator": "timestamp_range", "start": "2024-01-01", "end": "2024-02-01"},
     }
-    made = generate.generate(importable(spark), 10_000, columns)
+    customer = read(spark, sf_dir, "customer")
+    made = generate.generate(spark, 4 * customer.count(), columns, parents={"customer": (customer, "c_custkey")})
     return made.withColumns({"total": F.col("total").cast("double"), "tags": F.array_join("tags", ","), "created_at": F.unix_timestamp("created_at")})

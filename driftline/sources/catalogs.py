@@ -1,11 +1,16 @@
-"""Catalog tables of a database (as ``information_schema`` or ``sys`` views give them) to keys, foreign keys and declared tables."""
+"""Catalog tables of a database (as ``information_schema`` or ``sys`` views give them) to keys, foreign keys and declared tables.
+
+Files have no catalog: ``columns_of``, ``held_keys`` and ``held_references`` make one of what the rows themselves bear out.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import ALIAS, SINK_TYPE, Column, ForeignKey, Table, Type
+from ..schema import ALIAS, SINK_TYPE, Column, ForeignKey, Table, Type, quoted
 
 # fixed values: catalog names of types beside those that ``Type.of`` knows
 NAMES = {
@@ -77,3 +82,54 @@ def tables(columns: DataFrame, constraints: DataFrame, key_columns: DataFrame, r
         first = next(c for c in found if c.name == key[0])
         out.append(Table(name, first, tuple(c for c in found if c is not first), tuple(links.get(name, [])), tuple(key) if len(key) > 1 else ()))
     return out
+
+
+def columns_of(found: dict[str, DataFrame]) -> DataFrame:
+    """A row for each column of DataFrames, as a catalog has it: table_name, ordinal_position, column_name, data_type and is_nullable, YES where a
+    row has no value there (or there is no row). One scan for each table, combined in each task."""
+
+    def one(name: str, rows: DataFrame) -> DataFrame:
+        nulls = [F.coalesce(F.max(F.col(quoted(f.name)).isNull()), F.lit(True)).alias(f"c{i}") for i, f in enumerate(rows.schema)]
+        said = [
+            F.struct(F.lit(i + 1).alias("ordinal_position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.when(F.col(f"c{i}"), "YES").otherwise("NO").alias("is_nullable"))
+            for i, f in enumerate(rows.schema)
+        ]
+        return rows.agg(*nulls).select(F.lit(name).alias("table_name"), F.inline(F.array(*said)))
+
+    return reduce(DataFrame.unionByName, [one(n, d) for n, d in found.items()])
+
+
+def held_keys(found: dict[str, DataFrame], candidates: dict[str, tuple[str, list[str]]]) -> DataFrame:
+    """Of the candidates (constraint_name to table and columns) those that are keys of the rows: no value twice, none missing. Columns of a catalog's constraints:
+    constraint_name, table_name, constraint_type."""
+
+    def one(name: str, table: str, columns: list[str]) -> DataFrame:
+        each = found[table].groupBy(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(columns)]).count()
+        missing = reduce(lambda a, b: a | b, [F.col(f"k{i}").isNull() for i in range(len(columns))])
+        good = each.agg(F.coalesce(F.max((F.col("count") > 1) | missing), F.lit(False)).alias("bad")).where("NOT bad")
+        return good.select(F.lit(name).alias("constraint_name"), F.lit(table).alias("table_name"), F.lit("PRIMARY KEY").alias("constraint_type"))
+
+    return reduce(DataFrame.unionByName, [one(n, *c) for n, c in candidates.items()])
+
+
+def held_references(found: dict[str, DataFrame], candidates: dict[str, tuple[str, list[str], str]], of_key: dict[str, tuple[str, list[str]]]) -> DataFrame:
+    """Of the candidates (constraint_name to table, columns and the key they name) those whose every row finds the row it names; a row with a value
+    missing names none. Columns of a catalog's references: constraint_name, unique_constraint_name. An anti join for each, of the distinct values."""
+
+    def one(name: str, table: str, columns: list[str], unique: str) -> DataFrame:
+        parent, there = of_key[unique]
+        if len(there) != len(columns):
+            raise ValueError(f"{name} has {len(columns)} columns, {unique} {len(there)}")
+        keyed = lambda t, cs: found[t].select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(cs)])
+        own = keyed(table, columns).dropna().distinct()
+        lost = own.join(keyed(parent, there), [f"k{i}" for i in range(len(columns))], "left_anti").agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+        return lost.select(F.lit(name).alias("constraint_name"), F.lit(unique).alias("unique_constraint_name"))
+
+    return reduce(DataFrame.unionByName, [one(n, *c) for n, c in candidates.items()])
+
+
+def key_columns(found: DataFrame, candidates: dict[str, tuple]) -> DataFrame:
+    """constraint_name, table_name, column_name and ordinal_position of the constraints that ``found`` names; a candidate is a table, its columns, and maybe more."""
+    rows = [(n, c[0], column, i + 1) for n, c in candidates.items() for i, column in enumerate(c[1])]
+    declared = found.sparkSession.createDataFrame(rows, "constraint_name string, table_name string, column_name string, ordinal_position int")
+    return declared.join(F.broadcast(found.select("constraint_name")), "constraint_name")  # a row for each constraint

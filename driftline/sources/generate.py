@@ -7,6 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.changes import numbered
+from ..schema import quoted
+
 
 def _hash(seed: int, name: str, salt: str = "", *more: Column) -> Column:
     """60 bits of the md5 of all of it, a hash that any other engine has too."""
@@ -65,11 +68,17 @@ def cell(kind: str, seed: int, name: str, **o) -> Column:
     raise ValueError(f"unknown generator: {kind}")
 
 
-def generate(spark: SparkSession, rows: int, columns: dict[str, dict], seed: int = 42, partitions: int | None = None) -> DataFrame:
-    """``columns``: name to {generator: kind, ...options}."""
+def generate(spark: SparkSession, rows: int, columns: dict[str, dict], seed: int = 42, partitions: int | None = None, parents: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+    """``columns``: name to {generator: kind, ...options}. ``parents``: name to a table and its key column; each row draws one of the keys, all alike likely
+    (NULL where the table has none). Keys are numbered in their order, and rows joined to them by the number they drew."""
     base = spark.range(0, rows, 1, partitions) if partitions else spark.range(rows)
     base = base.withColumnRenamed("id", "_index")
-    return base.select(*[cell(o["generator"], seed, name, **{k: v for k, v in o.items() if k != "generator"}).alias(name) for name, o in columns.items()])
+    made = [cell(o["generator"], seed, name, **{k: v for k, v in o.items() if k != "generator"}).alias(name) for name, o in columns.items()]
+    for name, (table, key) in (parents or {}).items():
+        keys = numbered(table.select(F.col(quoted(key)).alias(name)).dropna().distinct(), [name], 1).select(name, F.col("row_index").alias(f"_drawn_{name}"))
+        drawn = F.pmod(_hash(seed, name), F.greatest(F.lit(keys.count()), F.lit(1)).cast("bigint"))
+        base = base.withColumn(f"_drawn_{name}", drawn).join(keys, f"_drawn_{name}", "left")
+    return base.select(*made, *map(quoted, parents or {}))
 
 
 def deal(tables: list[str], containers: int, seed: int = 42) -> list[tuple[int, int, list[str]]]:

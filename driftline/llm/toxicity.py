@@ -4,11 +4,15 @@ The lexicon is learned from labelled documents: words, and stems (beginnings of
 others, each with its log-odds as weight. Walking the trie with all its entries' automata at once is a deterministic automaton, whose states
 are sets of (trie node, edits); states are made when first reached, and a word costs one step a letter until no entry is near.
 
-Words are runs of letters and digits with signs inside; signs and digits that stand for letters are folded to them, and letters spelled out one by
-one are a word. A document's evidence is the sum over its matches of weight, times a discount for each edit, times a context factor: less where
-the match stands in quotation marks of its line or behind a word of reporting, more where other matches are near. Factors and threshold are
-those of a small grid that part the labelled documents with fewest errors, each label counting for as many documents as have it; the score is
-evidence / (evidence + threshold).
+Words are runs of letters and digits with signs inside; signs and digits that stand for letters are folded to them, characters that don't show are
+passed over, letters spelled out one by one (with signs or single blanks between) are a word, and a word with hyphens is looked up joined and by
+its parts. A document's evidence is the sum over its matches of weight, times a discount for each edit, times a context factor: less where
+the match stands in quotation marks, double or single, that open and close in one paragraph, or behind a word of reporting in its line, more where
+other matches are near. Factors and threshold are those of a small grid that part the labelled documents with fewest errors, each label counting for
+as many documents as have it; the score is evidence / (evidence + threshold).
+
+What is learned from is bounded: at most ``SAMPLE`` documents of each label, and of those with the same three smallest word hashes (copies, near
+copies) one counts for the lexicon, while all of them count for factors and threshold.
 
 Defined cases: null and empty texts, and texts without matches, score 0; a text is scored whole, however long; without labelled documents of both kinds, as with an
 empty table, the lexicon is empty and all scores are 0; a document that is labelled both 0 and 1 counts as 1; rows are scored one by one, so repeated
@@ -20,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from heapq import nsmallest
@@ -37,10 +42,10 @@ from .common import mapped, plain, slices, stage
 #: Labelled documents that are learned from, at most, for each label: those of the smallest id hashes.
 SAMPLE = 4_000
 #: A word or stem is an entry if so many toxic documents hold it and this share of the documents that hold it are toxic.
-HELD, SHARE = 3, 0.9
+HELD, SHARE = 3, 0.8
 #: By how much, as a logarithm, an entry must be unlikelier than one chance hit among all candidates.
 CHANCE = 1.0
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 #: Words and stems that a task counts before it hands their sums on.
 FORMS = 150_000
 #: Letters from which a word may differ by one edit, and by two.
@@ -51,11 +56,15 @@ WINDOW = 8
 #: Context factors to choose from, for a match that is quoted, that is reported, and that has another near; the first where all do alike.
 QUOTED, REPORTED, NEAR = (0.35, 0.2, 0.6, 1.0), (0.6, 0.4, 0.8, 1.0), (1.25, 1.0, 1.5)
 PLAIN, IN_REPORT, IN_QUOTE = 0, 1, 2
-#: Letters one by one with signs between, or letters and digits with signs inside.
-WORD = re.compile(r"(?<![^\W_])[^\W\d_](?:[.\-_*][^\W\d_]){2,}(?![^\W_])|[^\W_]+(?:[@$_*]+[^\W_]+)*")
-LETTERS = str.maketrans("013457@$", "oieastas", ".-_*")
-MARK = re.compile('["“”„«»\n]')
-CLOSING = {"“": "”", "„": "“", "«": "»", '"': '"'}
+#: Letters one by one with signs or blanks between, or letters and digits with signs inside.
+WORD = re.compile(r"(?<![^\W_])[^\W\d_](?:[.\-_* ][^\W\d_]){2,}(?![^\W_])|[^\W_]+(?:[@$_*\-]+[^\W_]+)*")
+LETTERS = str.maketrans("013457@$", "oieastas", ".-_* ")
+#: Soft hyphens, joiners, marks of direction and blanks of no width.
+HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060-\u2064\ufeff]+")
+#: Quotation marks, those that can only begin or end a quotation told by what is beside them, and the end of a paragraph.
+MARK = re.compile(r"""["“”„«»]|(?P<begins>(?<!\w)['‘](?=\w))|(?P<ends>(?<=\S)['’](?!\w))|(?P<gap>\n[^\S\n]*\n)""")
+CLOSING = {"“": "”", "„": "“", "«": "»", '"': '"', "'": "'", "‘": "’"}
+SINGLE = ("'", "’")
 #: Words that introduce a quotation, in the languages of the documents.
 REPORTING = frozenset("said says wrote called quoted quote quotes term word phrase dit écrit mot terme sagte schrieb wort begriff dijo escribió palabra término".split())
 
@@ -198,36 +207,42 @@ class Scorer:
                 self.seen.clear()
             if len(self.automaton.states) > self.STATES:
                 self.automaton.clear()
-            found = self.automaton.match(word if word.isalpha() else word.translate(LETTERS))
+            found = max(filter(None, map(self.automaton.match, forms(word))), default=None)
             if len(word) > self.LONGEST:
                 return found
             self.seen[word] = found
         return self.seen[word]
 
-    def matches(self, text: str) -> list[tuple[int, int, int, float, int, str]]:
-        """(place among the words, begin, end, weight, edits, entry) of every match in the whole text."""
-        low = text.lower()
+    def matches(self, text: str) -> list[tuple[int, int, int, float, int, str, bool]]:
+        """(place among the words, begin, end, weight, edits, entry, whether a word of reporting is among the few before it in its line) of every
+        match in the whole text, as ``visible`` gives it."""
+        low = visible(text)
         seen, look = self.seen, self.look
         words = WORD.findall(low)
         near = {w for w in set(words) if (seen[w] if w in seen else look(w))}
         if not near:
             return []
-        return [(i, m.start(), m.end(), *self.look(m[0])) for i, m in enumerate(WORD.finditer(low)) if m[0] in near]
+        out, before = [], deque(maxlen=WINDOW // 2)
+        for i, m in enumerate(WORD.finditer(low)):
+            if m[0] in near:
+                told = any(w[0] in REPORTING and low.find("\n", w.end(), m.start()) < 0 for w in before)
+                out.append((i, m.start(), m.end(), *self.look(m[0]), told))
+            before.append(m)
+        return out
 
     def sums(self, text: str | None) -> np.ndarray:
         """Weights of the matches, summed by context (plain, reported, quoted) and by whether another match is near."""
         out = np.zeros((3, 2))
         found = self.matches(text) if text else []
         if found:
-            low = text.lower()
-            quotes = quotations(low)
+            quotes = quotations(visible(text))
             opens = [q[0] for q in quotes]
             places = np.array([f[0] for f in found])
             close = np.searchsorted(places, places + WINDOW, "right") - np.searchsorted(places, places - WINDOW) - 1
-            for (_, begin, end, weight, _, _), others in zip(found, close):
+            for (_, begin, end, weight, _, _, told), others in zip(found, close):
                 at = bisect_right(opens, begin) - 1
                 quoted = at >= 0 and quotes[at][1] >= end
-                out[IN_QUOTE if quoted else IN_REPORT if reported(low, begin) else PLAIN, int(others > 0)] += weight
+                out[IN_QUOTE if quoted else IN_REPORT if told else PLAIN, int(others > 0)] += weight
         return out
 
     def evidence(self, text: str | None) -> float:
@@ -245,29 +260,34 @@ def weighed(sums: np.ndarray, factors: tuple[float, float, float]) -> np.ndarray
 
 
 def quotations(text: str) -> list[tuple[int, int]]:
-    """Spans between quotation marks that open and close in one line, in order."""
+    """Spans between quotation marks that open and close in one paragraph, in order. A double mark ends a single one that is still open."""
     out, begin, closing = [], 0, None
     for m in MARK.finditer(text):
-        mark = m[0]
-        if mark == "\n":
+        mark, kind = m[0], m.lastgroup
+        if kind == "gap":
             closing = None
-        elif closing and mark == closing:
+        elif mark == closing and kind != "begins":
             out.append((begin, m.start()))
             closing = None
-        elif not closing and mark in CLOSING:
+        elif mark in CLOSING and kind != "ends" and (closing is None or closing in SINGLE and kind is None):
             begin, closing = m.end(), CLOSING[mark]
     return out
 
 
-def reported(text: str, begin: int) -> bool:
-    """Whether a word of reporting is among the few words before, in the same line."""
-    line = max(text.rfind("\n", 0, begin) + 1, begin - 40 * WINDOW)  # more than so many words take, and some letters for a very long one
-    return any(w in REPORTING for w in WORD.findall(text, line, begin)[-WINDOW // 2 :])
+def visible(text: str) -> str:
+    """A text in small letters, without characters that don't show."""
+    low = text.lower()
+    return low if low.isascii() else HIDDEN.sub("", low)
+
+
+def forms(word: str) -> list[str]:
+    """As what a word is looked up: its letters alone; one with hyphens also by its parts."""
+    return [w if w.isalpha() else w.translate(LETTERS) for w in ([word, *filter(None, word.split("-"))] if "-" in word else [word])]
 
 
 def known_words(text: str | None) -> set[str]:
     """The distinct words of a whole text, as they are looked up."""
-    return {w if w.isalpha() else w.translate(LETTERS) for w in set(WORD.findall((text or "").lower()))}
+    return {f for w in set(WORD.findall(visible(text or ""))) for f in forms(w)}
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> tuple[DataFrame, dict[int, float]]:
@@ -336,13 +356,13 @@ def learn(docs: DataFrame, labels: DataFrame, chosen: Column, most: int = SAMPLE
     # near forms of an entry weigh what the labelled documents that hold them say, where there are any
     draft = docs.sparkSession.sparkContext.broadcast(made)
 
-    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def near_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(draft.value)
         for batch in batches:
             out = [(y, entry, e) for y, t in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()) for entry, e in {(m[5], m[4]) for m in scorer.matches(t or "")} if e]
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.int32(), pa.string(), pa.int32()))], ["y", "entry", "e"])
 
-    near = mapped(rows, forms, "y int, entry string, e int").groupBy("entry", "e").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect()  # at most two for each entry
+    near = mapped(rows, near_forms, "y int, entry string, e int").groupBy("entry", "e").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect()  # at most two for each entry
     for r in near:
         own = list(made.words[r["entry"]])
         own[r["e"]] = min(own[r["e"]], odds(r["pos"], r["neg"]))

@@ -543,28 +543,34 @@ def test_automaton():
 
 def brute_sums(lexicon, text):
     """Plainly: every word against every entry by edit distance, every quotation mark by hand."""
-    low = (text or "").lower()
+    low = "".join(c for c in (text or "").lower() if c not in "\u00ad\u200b\u2060\ufeff")
     words = list(re.finditer(toxicity.WORD, low))
-    plain = [m[0] if m[0].isalpha() else "".join({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "8", "@": "a", "$": "s"}.get(c, c) for c in m[0] if c not in ".-_*") for m in words]
+    fold = lambda w: w if w.isalpha() else "".join({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}.get(c, c) for c in w if c not in ".-_* ")
     found = {}
-    for i, w in enumerate(plain):
-        near = [(v[distance(w, e)]) for e, v in lexicon.words.items() if distance(w, e) <= toxicity.Automaton.allowed(len(e))]
-        near += [v for e, v in lexicon.stems.items() if w.startswith(e)]
+    for i, m in enumerate(words):
+        near = []
+        for w in [fold(m[0])] + ([fold(p) for p in m[0].split("-") if p] if "-" in m[0] else []):
+            near += [(v[distance(w, e)]) for e, v in lexicon.words.items() if distance(w, e) <= toxicity.Automaton.allowed(len(e))]
+            near += [v for e, v in lexicon.stems.items() if w.startswith(e)]
         if near and max(near) > 0:
             found[i] = max(near)
+    spans, opened = [], None
+    letter = lambda k: 0 <= k < len(low) and (low[k].isalnum() or low[k] == "_")
+    for k, c in enumerate(low):
+        if c == "\n" and re.match(r"\n[^\S\n]*\n", low[k:]):
+            opened = None
+        begins, ends = not letter(k - 1) and letter(k + 1), k > 0 and not low[k - 1].isspace() and not letter(k + 1)
+        can_close, can_open = c not in "'’" or (ends and not begins), c not in "'‘" or begins
+        if opened and c == opened[1] and can_close:
+            spans.append((opened[0], k))
+            opened = None
+        elif c in toxicity.CLOSING and can_open and (opened is None or (opened[1] in "'’" and c not in "'‘")):
+            opened = (k, toxicity.CLOSING[c])
     out = np.zeros((3, 2))
     for i, v in found.items():
         m = words[i]
         begin = low.rfind("\n", 0, m.start()) + 1
-        line_end = low.find("\n", m.end())
-        line = low[begin : line_end if line_end >= 0 else len(low)]
-        inside, opened = False, None
-        for k, c in enumerate(line):
-            if opened is None and c in toxicity.CLOSING:
-                opened = (k, toxicity.CLOSING[c])
-            elif opened and c == opened[1]:
-                inside |= opened[0] < m.start() - begin and m.end() - begin <= k
-                opened = None
+        inside = any(a < m.start() and m.end() <= b for a, b in spans)
         before = [w[0] for w in words if begin <= w.start() and w.end() <= m.start()][-4:]
         told = any(w in toxicity.REPORTING for w in before)
         out[2 if inside else 1 if told else 0, int(any(j != i and abs(i - j) <= toxicity.WINDOW for j in found))] += v
@@ -574,8 +580,8 @@ def brute_sums(lexicon, text):
 def test_scores_against_brute_force():
     lexicon = toxicity.Lexicon({w: tuple(v * x for x in toxicity.DISCOUNT) for w, v in {"stupid": 3.0, "worthless": 4.0, "scum": 2.0, "idiots": 2.5}.items()}, {"lowei": 5.0})
     scorer, rng = toxicity.Scorer(lexicon), random.Random(6)
-    bits = ["stupid", "stup1d", "s.t.u.p.i.d", "w_orthless", "id1ots", "scum", "loweix", "said", "word", '"', "“", "”", "„", "«", "»", "\n", "clean", "words", "a.b", "x-y-z", "don't", "2nd", "@", "l'idiots", "stpuid!!!"]
-    for _ in range(400):
+    bits = ["stupid", "stup1d", "s.t.u.p.i.d", "w_orthless", "id1ots", "scum", "loweix", "said", "word", '"', "“", "”", "„", "«", "»", "\n", "clean", "words", "a.b", "x-y-z", "don't", "2nd", "@", "l'idiots", "stpuid!!!", "s t u p i d", "stu-pid", "scum-like", "stu\u200bpid", "w\u00adorthless", "'", "‘", "’", "'scum", "scum'", "\n\n", "\n \n", "a--b"]
+    for _ in range(1500):
         text = rng.choice([" ", ""]).join(rng.choices(bits, k=rng.randint(0, 30))) if rng.random() < 0.2 else " ".join(rng.choices(bits, k=rng.randint(0, 30)))
         assert np.allclose(scorer.sums(text), brute_sums(lexicon, text)), text
     assert scorer.score(None) == scorer.score("") == 0
@@ -586,7 +592,13 @@ def test_quotations():
     scorer = toxicity.Scorer(toxicity.Lexicon({"stupid": (3.0, 0.0, 0.0)}))
     for gap in (1, 5, 40, 400):  # however far the marks are
         assert scorer.evidence('"' + "w " * gap + "stupid " + "w " * gap + '"') == pytest.approx(3 * factors[0])
-    assert scorer.evidence('"w\nstupid w"') == scorer.evidence('"w" stupid "w"') == scorer.evidence("you stupid") == 3.0
+    for quoted in ('"w\nstupid w"', "he: 'w stupid'", "‘don't be stupid’, w", "'tis \"w stupid w\""):  # over lines, in single marks, in double ones behind an apostrophe
+        assert scorer.evidence(quoted) == pytest.approx(3 * factors[0]), quoted
+    for plain in ('"w\n\nstupid w"', '"w" stupid "w"', "you stupid", "don't, stupid, don't", "the boys' stupid dogs'"):
+        assert scorer.evidence(plain) == 3.0, plain
+    for hidden in ("s t u p i d", "stu-pid", "stu\u200bpid", "s-t-u-p-i-d", "you s.t.u.p.i.d"):
+        assert scorer.evidence(hidden) == 3.0, hidden
+    assert scorer.evidence("said " + "x" * 5000 + " stupid") == pytest.approx(3 * factors[1])  # however long the words between
     assert scorer.evidence("the word stupid is rude") == pytest.approx(3 * factors[1])
 
 
@@ -625,9 +637,9 @@ def test_toxicity(spark):
     assert toxicity.score(none, toxicity.learn(none, labels, F.lit(True))).count() == 0
 
 
-@pytest.mark.parametrize("sf, least", [("sf0.01", 0.66), ("sf0.1", 0.85)])
+@pytest.mark.parametrize("sf, least", [("sf0.01", 0.66), ("sf0.1", 0.92)])
 def test_toxicity_on_held_out_rows(spark, sf, least):
-    """A tenth of the toxic documents at sf0.1, and two of six at sf0.01, hold nothing that others of their label do."""
+    """Six of the 97 toxic documents at sf0.1, and two of the six at sf0.01, hold nothing that others of their label do."""
     from driftline.llm import queries
 
     got = queries.op1_toxicity(spark, f"/root/testdata/{sf}").join(common.table(spark, f"/root/testdata/{sf}", "labels"), "doc_id").where("held_out").collect()

@@ -25,8 +25,8 @@ def lsn_bytes(text: Column) -> Column:
 
 
 def epoch_day(text: Column) -> Column:
-    """Days since 1970 as a date."""
-    return F.date_from_unix_date(F.when(F.trim(text).rlike(r"^[+-]?[0-9]{1,7}$"), F.trim(text).try_cast("int")))
+    """Days since 1970 as a date; NULL beyond the days of an int."""
+    return F.date_from_unix_date(F.when(F.trim(text).rlike(r"^[+-]?[0-9]+$"), F.trim(text).try_cast("int")))
 
 
 def epoch_nanos(text: Column) -> Column:

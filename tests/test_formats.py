@@ -4,6 +4,7 @@ import json
 import re
 import struct
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,18 @@ def test_epochs_and_durations(spark):
     assert one(spark, F.unix_micros(scalars.local_to_utc(F.lit("2024-07-01 12:00:00"), "Europe/Berlin")) - F.unix_micros(F.lit("2024-07-01 10:00:00").cast("timestamp"))) == 0
 
 
+def test_days_and_epochs_of_many_digits(spark, tmp_path):
+    """Years of five digits are written as SQL writes them, and days may have as many digits as an int."""
+    from driftline.plans import catalogue
+
+    assert many(spark, lambda c: catalogue.day(scalars.epoch_day(c)), ["2932896", "2932897", "-1", "12345678", "99999999999"]) == ["9999-12-31", "10000-01-01", "1969-12-31", duckdb.sql("SELECT strftime(DATE '1970-01-01' + 12345678, '%Y-%m-%d')").fetchall()[0][0], None]
+    duckdb.sql(f"COPY (SELECT CAST(unnest([0, 499, 2933397, 6000000, 23456789]) AS BIGINT) AS event_id) TO '{tmp_path}/events.parquet'")
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    columns = ["event_id", "day", "micros", "clock"]
+    assert sorted(map(tuple, catalogue.QUERIES["epoch_cells"](spark, str(tmp_path)).select(columns).collect())) == sorted(db.sql(f"SELECT {', '.join(columns)} FROM ({catalogue.SQL['epoch_cells']})").fetchall())
+
+
 def test_maps_and_ulids(spark):
     m = F.create_map(F.lit("a"), F.lit(1), F.lit("b"), F.lit(2))
     assert one(spark, scalars.renamed_keys(m, {"a": "z"})) == {"z": 1, "b": 2} and one(spark, scalars.without_keys(m, "a")) == {"b": 2}

@@ -7,11 +7,11 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.changes import after, chunk, reconcile, renamed
+from ..operators.changes import after, chunk, fold, numbered, reconcile, renamed
 from ..operators.snapshots import chunk_of, reconcile_chunks
 from ..plans.transforms import Pipeline
 from ..staging import staged
@@ -130,9 +130,14 @@ def run(stream: DataFrame, target: Target, checkpoint: str, limits: Limits, chec
         checkpoints.flush()
 
 
-def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, store: Store, emit: Callable[[str, DataFrame], None], position: Callable[[], int], size: int = 1_000_000, signals: Signals | None = None) -> None:
+def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, store: Store, emit: Callable[[str, DataFrame], None], position: Callable[[], int], size: int = 1_000_000, signals: Signals | None = None, wave: int = 1, marks: Callable[[Column], tuple[Column, Column]] | None = None) -> None:
     """Table after table in chunks, each read once between two positions of the log, reconciled with it and emitted, with progress saved after each; a stopped
-    snapshot goes on after the last saved key."""
+    snapshot goes on after the last saved key.
+
+    One chunk at a time takes a few jobs and a look through the table for each. With a ``wave`` of more, what is left of a table is read at once, cut into the
+    same chunks, and ``wave`` chunks are reconciled and emitted in one job, with progress saved after it. They share the positions before and after that read,
+    unless ``marks`` gives each chunk, by its number in the table, a window of its own.
+    """
     state = Snapshot.load(store)
     if store.get("full_sync_start") is None:
         store.phase("full_sync_start", position())
@@ -140,7 +145,9 @@ def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, sto
     while queue:
         name = queue.pop(0)
         rows, keys = tables[name]
-        while True:
+        if wave > 1:
+            _snapshot_waves(name, rows, keys, log.where(F.col("_table") == name).drop("_table"), state, store, emit, position, size, wave, marks)
+        while wave == 1:
             low = position()
             part = staged(chunk(rows, keys, size, state.last_keys.get(name)), "chunk")
             last = part.orderBy(*[F.desc(k) for k in keys]).limit(1).select(*keys).first()
@@ -150,7 +157,7 @@ def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, sto
             seen = F.col("_pos") > (-1 if state.position is None else state.position)
             own = log.where((F.col("_table") == name) & seen & (F.col("_pos") <= high)).drop("_table")
             emit(name, reconcile(part, own, keys, low, high, tombstones=True))
-            state.last_keys[name], state.position = list(last), high
+            state.after(name, list(last), 1, high)
             state.save(store)
         state.done.append(name)
         state.save(store)
@@ -159,12 +166,39 @@ def snapshot(tables: dict[str, tuple[DataFrame, list[str]]], log: DataFrame, sto
                 if t in tables:
                     state.done = [d for d in state.done if d != t]
                     state.last_keys.pop(t, None)
+                    state.chunks.pop(t, None)
                     queue.append(t)
             signals.acknowledge(id_)
     store.phase("full_sync_end", state.position)
     store.phase("snapshot_handoff", state.position)
 
 
+def _snapshot_waves(name: str, rows: DataFrame, keys: list[str], log: DataFrame, state: Snapshot, store: Store, emit: Callable[[str, DataFrame], None], position: Callable[[], int], size: int, wave: int, marks: Callable[[Column], tuple[Column, Column]] | None) -> None:
+    """What is left of a table, ``wave`` chunks in a job. Of a shared window the log also wins at its end, so a key that it names there has one row at that position."""
+    last, first = state.last_keys.get(name), state.chunks.get(name, 0)
+    low = position()
+    cut = numbered(rows.where(after(keys, last)) if last else rows, keys, size)
+    cut = staged(cut.withColumn("_chunk", F.col("chunk_no") + first).drop("row_index", "chunk_no"), "chunks")
+    high = position()
+    kind = dict(log.dtypes)["_pos"]
+    ends = marks(F.col("_chunk")) if marks else (F.lit(low), F.lit(high))
+    cut = cut.withColumns({"_low": ends[0].cast(kind), "_high": ends[1].cast(kind)})
+    until = F.col("_at") < F.col("_high") if marks else F.col("_at") <= F.col("_high")
+    number = (cut.agg(F.max("_chunk")).first()[0] or 0) + 1 - first
+    for at in range(first, first + number, wave):
+        part = cut.where(F.col("_chunk").between(at, at + wave - 1))
+        found = part.agg(F.count_distinct("_chunk").alias("n"), F.min("_low").alias("low"), F.max("_high").alias("high"), F.max(F.struct(*keys)).alias("last")).first()
+        if not found["n"]:
+            break
+        window = log.where((F.col("_pos") > found["low"]) & (F.col("_pos") <= found["high"])).select(*keys, F.col("_pos").alias("_at"))
+        said = part.select(*keys, "_low", "_high").join(window, keys).where((F.col("_at") > F.col("_low")) & until).select(*keys).distinct()
+        read = part.join(said, keys, "left_anti").withColumns({"_op": F.lit("c"), "_pos": F.col("_high"), "_phase": F.lit(1)}).drop("_chunk", "_low", "_high")
+        own = log.where((F.col("_pos") > (-1 if state.position is None else state.position)) & (F.col("_pos") <= found["high"]))
+        emit(name, fold(read.unionByName(own.withColumn("_phase", F.lit(0)), allowMissingColumns=True), keys, ["_pos", "_phase"], tombstones=True).drop("_phase"))
+        state.after(name, list(found["last"]), found["n"], found["high"])
+        state.save(store)
+
+
 def parallel_snapshot(name: str, rows: DataFrame, keys: list[str], bounds: list[list], log: DataFrame, store: Store, emit: Callable[[str, DataFrame], None], position: Callable[[], int], waves: int = 1) -> None:
     """A table in as many chunks as ``bounds`` cut it into, all of a wave in one job. A wave is read once, between two positions that its chunks share, and
     emitted; a stopped snapshot goes on with the wave after the last one saved. What the log says from the first position on is emitted at the end."""

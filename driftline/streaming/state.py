@@ -125,6 +125,11 @@ class Snapshot:
     position: int | str | None = None
     last_keys: dict[str, list] = field(default_factory=dict)
     done: list[str] = field(default_factory=list)
+    chunks: dict[str, int] = field(default_factory=dict)
+
+    def after(self, name: str, last: list, chunks: int, position) -> None:
+        """``chunks`` more of a table are in, up to the key ``last``."""
+        self.last_keys[name], self.chunks[name], self.position = last, self.chunks.get(name, 0) + chunks, position
 
     def save(self, store: Store) -> None:
         store.put("snapshot_progress", asdict(self))

@@ -311,6 +311,43 @@ def test_a_chunk_is_read_once_between_its_positions(spark, tmp_path):
     assert {r.id for r in out} >= set(range(0, 100, 10))
 
 
+@pytest.mark.parametrize("own", [True, False])
+def test_many_chunks_in_a_job(spark, tmp_path, own):
+    """A snapshot of 40 chunks in three jobs, stopped after the first, is what one chunk at a time gives."""
+    rows = spark.range(1, 200).selectExpr("id", "concat('t', id) AS val")
+    log = spark.createDataFrame([("users", i * 7 % 230, "d" if i % 3 == 0 else "u", i, f"log{i}") for i in range(300)], "_table string, id long, _op string, _pos long, val string")
+    said = lambda target: {r.id: (r["_op"], r["_pos"], r.val) for r in target.all().collect()}
+    one, many = runner.Target(spark, str(tmp_path / "one"), ["id"]), runner.Target(spark, str(tmp_path / "many"), ["id"])
+    store, jobs, times = Store(spark, str(tmp_path / "s")), [], iter([10, 20, 260, 260, 270])
+
+    def emit(name, part):
+        jobs.append(name)
+        if len(jobs) == 2:
+            raise RuntimeError("stopped")
+        many.merge(part)
+
+    marks = (lambda c: (20 + 5 * c, 24 + 5 * c)) if own else None
+    args = ({"users": (rows, ["id"])}, log, store, emit, lambda: next(times))
+    with pytest.raises(RuntimeError):
+        runner.snapshot(*args, size=5, wave=16, marks=marks)
+    assert Snapshot.load(store).last_keys == {"users": [80]} and Snapshot.load(store).chunks == {"users": 16}
+    runner.snapshot(*args, size=5, wave=16, marks=marks)
+    assert len(jobs) == 4 and Snapshot.load(store).chunks == {"users": 40} and Snapshot.load(store).done == ["users"]
+    got = said(many)
+    if own:
+        at = iter([10] + [p for c in range(41) for p in (20 + 5 * c, 24 + 5 * c)])
+        runner.snapshot({"users": (rows, ["id"])}, log, Store(spark, str(tmp_path / "s1")), lambda n, part: one.merge(part), lambda: next(at), size=5)
+        assert got == said(one) and store.get("snapshot_handoff") == {"position": 219}
+        return
+    for i in range(230):  # the first 80 were read between 20 and 260, the others from 260 to 270
+        low, high = (20, 260) if i <= 80 else (260, 270)
+        events = [k for k in range(271) if k * 7 % 230 == i]
+        last = max(events, default=None)
+        kept = 1 <= i < 200 and not [k for k in events if low < k <= high] and (last is None or last <= high)
+        want = ("c", high, f"t{i}") if kept else None if last is None else ("d" if last % 3 == 0 else "u", last, f"log{last}")
+        assert got.get(i) == want, i
+
+
 @pytest.mark.parametrize("waves,chunks", [(1, 1), (3, 7), (4, 1000)])
 def test_chunks_side_by_side(spark, tmp_path, waves, chunks):
     from driftline.operators import snapshots

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ALIAS, SINK_TYPE, Column, ForeignKey, Table, Type, quoted
+from ..staging import spread
+
+#: Rows of a table whose keys are sent to every task; beyond that a reference is looked up by a shuffle of both sides.
+SENT = 200_000
 
 # fixed values: catalog names of types beside those that ``Type.of`` knows
 NAMES = {
@@ -104,11 +108,14 @@ def held_keys(found: dict[str, DataFrame], candidates: dict[str, tuple[str, list
     constraint_name, table_name, constraint_type."""
 
     def one(name: str, table: str, columns: list[str]) -> DataFrame:
-        each = found[table].groupBy(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(columns)]).count()
+        own = [f"k{i}" for i in range(len(columns))]
+        rows = found[table].select(*[F.col(quoted(c)).alias(k) for k, c in zip(own, columns)])
+        each = spread(rows, own, sizes[table]).groupBy(*own).count()
         missing = reduce(lambda a, b: a | b, [F.col(f"k{i}").isNull() for i in range(len(columns))])
         good = each.agg(F.coalesce(F.max((F.col("count") > 1) | missing), F.lit(False)).alias("bad")).where("NOT bad")
         return good.select(F.lit(name).alias("constraint_name"), F.lit(table).alias("table_name"), F.lit("PRIMARY KEY").alias("constraint_type"))
 
+    sizes = {t: found[t].count() for t in {c[0] for c in candidates.values()}}
     return reduce(DataFrame.unionByName, [one(n, *c) for n, c in candidates.items()])
 
 
@@ -121,10 +128,17 @@ def held_references(found: dict[str, DataFrame], candidates: dict[str, tuple[str
         if len(there) != len(columns):
             raise ValueError(f"{name} has {len(columns)} columns, {unique} {len(there)}")
         keyed = lambda t, cs: found[t].select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(cs)])
-        own = keyed(table, columns).dropna().distinct()
-        lost = own.join(keyed(parent, there), [f"k{i}" for i in range(len(columns))], "left_anti").agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+        on = [f"k{i}" for i in range(len(columns))]
+        own, known = keyed(table, columns).dropna(), keyed(parent, there)
+        if sizes[parent] <= SENT:
+            known = F.broadcast(known)
+        else:
+            most = max(sizes[table], sizes[parent])
+            own, known = spread(own, on, most).distinct(), spread(known, on, most)
+        lost = own.join(known, on, "left_anti").agg(F.count(F.lit(1)).alias("n")).where("n = 0")
         return lost.select(F.lit(name).alias("constraint_name"), F.lit(unique).alias("unique_constraint_name"))
 
+    sizes = {t: found[t].count() for t in {c[0] for c in candidates.values()} | {of_key[c[2]][0] for c in candidates.values()}}
     return reduce(DataFrame.unionByName, [one(n, *c) for n, c in candidates.items()])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from pathlib import Path
@@ -41,3 +42,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     """How many partitions a shuffle has, as the session says; given as a number, they aren't coalesced."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Rows that a task is dealt. Up to ``UNHELD`` partitions a shuffle's writers hold no rows in memory, so beyond that many a task first gets ``MOST`` rows.
+ROWS, MOST, UNHELD = 500_000, 2_000_000, 200
+
+
+def spread(rows: DataFrame, columns: list[str], count: int) -> DataFrame:
+    """``rows``, about ``count`` of them, dealt by ``columns`` to as many partitions as they need, so that what a task holds doesn't grow with the table. What is
+    grouped or joined by these columns then takes no other shuffle, and no task groups a whole split of a file beforehand."""
+    spark = rows.sparkSession
+    least = min(partitions(spark), spark.sparkContext.defaultParallelism)
+    return rows.repartition(max(1, least, min(UNHELD, math.ceil(count / ROWS)), math.ceil(count / MOST)), *columns)

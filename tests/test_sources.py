@@ -1,3 +1,4 @@
+import re
 import json
 import sys
 
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.plans import transforms
 from driftline.schema import Column, Table, Type
-from driftline.sources import changelog, files, generate
+from driftline.sources import catalogs, changelog, files, generate
 
 
 def test_csv(spark, tmp_path):
@@ -117,3 +118,22 @@ def test_csv_is_split_unless_records_go_over_lines(spark, tmp_path):
         assert files.read_csv(spark, str(plain), id_columns=["id"], multiline=True).count() == 5000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("sent", [200_000, 0])
+def test_keys_and_references_of_larger_tables(spark, monkeypatch, sent):
+    """A table's rows are dealt by key to as many tasks as they need before anything groups them, and few keys are sent along; both ways find the same."""
+    from driftline import staging
+
+    monkeypatch.setattr(staging, "ROWS", 100)
+    monkeypatch.setattr(catalogs, "SENT", sent, raising=False)
+    parent = spark.range(2000).selectExpr("id", "id % 50 AS k")
+    child = spark.range(3000).selectExpr("id", "IF(id % 3 = 0, NULL, id % 2000) AS good", "id AS bad", "IF(id % 2 = 0, NULL, id) AS some")
+    found, unique = {"p": parent, "c": child}, {"pk": ("p", ["id"]), "twice": ("p", ["k"]), "pair": ("p", ["k", "id"]), "missing": ("c", ["some"])}
+    held = catalogs.held_keys(found, unique)
+    assert {r.constraint_name for r in held.collect()} == {"pk", "pair"}
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    first = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert {int(re.search(r", (\d+)\), REPARTITION", line)[1]) for line in first} == {20, 30}  # 2000 and 3000 rows
+    named = {"f1": ("c", ["good"], "pk"), "f2": ("c", ["bad"], "pk")}
+    assert [r.constraint_name for r in catalogs.held_references(found, named, unique).collect()] == ["f1"]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import content_hash
-from ..staging import partitions, staged
+from ..staging import partitions, spread, staged
 
 
 def open_period(end: Column) -> Column:
@@ -30,10 +30,11 @@ def _ordinals(versions: DataFrame, digest: Column, alike: list[str], scan_order:
     how many came in the ranges before; so a version that comes again and again is several tasks' work. Rows equal in the scan order share a range."""
     ranged = versions.repartitionByRange(partitions(versions.sparkSession), *scan_order)  # what is sampled for the ranges has no hash yet
     dealt = staged(ranged.withColumns({"_range": F.spark_partition_id(), "version_hash": digest}), "versions")
-    counts = dealt.groupBy(*alike, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    size, here = dealt.count(), [*alike, "_range"]
+    counts = spread(dealt.select(here), here, size).groupBy(*here).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*alike).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn("_before", F.sum("_n").over(earlier)).where("_before > 0").drop("_n")
-    both = dealt.unionByName(before.withColumn("_told", F.lit(True)), allowMissingColumns=True)
+    before = spread(counts, alike, size).withColumn("_before", F.sum("_n").over(earlier)).where("_before > 0").drop("_n")
+    both = spread(dealt.unionByName(before.withColumn("_told", F.lit(True)), allowMissingColumns=True), here, size)
     own = Window.partitionBy(*alike, "_range").orderBy(F.col("_told").isNull(), *scan_order)
     told = F.first("_before").over(own.rowsBetween(Window.unboundedPreceding, 0))
     numbered = both.withColumn("duplicate", F.row_number().over(own) - 1 + F.coalesce(told - 1, F.lit(0)))

@@ -137,3 +137,16 @@ def test_keys_and_references_of_larger_tables(spark, monkeypatch, sent):
     assert {int(re.search(r", (\d+)\), REPARTITION", line)[1]) for line in first} == {20, 30}  # 2000 and 3000 rows
     named = {"f1": ("c", ["good"], "pk"), "f2": ("c", ["bad"], "pk")}
     assert [r.constraint_name for r in catalogs.held_references(found, named, unique).collect()] == ["f1"]
+
+
+def test_ordinals_of_larger_tables(spark, monkeypatch):
+    """Windows over versions are as many tasks' work as the rows need, and no task groups a whole split beforehand."""
+    from driftline import staging
+    from driftline.operators import temporal
+
+    monkeypatch.setattr(staging, "ROWS", 100, raising=False)
+    rows = spark.range(3000).selectExpr("id % 1000 AS k", "'a' AS since", "'b' AS till", "'x' AS v", "id AS n")
+    got = temporal.version_ids(rows, ["k"], "since", "till", {"v": F.col("v")}, [F.col("n")])
+    numbers = [int(m[1]) for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if (m := re.search(r"hashpartitioning\(.*, (\d+)\)", line))]
+    assert numbers and set(numbers) == {30}
+    assert all(r.duplicate == r.n // 1000 for r in got.collect())

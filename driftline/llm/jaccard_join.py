@@ -128,6 +128,8 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> Dat
     The texts of a pair meet under its ``a``; an ``a`` with many pairs is dealt to several tasks. A task holds one such document at
     a time, and the texts that come after it are compared with it one by one.
     """
+    # written, as it is read three times here: else one plan holds all that made the pairs four times over, and the driver with it
+    pairs = stage(pairs, "candidates")
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("parts"))
     # so small a table that its join is broadcast below Spark's threshold and else splits by ``a``
     dealt = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("doc_id"), F.lit(1).alias("turn"))

@@ -314,6 +314,21 @@ def test_jaccard_join_of_a_doc_id_with_two_texts(spark):
     assert got == {1: 1, 3: 1, 5: 1}
 
 
+def test_pairs_are_made_once(spark, monkeypatch):
+    """The plan that made the pairs is in no other plan and there but once, so the driver's memory doesn't grow with how often they are read."""
+    plans = {}
+
+    def staged(df, label, *rest):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString().count("Range (")
+        return common.stage(df, label, *rest)
+
+    monkeypatch.setattr(jaccard_join, "stage", staged)
+    texts = docs(spark, ["a b c d", "a b c d e", "x y z"])
+    pairs = spark.range(1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert jaccard_join.verify(pairs, texts, 2, 50, 100).collect() == [(0, 1)]
+    assert max(plans.values()) == sum(plans.values()) == 1
+
+
 def test_many_heavy_shingles_are_joined(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PICKED", 0)
     monkeypatch.setattr(common, "BROADCAST", 0)

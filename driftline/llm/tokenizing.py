@@ -1,14 +1,17 @@
 """Exact batch tokenization with the ``tokenizers`` library, with repeated pieces encoded once.
 
 A byte-level BPE vocabulary splits a text before every space that follows a non-space, so a text is the
-concatenation of its space-separated pieces, each encoded with its leading space. Pieces repeat a great deal,
-so Arrow dictionary-encodes them and the library encodes each new piece once; a bounded cache keeps those that come again.
+concatenation of its space-separated pieces, each encoded with its leading space. It also splits after a run of letters, so
+a piece is cut into the letters that it begins with and the rest, if that begins with some other ASCII character. These parts repeat a great
+deal, so Arrow dictionary-encodes them and the library encodes each new part once; a bounded cache keeps those that come again.
 A text where a space follows other white space, which ends with a space, or which may hold an added token of the vocabulary (such as
 an end-of-text mark, which the library finds in texts too) goes through the library whole.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -17,15 +20,17 @@ import pyarrow.compute as pc
 
 from .common import KEPT, slices
 
-#: Bytes of pieces kept by one worker, about, with ``ENTRY`` for each besides its characters; beyond that those go that were met but
+#: Bytes of parts kept by one worker, about, with ``ENTRY`` for each besides its characters; beyond that those go that were met but
 #: once. Only speed depends on it.
 CACHE_BYTES, ENTRY = 80 << 20, 200
 #: Bytes of text that are encoded at once, or a single text.
 AT_ONCE = 4 << 20
-#: Pieces in one call of the library.
+#: Parts in one call of the library.
 JOINED = 2000
 #: White space of any kind before a space.
 RUN = r"[\p{Z}\t\n\x0b\x0c\r\x1c-\x1f\x{85}] "
+#: A piece in two parts. Only what is a letter in every version of Unicode counts as one, and only ASCII as no letter.
+CUT = r"(?s)^(?P<letters>[A-Za-zÀ-ÖØ-öø-ɏ]+)(?P<rest>[\x00-@\[-`{-\x7f].*)$"
 
 
 class Encoder:
@@ -36,31 +41,34 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.added = [str(t.content).strip() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = max(vocabulary.values()) + 1
+        before = self.tokenizer.pre_tokenizer
+        how = json.loads(before.__getstate__()) if before else {}
+        #: whether it is known that the vocabulary splits after letters
+        self.cuts = self.tokenizer.normalizer is None and how.get("type") == "ByteLevel" and how.get("use_regex", True)
         self.opens = np.zeros(self.size, bool)
         for token, i in vocabulary.items():
             self.opens[i] = token.startswith("Ġ")
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = {"": 0}
         self.flat = np.empty(1 << 16, np.int32)
         self.used = 0
-        self.start = np.empty(1 << 15, np.int64)
-        self.length = np.empty(1 << 15, np.int64)
+        self.start = np.zeros(1 << 15, np.int64)
+        self.length = np.zeros(1 << 15, np.int64)
         self.again = np.zeros(1 << 15, bool)
         self.held = 0
 
     def forget(self) -> None:
-        """Drops pieces that weren't met again since the last time, or all if they are still many."""
-        kept = [(p, i) for p, i in self.index.items() if self.again[i]]
+        """Drops parts that weren't met again since the last time, or all if they are still many."""
+        kept = [(p, i) for p, i in self.index.items() if i and self.again[i]]
         if sum(len(p) + ENTRY for p, _ in kept) > CACHE_BYTES // 2:
             kept = []
         old = np.array([i for _, i in kept], np.int64)
         start, length, flat = self.start[old], self.length[old], self.flat
         self.clear()
         if len(old):
-            ends = np.cumsum(length)
-            self._keep([p for p, _ in kept], flat[np.arange(int(ends[-1])) + np.repeat(start - (ends - length), length)], length)
+            self._keep([p for p, _ in kept], _runs(flat, start, length), length)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -80,17 +88,50 @@ class Encoder:
         self.index.update(zip(pieces, range(have, have + n)))
         self.held += ENTRY * n + sum(map(len, pieces))
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encodes new pieces, many in a call; a token that opens with a space marks where the next piece begins."""
-        for i in range(0, len(pieces), JOINED):
-            some = pieces[i : i + JOINED]
-            ids = np.asarray(self.whole([" " + " ".join(some)])[0], np.int32)
+    def _learn(self, parts: list[str]) -> None:
+        """Encodes new parts that open with a space, many in a call; a token that does so too marks where the next one begins."""
+        for i in range(0, len(parts), JOINED):
+            some = parts[i : i + JOINED]
+            ids = np.asarray(self.whole(["".join(some)])[0], np.int32)
             at = np.flatnonzero(self.opens[ids])
             if len(at) == len(some) and at[0] == 0:
                 self._keep(some, ids, np.diff(np.append(at, len(ids))))
             else:
-                each = self.whole([" " + p for p in some])
-                self._keep(some, np.fromiter((x for e in each for x in e), np.int32), np.array([len(e) for e in each], np.int64))
+                self._learn_each(some)
+
+    def _learn_each(self, parts: list[str]) -> None:
+        for i in range(0, len(parts), JOINED):
+            each = self.whole(parts[i : i + JOINED])
+            self._keep(parts[i : i + JOINED], np.fromiter((x for e in each for x in e), np.int32), np.array([len(e) for e in each], np.int64))
+
+    def _slots(self, parts: pa.Array, learn: Callable[[list[str]], None]) -> np.ndarray:
+        """Where each of the parts is kept, new ones after they were learned."""
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        get = self.index.get
+        slots = np.fromiter((get(p, -1) for p in distinct), np.int64, len(distinct))
+        self.again[slots[slots >= 0]] = True
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            have = len(self.index)
+            learn([distinct[i] for i in new])
+            slots[new] = np.arange(have, have + len(new))
+        return slots[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of pieces that follow a space, one after another, and how many each has."""
+        if self.held > CACHE_BYTES:
+            self.forget()
+        if self.cuts:
+            two = pc.extract_regex(pieces, CUT)
+            cut = two.is_valid()
+            pieces, rest = pc.if_else(cut, two.field("letters"), pieces), pc.if_else(cut, two.field("rest"), "")
+        else:
+            rest = pa.array([""] * len(pieces), pa.string())
+        opening = self._slots(pc.binary_join_element_wise(" ", pieces, ""), self._learn)
+        slots = np.stack([opening, self._slots(rest, self._learn_each)], axis=1).ravel()
+        length = self.length[slots]
+        return _runs(self.flat, self.start[slots], length), length.reshape(-1, 2).sum(axis=1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another (null: empty), and where each text's begin, with the end last."""
@@ -119,37 +160,32 @@ class Encoder:
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         inner = np.ones(len(codes), bool)
         inner[first] = False
-        distinct = coded.dictionary.to_pylist()
-        needed = np.zeros(len(distinct), bool)
+        needed = np.zeros(len(coded.dictionary), bool)
         needed[codes[inner]] = True
-        if self.held > CACHE_BYTES:
-            self.forget()
-        get = self.index.get
-        slots = np.fromiter((get(p, -1) for p in distinct), np.int64, len(distinct))
-        self.again[slots[slots >= 0]] = True
-        new = np.flatnonzero(needed & (slots < 0))
-        if len(new):
-            have = len(self.index)
-            self._learn([distinct[i] for i in new])
-            slots[new] = np.arange(have, have + len(new))
+        piece_ids, piece_length = self._pieces(coded.dictionary.filter(pa.array(needed)))
         heads = self.whole(texts.filter(pa.array(hard)).to_pylist()) if hard.any() else []
-        heads_of_easy = self.whole([distinct[i] for i in codes[first]])
+        heads_of_easy = self.whole(coded.dictionary.take(pa.array(codes[first])).to_pylist())
         taken = iter(heads)
         heads = [next(taken) if h else e for h, e in zip(hard, heads_of_easy)]
         head_length = np.array([len(h) for h in heads], np.int64)
         head_ids = np.fromiter((x for h in heads for x in h), np.int32, int(head_length.sum()))
         start, length = np.empty(len(codes), np.int64), np.empty(len(codes), np.int64)
-        own = slots[codes[inner]]
-        start[inner], length[inner] = self.start[own], self.length[own]
-        start[first] = self.used + np.cumsum(head_length) - head_length
+        own = (np.cumsum(needed) - 1)[codes[inner]]
+        start[inner], length[inner] = (np.cumsum(piece_length) - piece_length)[own], piece_length[own]
+        start[first] = len(piece_ids) + np.cumsum(head_length) - head_length
         length[first] = head_length
-        flat = np.concatenate([self.flat[: self.used], head_ids])
+        ids = _runs(np.concatenate([piece_ids, head_ids]), start, length)
         ends = np.cumsum(length)
-        ids = flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)]
         bounds = np.concatenate([[0], ends])[offsets] if n else np.zeros(1, np.int64)
         return ids, bounds
 
 
+def _runs(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``start``, one after another."""
+    ends = np.cumsum(length)
+    return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)]
+
+
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
     """One for each worker process, as long as its tasks tokenize."""

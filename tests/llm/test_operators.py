@@ -57,6 +57,21 @@ def test_encoder_is_exact():
         assert ids[at[i] : at[i + 1]].tolist() == tokens(t), t
 
 
+def test_letters_are_encoded_once(monkeypatch):
+    """A word that comes with different marks goes to the library once, and the ids are still the library's."""
+    import pyarrow as pa
+
+    encoder, sent = tokenizing.Encoder(tokenizer_path()), []
+    monkeypatch.setattr(encoder, "whole", lambda texts, whole=encoder.whole: (sent.extend(texts), whole(texts))[1])
+    marks = ["", ",", ".", "...", "'s", "'tis", "\n", ".\nAnd", "\n\nAnd", "-", "7", "\u0301", "ｅ"]
+    texts = ["x " + " ".join(w + m for w in ("quixotry", "éáß") for m in marks), *(f"a quixotry{m}" for m in marks), *(f"{m}quixotry b" for m in marks), "a éáß×é quixotry÷ ẞẞ."]
+    ids, at = encoder.encode(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == tokens(t), t
+    joined = next(x for x in sent if x.startswith(" quixotry"))
+    assert len(re.findall("quixotry(?![^\x00-\x7f])", joined)) == 1
+
+
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 300_000])
 def test_rans_round_trip(n):
     ids = (np.random.default_rng(n).zipf(1.3, n) % 50257).astype(np.int32)

@@ -76,7 +76,7 @@ class Table:
         return freq, cum
 
     def slots(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.symbols), dtype=np.uint32), self.freqs)
+        return np.repeat(np.arange(len(self.symbols)), self.freqs)
 
 
 def crc(ids: np.ndarray) -> int:
@@ -135,9 +135,9 @@ def decode_block(block: dict, table: Table, slots: np.ndarray, first: int = 0, s
         b = min(n, a + LANES)
         x = state[: b - a]
         slot = x & mask
-        k = slots[slot]
+        k = slots.take(slot.view(np.int64))
         ids[a - begin : b - begin] = k
-        x = freqs[k] * (x >> bits) + slot - cum[k]
+        x = freqs.take(k) * (x >> bits) + slot - cum.take(k)
         low = np.flatnonzero(x < LOW)
         if len(low):
             if at + len(low) > len(words):

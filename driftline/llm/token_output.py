@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import rans
 from .common import mapped, plain, shared_dir, slices, stage
-from .tokenizing import encoder, with_end
+from .tokenizing import AT_ONCE, encoder, with_end
 
 #: Bytes of text in a shard, on average; one task sorts and encodes a shard.
 SHARD_BYTES = 16 << 20
@@ -57,7 +57,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_bytes:
             segment, held, ids_of, lengths, count = segment + 1, [], [], [], 0
             return pa.RecordBatch.from_pylist([row], schema=FORMAT)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", AT_ONCE):
             ids, bounds = with_end(*enc.encode(batch.column("text")), end_id)
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 own = ids[bounds[i] : bounds[i + 1]]

@@ -11,8 +11,9 @@ an end-of-text mark, which the library finds in texts too) goes through the libr
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,15 @@ import pyarrow.compute as pc
 
 from .common import KEPT, slices
 
-#: Bytes of parts kept by one worker, about, with ``ENTRY`` for each besides its characters; beyond that those go that were met but
-#: once. Only speed depends on it.
-CACHE_BYTES, ENTRY = 80 << 20, 200
-#: Bytes of text that are encoded at once, or a single text.
-AT_ONCE = 4 << 20
+#: Bytes of parts kept by one worker, about, with ``ENTRY`` for each besides its characters (places, ids, and its share of the table in which it is looked
+#: up); beyond that those go that were met but once. Only speed depends on it.
+CACHE_BYTES, ENTRY = 80 << 20, 80
+#: Bytes of text that are encoded at once, or a single text. More find more repeats, and share one look through what is kept.
+AT_ONCE = 8 << 20
 #: Parts in one call of the library.
 JOINED = 2000
+#: Runs of ids that are put together at once.
+RUNS = 1 << 16
 #: White space of any kind before a space.
 RUN = r"[\p{Z}\t\n\x0b\x0c\r\x1c-\x1f\x{85}] "
 #: A piece in two parts. Only what is a letter in every version of Unicode counts as one, and only ASCII as no letter.
@@ -51,30 +54,32 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {"": 0}
+        self.known = pa.array([""], pa.string())
         self.flat = np.empty(1 << 16, np.int32)
         self.used = 0
         self.start = np.zeros(1 << 15, np.int64)
         self.length = np.zeros(1 << 15, np.int64)
         self.again = np.zeros(1 << 15, bool)
-        self.held = 0
+
+    def held(self) -> int:
+        """Bytes that the kept parts take, about."""
+        return self.known.nbytes + ENTRY * len(self.known)
 
     def forget(self) -> None:
         """Drops parts that weren't met again since the last time, or all if they are still many."""
-        kept = [(p, i) for p, i in self.index.items() if i and self.again[i]]
-        if sum(len(p) + ENTRY for p, _ in kept) > CACHE_BYTES // 2:
-            kept = []
-        old = np.array([i for _, i in kept], np.int64)
+        old = np.flatnonzero(self.again[: len(self.known)])
+        known = self.known.take(pa.array(old[old > 0]))
+        old = old[old > 0]
         start, length, flat = self.start[old], self.length[old], self.flat
         self.clear()
-        if len(old):
-            self._keep([p for p, _ in kept], _runs(flat, start, length), length)
+        if known.nbytes + ENTRY * len(known) <= CACHE_BYTES // 2:
+            self._keep(known, _runs(flat, start, length), length)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _keep(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        have, n = len(self.index), len(pieces)
+    def _keep(self, parts: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
+        have, n = len(self.known), len(parts)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         while have + n > len(self.start):
@@ -85,42 +90,41 @@ class Encoder:
         self.length[have : have + n] = lengths
         self.start[have : have + n] = self.used + np.cumsum(lengths) - lengths
         self.used += len(ids)
-        self.index.update(zip(pieces, range(have, have + n)))
-        self.held += ENTRY * n + sum(map(len, pieces))
+        self.known = pa.concat_arrays([self.known, parts])
 
-    def _learn(self, parts: list[str]) -> None:
-        """Encodes new parts that open with a space, many in a call; a token that does so too marks where the next one begins."""
+    def _learn(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids and lengths of new parts that open with a space, many in a call; a token that does so too marks where the next one begins."""
         for i in range(0, len(parts), JOINED):
             some = parts[i : i + JOINED]
             ids = np.asarray(self.whole(["".join(some)])[0], np.int32)
             at = np.flatnonzero(self.opens[ids])
             if len(at) == len(some) and at[0] == 0:
-                self._keep(some, ids, np.diff(np.append(at, len(ids))))
+                yield ids, np.diff(np.append(at, len(ids)))
             else:
-                self._learn_each(some)
+                yield from self._learn_each(some)
 
-    def _learn_each(self, parts: list[str]) -> None:
+    def _learn_each(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(0, len(parts), JOINED):
             each = self.whole(parts[i : i + JOINED])
-            self._keep(parts[i : i + JOINED], np.fromiter((x for e in each for x in e), np.int32), np.array([len(e) for e in each], np.int64))
+            yield np.fromiter(chain.from_iterable(each), np.int32), np.array([len(e) for e in each], np.int64)
 
-    def _slots(self, parts: pa.Array, learn: Callable[[list[str]], None]) -> np.ndarray:
+    def _slots(self, parts: pa.Array, learn: Callable[[list[str]], Iterator[tuple[np.ndarray, np.ndarray]]]) -> np.ndarray:
         """Where each of the parts is kept, new ones after they were learned."""
         coded = parts.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        get = self.index.get
-        slots = np.fromiter((get(p, -1) for p in distinct), np.int64, len(distinct))
+        distinct = coded.dictionary
+        slots = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy().astype(np.int64)
         self.again[slots[slots >= 0]] = True
         new = np.flatnonzero(slots < 0)
         if len(new):
-            have = len(self.index)
-            learn([distinct[i] for i in new])
-            slots[new] = np.arange(have, have + len(new))
+            slots[new] = len(self.known) + np.arange(len(new))
+            fresh = distinct.take(pa.array(new))
+            ids, lengths = zip(*learn(fresh.to_numpy(zero_copy_only=False).tolist()))
+            self._keep(fresh, np.concatenate(ids), np.concatenate(lengths))
         return slots[coded.indices.to_numpy(zero_copy_only=False)]
 
     def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of pieces that follow a space, one after another, and how many each has."""
-        if self.held > CACHE_BYTES:
+        if self.held() > CACHE_BYTES:
             self.forget()
         if self.cuts:
             two = pc.extract_regex(pieces, CUT)
@@ -168,7 +172,7 @@ class Encoder:
         taken = iter(heads)
         heads = [next(taken) if h else e for h, e in zip(hard, heads_of_easy)]
         head_length = np.array([len(h) for h in heads], np.int64)
-        head_ids = np.fromiter((x for h in heads for x in h), np.int32, int(head_length.sum()))
+        head_ids = np.fromiter(chain.from_iterable(heads), np.int32, int(head_length.sum()))
         start, length = np.empty(len(codes), np.int64), np.empty(len(codes), np.int64)
         own = (np.cumsum(needed) - 1)[codes[inner]]
         start[inner], length[inner] = (np.cumsum(piece_length) - piece_length)[own], piece_length[own]
@@ -182,8 +186,13 @@ class Encoder:
 
 def _runs(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The runs of ``flat`` that begin at ``start``, one after another."""
-    ends = np.cumsum(length)
-    return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)]
+    ends = np.concatenate([[0], np.cumsum(length)])
+    shift = start - ends[:-1]
+    out = np.empty(int(ends[-1]), flat.dtype)
+    for a in range(0, len(length), RUNS):  # places of few runs at a time
+        b = min(a + RUNS, len(length))
+        out[ends[a] : ends[b]] = flat[np.arange(ends[a], ends[b]) + np.repeat(shift[a:b], length[a:b])]
+    return out
 
 
 @lru_cache(2)

@@ -72,6 +72,26 @@ def test_letters_are_encoded_once(monkeypatch):
     assert len(re.findall("quixotry(?![^\x00-\x7f])", joined)) == 1
 
 
+def test_kept_parts_are_small_and_forgotten(monkeypatch):
+    """Parts are kept at some 80 bytes each, so 8000 go into a cache of 1 MB and aren't encoded again; with any smaller one the ids are still the library's."""
+    import pyarrow as pa
+
+    random.seed(5)
+    words = ["".join(random.choices("aeinrst", k=8)) + m for m in ("", ".\nB") for _ in range(4000)]
+    texts = [f"x {' '.join(words[i : i + 400])}" for i in range(0, len(words), 400)]
+    want = [t for text in texts for t in tokens(text)]
+    for size in (1 << 20, 200_000, 4096):
+        monkeypatch.setattr(tokenizing, "CACHE_BYTES", size)
+        encoder, sent = tokenizing.Encoder(tokenizer_path()), []
+        monkeypatch.setattr(encoder, "whole", lambda texts, whole=encoder.whole: (sent.extend(texts), whole(texts))[1])
+        assert encoder.encode(pa.array(texts))[0].tolist() == want
+        sent.clear()
+        for part in (texts, texts[:3], texts):
+            assert encoder.encode(pa.array(part))[0].tolist() == want[: sum(len(tokens(t)) for t in part)]
+        if size == 1 << 20:
+            assert set(sent) == {"x"}  # the first pieces of the texts alone
+
+
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 300_000])
 def test_rans_round_trip(n):
     ids = (np.random.default_rng(n).zipf(1.3, n) % 50257).astype(np.int32)

@@ -18,10 +18,15 @@ ROOT = str(Path(__file__).resolve().parents[2])
 BROADCAST = 24 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    environment = spark.sparkContext.environment  # Python workers of this session import the package from where it is here
+def importable(spark: SparkSession) -> None:
+    """Python functions made from now on in this session import the package from where it is here."""
+    environment = spark.sparkContext.environment
     if ROOT not in environment.get("PYTHONPATH", "").split(":"):
         environment["PYTHONPATH"] = ":".join(x for x in (ROOT, environment.get("PYTHONPATH")) if x)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,6 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it again: lineage ends there, and every executor sees the files."""
     spark = df.sparkSession
+    importable(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -66,6 +72,7 @@ def released(batches: Iterable[pa.RecordBatch], keeps: bool = False) -> Iterator
 
 def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keeps: bool = False) -> DataFrame:
     """``mapInArrow``, with the memory given back after each task; ``keeps`` leaves caches for the next."""
+    importable(df.sparkSession)  # an operator may be the first of its session, on rows that ``table`` didn't read
     return df.mapInArrow(lambda batches: released(function(batches), keeps), schema)
 
 

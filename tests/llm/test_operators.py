@@ -771,6 +771,21 @@ def test_votes_against_brute_force():
     assert quality.nearest(np.array([[1.0, 3, 2, 3, 3], [5, 5, 5, 5, 5]]), 2).tolist() == [[1, 3], [0, 1]]
 
 
+def test_an_operator_may_be_the_first_of_its_session(spark, monkeypatch):
+    """It makes the package importable for its Python workers itself, though nothing before it has read a table in this session."""
+    plain = {k: v for k, v in spark.sparkContext.environment.items() if k != "PYTHONPATH"}
+    rows = docs(spark, ["one two three four five six"] * 3)
+    first = {
+        "near-duplicate join": lambda: jaccard_join.signatures(rows, 5, 80, 100),
+        "stage": lambda: common.stage(rows, "test"),
+        "packing": lambda: packing.pack(rows, tokenizer_path(), end_id=2, capacity=1024),
+    }
+    for name, step in first.items():
+        monkeypatch.setattr(spark.sparkContext, "environment", dict(plain))
+        step()
+        assert common.ROOT in spark.sparkContext.environment.get("PYTHONPATH", ""), name
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

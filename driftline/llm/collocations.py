@@ -61,18 +61,19 @@ class Tokens:
         known = pc.fill_null(langs.cast(pa.string()), "und").dictionary_encode()
         self.langs, lang = known.dictionary, known.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.lang = np.repeat(lang, np.diff(at))
-        no_word = np.fromiter((w in ("", ".") for w in self.words.to_pylist()), bool, len(self.words))
-        full = np.flatnonzero(np.fromiter((w == "" for w in self.words.to_pylist()), bool, len(self.words)))
-        self.codes = np.where(no_word[codes], -1, codes)
+        no_word, full = (np.flatnonzero(pc.is_in(self.words, pa.array(x, self.words.type)).to_numpy(zero_copy_only=False)) for x in (["", "."], [""]))
+        as_word = np.arange(len(self.words))
+        as_word[no_word] = -1
+        self.codes = as_word[codes]
         if len(full):
-            keep = ~np.isin(codes, full)
+            keep = codes != full[0]
             self.codes, self.lang = self.codes[keep], self.lang[keep]
 
     def hashes(self) -> np.ndarray:
         """A hash of each word in its language."""
         import xxhash
 
-        words, langs = (np.fromiter(map(xxhash.xxh3_64_intdigest, x.to_pylist()), np.uint64, len(x)) for x in (self.words, self.langs))
+        words, langs = (np.fromiter(map(xxhash.xxh3_64_intdigest, x.to_numpy(zero_copy_only=False)), np.uint64, len(x)) for x in (self.words, self.langs))
         mixed = (words[self.codes] ^ (langs[self.lang] * B)) * A
         return mixed ^ (mixed >> S32)
 
@@ -204,6 +205,18 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
 PHRASES = "lang string, w1 string, w2 string, w3 string, w4 string, a bigint"
 
 
+PREFIX = ["lang", "w1", "p2"]
+
+
+def _last_prefix(batch: pa.RecordBatch) -> int:
+    """The row with which the last prefix of sorted rows begins."""
+    new = np.zeros(batch.num_rows, bool)
+    for c in PREFIX:
+        cells = pc.fill_null(batch.column(c), "")  # no word is empty, and no language null
+        new[1:] |= pc.not_equal(cells.slice(1), cells.slice(0, len(cells) - 1)).to_numpy(zero_copy_only=False)
+    return int(np.flatnonzero(new)[-1]) if new.any() else 0
+
+
 def _grow(least: int):
     def grown(rows: pa.Table) -> pa.RecordBatch:
         at, depth, a = (np.array(x, np.int64) for x in Grown(rows, least).out)
@@ -217,9 +230,8 @@ def _grow(least: int):
             if not batch.num_rows:
                 continue
             # the last prefix of what has come may go on in the next batch
-            keys = [batch.column(c).to_pylist() for c in ("lang", "w1", "p2")]
-            last = next((i for i in range(batch.num_rows - 1, 0, -1) if any(k[i] != k[i - 1] for k in keys)), 0)
-            if held and any(held[-1].column(c)[-1].as_py() != k[0] for c, k in zip(("lang", "w1", "p2"), keys)) and not last:
+            last = _last_prefix(batch)
+            if held and any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in PREFIX) and not last:
                 yield grown(pa.Table.from_batches(held))
                 held = [batch]
             elif last:
@@ -240,7 +252,7 @@ def phrases(projected: DataFrame, least: int) -> DataFrame:
     by_pair = crowded(projected.join(small(by_word), ["lang", "w1"], "left_semi"), ["w1", "w2"])
     keyed = projected.join(small(by_word.withColumn("split", F.lit(True))), ["lang", "w1"], "left").withColumn("p2", F.when(F.col("split"), F.col("w2"))).drop("split")
     mine = keyed.join(small(by_pair), ["lang", "w1", "w2"], "left_anti").select("lang", *WINDOW, "p2", "n")
-    dealt = mine.repartition("lang", "w1", "p2").sortWithinPartitions("lang", "w1", "p2", *WINDOW[1:])
+    dealt = mine.repartition(*PREFIX).sortWithinPartitions(*PREFIX, *WINDOW[1:])
     found = mapped(dealt, _grow(least), PHRASES)
     if by_pair.isEmpty():
         return _whole(found, by_word, least, projected)

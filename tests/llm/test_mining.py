@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,3 +227,41 @@ def test_a_bitmap_says_yes_to_all_its_rows(spark):
     assert collocations._held(made, h.view(np.uint64)).all()
     other = np.random.default_rng(2).integers(0, 1 << 63, 5000, np.uint64)
     assert collocations._held(made, other).mean() < 0.1
+
+
+def cpu(work):
+    def once():
+        begun = time.process_time()
+        work()
+        return time.process_time() - begun
+
+    return min(once() for _ in range(3))
+
+
+def test_words_are_coded_and_hashed_at_little_more_than_splitting():
+    rng = random.Random(3)
+    texts = pa.array([" ".join(f"w{rng.randrange(10**9)}" for _ in range(500)) for _ in range(200)])
+    langs = pa.array(["en"] * len(texts))
+    split = cpu(lambda: pc.ascii_split_whitespace(texts).values.dictionary_encode())
+    assert cpu(lambda: collocations.Tokens(texts, langs).hashes()) < 10 * split
+
+
+def test_prefixes_are_cut_from_batches_at_little_cost():
+    rows = pa.table({"lang": ["en"] * 100_000, "w1": [f"w{i // 9:06}" for i in range(100_000)], "w2": [f"x{i % 9}" for i in range(100_000)]} | {c: pa.nulls(100_000, pa.string()) for c in ("w3", "w4", "p2")} | {"n": [1] * 100_000})
+    whole = cpu(lambda: collocations.Grown(rows, 30))
+    assert cpu(lambda: list(collocations._grow(30)(iter(rows.to_batches(10_000))))) < 5 * whole
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 64])
+def test_prefixes_that_go_on_in_other_batches(size):
+    rng = random.Random(size)
+    cells = sorted({(rng.choice(["de", "en"]), rng.choice("ab"), rng.choice("cde"), *rng.choice([(None, None), ("f", None), ("f", "g"), ("h", "g")])) for _ in range(60)}, key=str)
+    split = [c[2] if c[:2] == ("en", "a") else None for c in cells]
+    rows = pa.table({c: pa.array(x, pa.string()) for c, x in zip(["lang", *collocations.WINDOW, "p2"], [*zip(*cells), split])} | {"n": [rng.randrange(1, 9) for _ in cells]})
+    want = Counter()
+    for c, n in zip(cells, rows["n"].to_pylist()):
+        for m in range(2, 5):
+            if c[m]:
+                want[(c[0], *c[1 : m + 1], *[None] * (4 - m))] += n
+    got = [tuple(r.values()) for b in collocations._grow(6)(iter(rows.to_batches(size))) for r in b.to_pylist()]
+    assert sorted(got, key=str) == sorted([(*p, n) for p, n in want.items() if n >= 6], key=str)
